@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from refnet.functions.columns import timestamp_key, timestamp_text  # noqa: E402
 from refnet.operators import cites, core, disrupt, normalize, refs, relational  # noqa: E402
+from refnet.plans.network import ReferenceNetwork  # noqa: E402
 from refnet.plans.views import register_views, sql_focal_counts  # noqa: E402
 from refnet.schema import CORE_SCHEMA, FOCAL_EDGE_SCHEMA, RAW_LOG_SCHEMA  # noqa: E402
 from refnet.session import CORE_CONF, checkpoint_dir  # noqa: E402
@@ -50,40 +51,21 @@ def _ts_text(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: timestamp_text(c) for c in cols})
 
 
-def _core(spark, sf_dir):
-    return core.core_contributors(_log(spark, sf_dir))
-
-
-def _pull_pairs(spark, sf_dir):
-    return cites.distinct_pull_pairs(_pull_log(spark, sf_dir))
-
-
-def _focal_refs(spark, sf_dir):
-    return refs.focal_refs(_log(spark, sf_dir), _pull_log(spark, sf_dir))
-
-
-def _citations(spark, sf_dir):
-    return cites.citations(_core(spark, sf_dir), _pull_pairs(spark, sf_dir))
-
+def _net(spark: SparkSession, sf_dir: str) -> ReferenceNetwork:
+    """All stages over the log of ``sf_dir``, lazily; a query takes the stage it needs."""
+    return ReferenceNetwork(_raw(spark, sf_dir))
 
-def _source_actors(spark, sf_dir):
-    cc = _core(spark, sf_dir)
-    return disrupt.source_actors(cc, disrupt.citing_sources(cc, _pull_pairs(spark, sf_dir)))
 
+def _stage(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(_net(spark, sf_dir), name)
 
-def _dest_pullers(spark, sf_dir):
-    return disrupt.destination_pullers(refs.focal_edges(_focal_refs(spark, sf_dir)), _pull_pairs(spark, sf_dir))
 
-
-def _j_edges(spark, sf_dir):
-    return disrupt.j_edges(_source_actors(spark, sf_dir), _dest_pullers(spark, sf_dir))
+def _core(spark, sf_dir):
+    return _net(spark, sf_dir).core_contributors
 
 
-def _actual_i(spark, sf_dir):
-    cc = _core(spark, sf_dir)
-    pp = _pull_pairs(spark, sf_dir)
-    in_j = disrupt.j_sources(_source_actors(spark, sf_dir), _dest_pullers(spark, sf_dir))
-    return disrupt.actual_i_edges(cc, pp, in_j)
+def _focal_refs(spark, sf_dir):
+    return _net(spark, sf_dir).focal_refs
 
 
 def _shared_scratch(spark: SparkSession, name: str) -> str:
@@ -125,6 +107,16 @@ def _sql_surface(spark, sf_dir):
     return sql_focal_counts(spark, "refnet_focal_refs")
 
 
+def _citations_broadcast(net: ReferenceNetwork) -> DataFrame:
+    return cites.citations_broadcast(net.core_contributors, net.distinct_pull_pairs)
+
+
+def _anti_via_null(net: ReferenceNetwork) -> DataFrame:
+    """Literal actual I over the literal J (source actors JOIN reference actors), as the original spells it."""
+    j = disrupt.j_edges_literal(net.source_actors, net.reference_actors)
+    return disrupt.anti_via_null(net.citation_edges, j)
+
+
 def _left_anti(spark, sf_dir):
     _prepare(spark)
     customer = fixture.read_table(spark, sf_dir, "customer")
@@ -148,13 +140,13 @@ def _case_label(spark, sf_dir):
 
 
 def _stage_counts(spark, sf_dir):
-    log = _log(spark, sf_dir)
+    net = _net(spark, sf_dir)
     return relational.stage_counts(
         {
-            "normalized_log": log,
-            "core_contributors": core.core_contributors(log),
-            "focal_refs": _focal_refs(spark, sf_dir),
-            "distinct_pull_pairs": _pull_pairs(spark, sf_dir),
+            "normalized_log": net.log,
+            "core_contributors": net.core_contributors,
+            "focal_refs": net.focal_refs,
+            "distinct_pull_pairs": net.distinct_pull_pairs,
         }
     )
 
@@ -169,28 +161,28 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "push_counts": lambda s, d: core.push_counts(_log(s, d)),
     "avg_push": lambda s, d: core.avg_push(_log(s, d)),
     "join_left_filter": lambda s, d: core.core_contributors_literal(_log(s, d)),
-    "core_contributors": _core,
+    "core_contributors": _stage("core_contributors"),
     "core_contributors_window": lambda s, d: core.core_contributors(_log(s, d), method="window"),
     "push_tenure": lambda s, d: _ts_text(core.push_tenure(_log(s, d)), "min_d", "max_d"),
-    "core_tenure": lambda s, d: _ts_text(core.core_tenure(_log(s, d)), "min_d", "max_d"),
-    "focal_refs": _focal_refs,
-    "focal_edges": lambda s, d: refs.focal_edges(_focal_refs(s, d)),
-    "focal_counts": lambda s, d: refs.focal_counts(_focal_refs(s, d)),
-    "top_focal": lambda s, d: refs.top_focal(refs.focal_counts(_focal_refs(s, d)), 20),
-    "distinct_pull_pairs": _pull_pairs,
-    "citations": _citations,
-    "citations_broadcast": lambda s, d: cites.citations_broadcast(_core(s, d), _pull_pairs(s, d)),
-    "citation_edges": lambda s, d: cites.citation_edges(_citations(s, d)),
-    "citation_counts": lambda s, d: cites.citation_counts(_core(s, d), _pull_pairs(s, d)),
-    "source_actors": _source_actors,
-    "reference_actors": lambda s, d: disrupt.reference_actors(refs.focal_edges(_focal_refs(s, d)), _pull_pairs(s, d)),
-    "j_edges": _j_edges,
-    "j_counts": lambda s, d: disrupt.j_counts(_j_edges(s, d)),
-    "actual_i_edges": _actual_i,
-    "actual_i_counts": lambda s, d: disrupt.actual_i_counts(_actual_i(s, d)),
-    "anti_via_null": lambda s, d: disrupt.anti_via_null(cites.citation_edges(_citations(s, d)), _j_edges(s, d)),
+    "core_tenure": lambda s, d: _ts_text(_net(s, d).core_tenure, "min_d", "max_d"),
+    "focal_refs": _stage("focal_refs"),
+    "focal_edges": _stage("focal_edges"),
+    "focal_counts": _stage("focal_counts"),
+    "top_focal": lambda s, d: refs.top_focal(_net(s, d).focal_counts, 20),
+    "distinct_pull_pairs": _stage("distinct_pull_pairs"),
+    "citations": _stage("citations"),
+    "citations_broadcast": lambda s, d: _citations_broadcast(_net(s, d)),
+    "citation_edges": _stage("citation_edges"),
+    "citation_counts": _stage("citation_counts"),
+    "source_actors": _stage("source_actors"),
+    "reference_actors": _stage("reference_actors"),
+    "j_edges": _stage("j_edges"),
+    "j_counts": _stage("j_counts"),
+    "actual_i_edges": _stage("actual_i_edges"),
+    "actual_i_counts": _stage("actual_i_counts"),
+    "anti_via_null": lambda s, d: _anti_via_null(_net(s, d)),
     "left_anti": _left_anti,
-    "theta_pair_counts": lambda s, d: cites.theta_pair_counts(_core(s, d), cites.citation_edges(_citations(s, d))),
+    "theta_pair_counts": _stage("theta_pair_counts"),
     "stage_counts": _stage_counts,
     "sql_surface": _sql_surface,
     "scan_log_csv": _scan_log_csv,

@@ -67,7 +67,9 @@ def source_actors_literal(core: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def reference_actors(f_edges: DataFrame, pull_pairs: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def reference_actors(
+    f_edges: DataFrame, pull_pairs: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+) -> DataFrame:
     """(focal_repo_id, destination_repo_id, actor_id): focal edges JOIN pull pairs ON destination = repo (survey C7).
 
     Both inputs are sets and the output keeps all three columns, so no distinct is needed. Pull pairs of hot
@@ -75,7 +77,7 @@ def reference_actors(f_edges: DataFrame, pull_pairs: DataFrame, policy: SkewPoli
     """
     edges = f_edges.select("focal_repo_id", "destination_repo_id")
     pp = pull_pairs.select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
-    joined = salted_join(pp, edges, ["destination_repo_id"], policy=policy)
+    joined = salted_join(pp, edges, ["destination_repo_id"], policy=policy, hot=hot)
     return joined.select("focal_repo_id", "destination_repo_id", "actor_id")
 
 
@@ -86,7 +88,9 @@ def destination_pullers(f_edges: DataFrame, pull_pairs: DataFrame) -> DataFrame:
     return pp.select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
 
 
-def j_edges(src_actors: DataFrame, dest_pullers: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def j_edges(
+    src_actors: DataFrame, dest_pullers: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+) -> DataFrame:
     """(focal_repo_id, source_repo_citing_focal_repo, destination_repo_id): J, a set (survey C8, G13).
 
     ``dest_pullers`` is :func:`destination_pullers` or :func:`reference_actors` (only its (D, a) columns are used).
@@ -96,7 +100,7 @@ def j_edges(src_actors: DataFrame, dest_pullers: DataFrame, policy: SkewPolicy =
         F.col("actor_id").isNotNull()
     )
     dp = dest_pullers.select("destination_repo_id", "actor_id").filter(F.col("actor_id").isNotNull())
-    joined = salted_join(dp, sa, ["actor_id"], policy=policy)
+    joined = salted_join(dp, sa, ["actor_id"], policy=policy, hot=hot)
     return joined.select(
         F.col("src").alias("focal_repo_id"),
         F.col("src").alias("source_repo_citing_focal_repo"),
@@ -127,7 +131,11 @@ def j_sources(src_actors: DataFrame, dest_pullers: DataFrame) -> DataFrame:
 
 
 def actual_i_edges(
-    core: DataFrame, pull_pairs: DataFrame, in_j: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    core: DataFrame,
+    pull_pairs: DataFrame,
+    in_j: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """(focal_repo_id, source_repo_citing_focal_repo, destination_focal_repo): citation edges whose source is not in J.
 
@@ -138,7 +146,12 @@ def actual_i_edges(
     keep = cc.join(in_j.select(F.col("repo_id").alias("cc_repo_id")), "cc_repo_id", "left_anti")
     pulls = pull_pairs.select(F.col("repo_id").alias("focal_repo_id"), "actor_id")
     joined = salted_join(
-        pulls, keep, ["actor_id"], condition=lambda: F.col("cc_repo_id") != F.col("focal_repo_id"), policy=policy
+        pulls,
+        keep,
+        ["actor_id"],
+        condition=lambda: F.col("cc_repo_id") != F.col("focal_repo_id"),
+        policy=policy,
+        hot=hot,
     )
     return joined.select(
         "focal_repo_id",

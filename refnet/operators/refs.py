@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from refnet.operators.core import core_tenure
 from refnet.operators.normalize import pull_events
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, salted_join
+from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, salted_join
 
 
 def pull_times(log: DataFrame) -> DataFrame:
@@ -23,7 +23,18 @@ def pull_times(log: DataFrame) -> DataFrame:
     )
 
 
-def focal_refs_from(tenure: DataFrame, pulls: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def hot_actors(pull_log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Actors with at least ``policy.hot_key_rows`` pull-request events (at most ``policy.max_hot_keys`` of them).
+
+    One aggregate over the ``actor_id`` column; every actor-keyed join of a run shares this list, so Spark computes
+    and broadcasts it once per query.
+    """
+    return hot_keys(pull_events(pull_log).select("actor_id"), ["actor_id"], policy)
+
+
+def focal_refs_from(
+    tenure: DataFrame, pulls: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+) -> DataFrame:
     """(focal_repo_id, repo_id) from a core tenure table and :func:`pull_times`.
 
     Equi-join on ``actor_id`` with ``focal != repo`` and the closed time range as the residual condition (sort-merge
@@ -37,6 +48,7 @@ def focal_refs_from(tenure: DataFrame, pulls: DataFrame, policy: SkewPolicy = DE
         condition=lambda: (F.col("focal_repo_id") != F.col("pr_repo_id"))
         & F.col("pr_at").between(F.col("min_d"), F.col("max_d")),
         policy=policy,
+        hot=hot,
     )
     return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id")).distinct()
 
@@ -52,8 +64,9 @@ def focal_refs(
     ``pull_log`` may be the log without de-duplication (the result is a set, so copies cannot change it); by
     default the pull events come from ``log``.
     """
+    pl = pull_log if pull_log is not None else log
     tenure = core_tenure(log, method, policy)
-    return focal_refs_from(tenure, pull_times(pull_log if pull_log is not None else log), policy)
+    return focal_refs_from(tenure, pull_times(pl), policy, hot_actors(pl, policy) if policy.enabled else None)
 
 
 def focal_refs_literal(tenure: DataFrame, log: DataFrame) -> DataFrame:

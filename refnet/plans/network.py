@@ -1,14 +1,17 @@
 """The whole run: log -> core contributors -> focal references -> citations -> J -> actual I.
 
-:func:`build_network` wires the operators lazily (nothing runs). :func:`run_network` executes them stage by stage,
-writing every stage to ``out_dir`` and reading the reused ones back, so each later stage starts from a written table:
-lineage is cut, nothing is recomputed per output, and a lost executor costs only the tasks of the current stage.
+:class:`ReferenceNetwork` wires the operators lazily: each stage is a DataFrame built on first access and kept, so
+stages that several later stages use are one plan object (Spark analyses it once). Nothing runs until an action.
+
+:func:`run_network` executes every stage once, writing it to ``out_dir`` and reading the reused ones back, so each
+later stage starts from a written table: lineage is cut, no stage is recomputed per output, and a lost executor
+costs only the tasks of the current stage.
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,75 +21,155 @@ from refnet.operators.normalize import normalize_log
 from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy
 from refnet.sources.delimited import write_dataset
 
+STAGES = (
+    "core_contributors",
+    "core_tenure",
+    "focal_refs",
+    "focal_edges",
+    "focal_counts",
+    "distinct_pull_pairs",
+    "citations",
+    "citation_edges",
+    "citation_counts",
+    "source_actors",
+    "reference_actors",
+    "j_edges",
+    "j_counts",
+    "actual_i_edges",
+    "actual_i_counts",
+)
+
+
+class ReferenceNetwork:
+    """Every stage of one run over a raw log, built lazily.
+
+    Push events go through full-row de-duplication (their counts are a bag); pull events feed only set-valued
+    stages, so they skip it. ``overrides`` replaces stages by already-materialised tables (see :func:`run_network`).
+    """
 
-@dataclass
-class Network:
-    """Every stage of one run, as DataFrames (lazy unless produced by :func:`run_network`)."""
-
-    core_contributors: DataFrame
-    core_tenure: DataFrame
-    focal_refs: DataFrame
-    focal_edges: DataFrame
-    focal_counts: DataFrame
-    distinct_pull_pairs: DataFrame
-    citations: DataFrame
-    citation_edges: DataFrame
-    citation_counts: DataFrame
-    source_actors: DataFrame
-    reference_actors: DataFrame
-    j_edges: DataFrame
-    j_counts: DataFrame
-    actual_i_edges: DataFrame
-    actual_i_counts: DataFrame
+    def __init__(
+        self,
+        raw: DataFrame,
+        policy: SkewPolicy = DEFAULT_POLICY,
+        core_method: str = "join",
+        dedup_keys: list[str] | None = None,
+        **overrides: DataFrame,
+    ):
+        self.raw = raw
+        self.policy = policy
+        self.core_method = core_method
+        self.dedup_keys = dedup_keys
+        self.__dict__.update(overrides)  # cached_property reads the instance dict first
+
+    # inputs -------------------------------------------------------------------------------------------------
+    @cached_property
+    def log(self) -> DataFrame:
+        return normalize_log(self.raw, dedup_keys=self.dedup_keys)
+
+    @cached_property
+    def pull_log(self) -> DataFrame:
+        return normalize_log(self.raw, dedup=False)
+
+    @cached_property
+    def hot_actors(self) -> DataFrame | None:
+        return refs.hot_actors(self.pull_log, self.policy) if self.policy.enabled else None
+
+    # core ---------------------------------------------------------------------------------------------------
+    @cached_property
+    def core_activity(self) -> DataFrame:
+        return core.core_activity(self.log, self.core_method, self.policy)
+
+    @cached_property
+    def core_contributors(self) -> DataFrame:
+        return self.core_activity.select("repo_id", "actor_id")
+
+    @cached_property
+    def core_tenure(self) -> DataFrame:
+        return self.core_activity.filter(F.col("actor_id").isNotNull()).select(
+            F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d"
+        )
+
+    # references ---------------------------------------------------------------------------------------------
+    @cached_property
+    def focal_refs(self) -> DataFrame:
+        return refs.focal_refs_from(self.core_tenure, refs.pull_times(self.pull_log), self.policy, self.hot_actors)
+
+    @cached_property
+    def focal_edges(self) -> DataFrame:
+        return refs.focal_edges(self.focal_refs)
+
+    @cached_property
+    def focal_counts(self) -> DataFrame:
+        return refs.focal_counts(self.focal_refs)
+
+    # citations ----------------------------------------------------------------------------------------------
+    @cached_property
+    def distinct_pull_pairs(self) -> DataFrame:
+        return cites.distinct_pull_pairs(self.pull_log)
+
+    @cached_property
+    def citations(self) -> DataFrame:
+        return cites.citations(self.core_contributors, self.distinct_pull_pairs, self.policy, self.hot_actors)
+
+    @cached_property
+    def citation_edges(self) -> DataFrame:
+        return cites.citation_edges(self.citations)
+
+    @cached_property
+    def citation_counts(self) -> DataFrame:
+        return cites.citation_counts(self.core_contributors, self.distinct_pull_pairs)
+
+    @cached_property
+    def theta_pair_counts(self) -> DataFrame:
+        return cites.theta_pair_counts(self.core_contributors, self.citation_edges)
+
+    # J and actual I -----------------------------------------------------------------------------------------
+    @cached_property
+    def citing_sources(self) -> DataFrame:
+        return disrupt.citing_sources(self.core_contributors, self.distinct_pull_pairs)
+
+    @cached_property
+    def source_actors(self) -> DataFrame:
+        return disrupt.source_actors(self.core_contributors, self.citing_sources)
+
+    @cached_property
+    def reference_actors(self) -> DataFrame:
+        return disrupt.reference_actors(self.focal_edges, self.distinct_pull_pairs, self.policy)
+
+    @cached_property
+    def destination_pullers(self) -> DataFrame:
+        return disrupt.destination_pullers(self.focal_edges, self.distinct_pull_pairs)
+
+    @cached_property
+    def j_edges(self) -> DataFrame:
+        return disrupt.j_edges(self.source_actors, self.destination_pullers, self.policy, self.hot_actors)
+
+    @cached_property
+    def j_counts(self) -> DataFrame:
+        return disrupt.j_counts(self.j_edges)
+
+    @cached_property
+    def j_sources(self) -> DataFrame:
+        return disrupt.j_sources(self.source_actors, self.destination_pullers)
+
+    @cached_property
+    def actual_i_edges(self) -> DataFrame:
+        return disrupt.actual_i_edges(
+            self.core_contributors, self.distinct_pull_pairs, self.j_sources, self.policy, self.hot_actors
+        )
+
+    @cached_property
+    def actual_i_counts(self) -> DataFrame:
+        return disrupt.actual_i_counts(self.actual_i_edges)
 
     def stages(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in STAGES}
 
 
-def build_network(
-    raw: DataFrame,
-    policy: SkewPolicy = DEFAULT_POLICY,
-    core_method: str = "join",
-    dedup_keys: list[str] | None = None,
-) -> Network:
-    """Lazy plan of every stage from the raw log.
-
-    Push events go through full-row de-duplication (their counts are a bag); pull events feed only set-valued
-    stages, so they skip it.
-    """
-    log = normalize_log(raw, dedup_keys=dedup_keys)
-    pull_log = normalize_log(raw, dedup=False)
-    activity = core.core_activity(log, core_method, policy)
-    cc = activity.select("repo_id", "actor_id")
-    tenure = activity.filter(F.col("actor_id").isNotNull()).select(
-        F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d"
-    )
-    fr = refs.focal_refs_from(tenure, refs.pull_times(pull_log), policy)
-    fe = refs.focal_edges(fr)
-    pp = cites.distinct_pull_pairs(pull_log)
-    ct = cites.citations(cc, pp, policy)
-    ce = cites.citation_edges(ct)
-    sa = disrupt.source_actors(cc, disrupt.citing_sources(cc, pp))
-    dp = disrupt.destination_pullers(fe, pp)
-    j = disrupt.j_edges(sa, dp, policy)
-    ai = disrupt.actual_i_edges(cc, pp, disrupt.j_sources(sa, dp), policy)
-    return Network(
-        core_contributors=cc,
-        core_tenure=tenure,
-        focal_refs=fr,
-        focal_edges=fe,
-        focal_counts=refs.focal_counts(fr),
-        distinct_pull_pairs=pp,
-        citations=ct,
-        citation_edges=ce,
-        citation_counts=cites.citation_counts(cc, pp),
-        source_actors=sa,
-        reference_actors=disrupt.reference_actors(fe, pp, policy),
-        j_edges=j,
-        j_counts=disrupt.j_counts(j),
-        actual_i_edges=ai,
-        actual_i_counts=disrupt.actual_i_counts(ai),
-    )
+def build_network(raw: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, core_method: str = "join",
+                  dedup_keys: list[str] | None = None) -> ReferenceNetwork:
+    """Lazy plan of every stage from the raw log."""
+    return ReferenceNetwork(raw, policy, core_method, dedup_keys)
 
 
 def run_network(
@@ -98,75 +181,44 @@ def run_network(
     core_method: str = "join",
     dedup_keys: list[str] | None = None,
     skip: tuple[str, ...] = (),
-) -> Network:
-    """Execute the run stage by stage into ``out_dir`` (one sub-folder per stage) and return the written tables.
+) -> ReferenceNetwork:
+    """Execute the run stage by stage into ``out_dir`` (one sub-folder per stage); returns the network on the
+    written tables.
 
-    Stages that later stages reuse are read back from what was written (Parquet keeps the types; with
-    ``fmt="csv"`` a Parquet copy of them is kept under ``_handoff``). ``skip`` leaves out optional outputs such as
-    ``citations`` or ``reference_actors`` whose size is the product of degrees.
+    Reused stages are read back from what was written (with ``fmt="csv"`` a Parquet copy of them is kept under
+    ``_handoff`` so types survive). ``skip`` leaves out optional outputs such as ``citations`` or
+    ``reference_actors``, whose size is a product of degrees.
     """
-    hand = fmt if fmt == "parquet" else "parquet"
     hand_dir = out_dir if fmt == "parquet" else os.path.join(out_dir, "_handoff")
+    net = ReferenceNetwork(raw, policy, core_method, dedup_keys)
 
-    def save(name: str, df: DataFrame) -> DataFrame | None:
-        if name in skip:
-            return None
-        write_dataset(df, os.path.join(out_dir, name), fmt=fmt)
-        return df
+    def save(name: str) -> None:
+        if name not in skip:
+            write_dataset(getattr(net, name), os.path.join(out_dir, name), fmt=fmt)
 
-    def handoff(name: str, df: DataFrame) -> DataFrame:
-        if fmt != hand:
-            save(name, df)
+    def handoff(name: str, output: bool = True) -> None:
         path = os.path.join(hand_dir, name)
-        write_dataset(df, path, fmt=hand)
-        return spark.read.parquet(path)
-
-    log = normalize_log(raw, dedup_keys=dedup_keys)
-    pull_log = normalize_log(raw, dedup=False)
-
-    activity = handoff("core_activity", core.core_activity(log, core_method, policy))
-    cc = activity.select("repo_id", "actor_id")
-    save("core_contributors", cc)
-    tenure = activity.filter(F.col("actor_id").isNotNull()).select(
-        F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d"
-    )
-    pp = handoff("distinct_pull_pairs", cites.distinct_pull_pairs(pull_log))
-    fr = handoff("focal_refs", refs.focal_refs_from(tenure, refs.pull_times(pull_log), policy))
-    fe = refs.focal_edges(fr)
-    save("focal_edges", fe)
-    save("focal_counts", refs.focal_counts(fr))
-
-    ct = cites.citations(cc, pp, policy)
-    save("citations", ct)
-    save("citation_edges", cites.citation_edges(ct))
-    save("citation_counts", cites.citation_counts(cc, pp))
-
-    sa = handoff("source_actors", disrupt.source_actors(cc, disrupt.citing_sources(cc, pp)))
-    save("reference_actors", disrupt.reference_actors(fe, pp, policy))
-    dp = disrupt.destination_pullers(fe, pp)
-    j = handoff("j_edges", disrupt.j_edges(sa, dp, policy))
-    save("j_counts", disrupt.j_counts(j))
-    in_j = handoff("j_sources", disrupt.j_sources(sa, dp))
-    ai = handoff("actual_i_edges", disrupt.actual_i_edges(cc, pp, in_j, policy))
-    save("actual_i_counts", disrupt.actual_i_counts(ai))
-
-    def read(name: str) -> DataFrame:
-        return spark.read.format(fmt).option("header", "true").load(os.path.join(out_dir, name)) if fmt == "csv" else spark.read.parquet(os.path.join(out_dir, name))
-
-    return Network(
-        core_contributors=cc,
-        core_tenure=tenure,
-        focal_refs=fr,
-        focal_edges=fe,
-        focal_counts=read("focal_counts"),
-        distinct_pull_pairs=pp,
-        citations=ct,
-        citation_edges=cites.citation_edges(ct),
-        citation_counts=read("citation_counts"),
-        source_actors=sa,
-        reference_actors=disrupt.reference_actors(fe, pp, policy),
-        j_edges=j,
-        j_counts=read("j_counts"),
-        actual_i_edges=ai,
-        actual_i_counts=read("actual_i_counts"),
-    )
+        write_dataset(getattr(net, name), path, fmt="parquet")
+        if output and fmt != "parquet" and name not in skip:
+            write_dataset(spark.read.parquet(path), os.path.join(out_dir, name), fmt=fmt)
+        net.__dict__[name] = spark.read.parquet(path)
+
+    handoff("core_activity", output=False)
+    save("core_contributors")
+    handoff("distinct_pull_pairs")
+    if policy.enabled:
+        handoff("hot_actors", output=False)
+    handoff("focal_refs")
+    save("focal_edges")
+    save("focal_counts")
+    save("citations")
+    save("citation_edges")
+    save("citation_counts")
+    handoff("source_actors")
+    save("reference_actors")
+    handoff("j_edges")
+    save("j_counts")
+    handoff("j_sources", output=False)
+    handoff("actual_i_edges")
+    save("actual_i_counts")
+    return net

@@ -81,8 +81,7 @@ def salted_join(
         raise ValueError(f"columns on both sides besides the keys: {sorted(shared)}")
 
     renamed = {k: f"_r_{k}" for k in keys}
-    right = replicate.select(*[F.col(c).alias(renamed.get(c, c)) for c in replicate.columns])
-    left = split
+    left, right = split, replicate
     on_keys = list(keys)
     if policy.enabled:
         # Both sides must agree on which keys are hot, even if the list is recomputed: keep the cut deterministic.
@@ -91,6 +90,7 @@ def salted_join(
             if hot is None
             else hot.select(*keys).orderBy(*keys).limit(policy.max_hot_keys)
         )
+        # One broadcast plan for both sides (joined by the same key names), so Spark reuses the exchange.
         hot = F.broadcast(hot_list.withColumn(_HOT, F.lit(True)))
         left = (
             split.join(hot, keys, "left")
@@ -102,11 +102,10 @@ def salted_join(
             )
             .drop(_HOT)
         )
-        hot_r = F.broadcast(hot.select(*[F.col(k).alias(renamed[k]) for k in keys], F.col(_HOT)))
         right = (
-            right.join(hot_r, [renamed[k] for k in keys], "left")
+            replicate.join(hot, keys, "left")
             .withColumn(
-                f"_r_{SALT}",
+                SALT,
                 F.explode(
                     F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(policy.salt_buckets - 1))).otherwise(F.array(F.lit(0)))
                 ),
@@ -115,6 +114,7 @@ def salted_join(
         )
         on_keys.append(SALT)
         renamed[SALT] = f"_r_{SALT}"
+    right = right.select(*[F.col(c).alias(renamed.get(c, c)) for c in right.columns])
 
     cond = None
     for k in on_keys:
