@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from refnet.functions.columns import safe_ratio
 from refnet.operators.normalize import push_events
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, salted_join
+from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, salted_join, top_hot
 
 N = "NO_OF_PUSH_EVENT"
 AVG = "AVG_PUSH_EVENT"
@@ -91,12 +91,7 @@ def core_activity(log: DataFrame, method: str = "join", policy: SkewPolicy = DEF
     stats = repo_push_stats(activity).filter(F.col("repo_id").isNotNull() & F.col(AVG).isNotNull())
     hot = None
     if policy.enabled:
-        hot = (
-            stats.filter(F.col("pairs") >= F.lit(policy.hot_key_rows))
-            .orderBy(F.desc("pairs"), "repo_id")
-            .limit(policy.max_hot_keys)
-            .select("repo_id")
-        )
+        hot = top_hot(stats, ["repo_id"], "pairs", policy)
     means = stats.select("repo_id", AVG)
     return salted_join(
         activity, means, ["repo_id"], condition=lambda: F.col(N) >= F.col(AVG), policy=policy, hot=hot

@@ -42,16 +42,25 @@ DEFAULT_POLICY = SkewPolicy()
 NO_SALT = SkewPolicy(enabled=False)
 
 
+def top_hot(counts: DataFrame, keys: Sequence[str], rows_col: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """(keys..., _hot) for the at most ``policy.max_hot_keys`` keys of ``counts`` with ``rows_col`` at or above the
+    threshold, largest first, ties by key: a deterministic, bounded top-k (TakeOrderedAndProject, no global sort)."""
+    keys = list(keys)
+    big = counts.filter(F.col(rows_col) >= F.lit(policy.hot_key_rows))
+    ranked = big.select(*keys, F.lit(True).alias(_HOT), F.col(rows_col).alias("_rows"))
+    return ranked.orderBy(F.desc("_rows"), *keys).limit(policy.max_hot_keys).drop("_rows")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """At most ``policy.max_hot_keys`` non-null keys with at least ``policy.hot_key_rows`` rows, largest first."""
+    """(keys..., _hot): at most ``policy.max_hot_keys`` non-null keys of ``df`` with at least ``policy.hot_key_rows``
+    rows. One partial-aggregated count over the key columns only."""
     keys = list(keys)
-    not_null = [F.col(k).isNotNull() for k in keys]
-    cond = not_null[0]
-    for c in not_null[1:]:
-        cond = cond & c
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
     counts = df.select(*keys).filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.filter(F.col("_rows") >= F.lit(policy.hot_key_rows))
-    return counts.orderBy(F.desc("_rows"), *keys).limit(policy.max_hot_keys).select(*keys)
+    return top_hot(counts, keys, "_rows", policy)
 
 
 def salted_join(
@@ -70,8 +79,8 @@ def salted_join(
     keys, the two sides must not share column names; ``condition`` builds a Column over those names. The key
     columns appear once in the output, as in a join on a list of names.
 
-    ``hot`` may pass a hot-key list computed elsewhere (it must hold at most ``max_hot_keys`` rows of the key
-    columns); otherwise it is computed from ``split``.
+    ``hot`` may pass a hot-key list computed elsewhere with :func:`hot_keys` / :func:`top_hot` (bounded and
+    deterministic, so both sides agree even when it is recomputed); otherwise it is computed from ``split``.
     """
     keys = list(keys)
     if how not in ("inner", "left_semi", "left_anti"):
@@ -84,14 +93,11 @@ def salted_join(
     left, right = split, replicate
     on_keys = list(keys)
     if policy.enabled:
-        # Both sides must agree on which keys are hot, even if the list is recomputed: keep the cut deterministic.
-        hot_list = (
-            hot_keys(split, keys, policy)
-            if hot is None
-            else hot.select(*keys).orderBy(*keys).limit(policy.max_hot_keys)
-        )
+        hot_list = hot_keys(split, keys, policy) if hot is None else hot
+        if _HOT not in hot_list.columns:
+            hot_list = hot_list.select(*keys, F.lit(True).alias(_HOT))
         # One broadcast plan for both sides (joined by the same key names), so Spark reuses the exchange.
-        hot = F.broadcast(hot_list.withColumn(_HOT, F.lit(True)))
+        hot = F.broadcast(hot_list.select(*keys, _HOT))
         left = (
             split.join(hot, keys, "left")
             .withColumn(
