@@ -1,7 +1,8 @@
 """Times the headline queries on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``.
 
-Each query runs to completion through the ``noop`` sink (every row produced, nothing collected to the driver). One
-untimed warm-up query starts the JVM and the parquet reader first. Prints one JSON line.
+Each query runs to completion through the ``noop`` sink (every row produced, nothing collected to the driver). Two
+untimed warm-up queries start the JVM, the parquet reader and code generation first. ``pipeline`` is the staged
+run of every stage (``run_network``, Parquet hand-offs). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark, local_fallback=True)
     qs = entry.queries()
-    run(qs["distinct_pull_pairs"](spark, sf_dir))  # warm-up, untimed
+    for warm in ("push_counts", "avg_push"):  # warm-up (JVM, parquet reader, codegen), untimed, not in the metric
+        run(qs[warm](spark, sf_dir))
 
     timings: dict[str, float] = {}
     for name in HEADLINE + LITERAL + ["pipeline"]:

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is two batch jobs over a finished log dump; it has no stream source, watermark, state or trigger, so
+nothing here is part of the inventory. Incremental inputs are handled by re-running the batch plan
+(:func:`refnet.plans.network.run_network`) over the grown log: every stage is a set or a count that has to see all
+events of a repository or an actor (means over all pushes, tenure over all time), so no stage is append-only.
+"""
