@@ -56,12 +56,23 @@ class ReferenceNetwork:
         **overrides: DataFrame,
     ):
         self.raw = raw
-        self.policy = policy
+        self.requested_policy = policy
         self.core_method = core_method
         self.dedup_keys = dedup_keys
         self.__dict__.update(overrides)  # cached_property reads the instance dict first
 
     # inputs -------------------------------------------------------------------------------------------------
+    @cached_property
+    def policy(self) -> SkewPolicy:
+        """The skew policy in force: salting is switched off when the whole log has fewer rows than the hot-key
+        threshold, since no key of any stage can then be hot (every salted side is a subset or an aggregate of the
+        log). The check is one bounded action, ``limit(hot_key_rows).count()``; the result is the same either way."""
+        p = self.requested_policy
+        if p.enabled and p.skip_when_small:
+            if self.raw.limit(p.hot_key_rows).count() < p.hot_key_rows:
+                return p.with_(enabled=False)
+        return p
+
     @cached_property
     def log(self) -> DataFrame:
         return normalize_log(self.raw, dedup_keys=self.dedup_keys)
@@ -206,7 +217,7 @@ def run_network(
     handoff("core_activity", output=False)
     save("core_contributors")
     handoff("distinct_pull_pairs")
-    if policy.enabled:
+    if net.policy.enabled:
         handoff("hot_actors", output=False)
     handoff("focal_refs")
     save("focal_edges")

@@ -33,6 +33,7 @@ class SkewPolicy:
     max_hot_keys: int = 10_000  # bound on the broadcast hot-key list
     salt_buckets: int = 32
     enabled: bool = True
+    skip_when_small: bool = True  # plans with a row-count check (ReferenceNetwork) turn salting off for small logs
 
     def with_(self, **changes) -> SkewPolicy:
         return replace(self, **changes)
