@@ -26,6 +26,14 @@ from refnet.schema import CORE_SCHEMA, FOCAL_EDGE_SCHEMA, RAW_LOG_SCHEMA  # noqa
 from refnet.session import CORE_CONF, checkpoint_dir  # noqa: E402
 from refnet.sources import delimited, fixture  # noqa: E402
 
+try:  # the training-data operators are optional: without their folder the other queries stay
+    import corpus_pipeline
+    import refnet.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("refnet.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -198,7 +206,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --- oracle ------------------------------------------------------------------------------------------------------
@@ -316,4 +327,8 @@ def oracle_sql() -> dict[str, str]:
     for key, final in _FINAL.items():
         out[key] = _STANDALONE.get(key) or f"WITH {_STAGES.strip()}\n{final}"
     out.update(_STANDALONE)
+    if llm_queries is not None:
+        out.update(llm_queries.ORACLES)
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
