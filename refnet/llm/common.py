@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that one step inside a task works on at a time (a longer single text is a step of its own).
 PIECE_BYTES = 4 << 20
@@ -59,6 +60,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, keep: list[str], ddl: str) -> StructType:
+    """The schema of the ``keep`` columns and further fields."""
+    return StructType(df.select(*keep).schema.fields + StructType.fromDDL(ddl).fields)
+
+
 def utf8(text: str | Column) -> Column:
     """Text as UTF-8 bytes, null as empty."""
     text = F.col(text) if isinstance(text, str) else text
@@ -78,14 +84,3 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
                 start, total = i, 0
             total += size
         yield batch.slice(start)
-
-
-def rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    """A record batch from arrays, lists or numpy arrays, cast to ``schema``."""
-    arrays = [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
-def blobs(arrays) -> pa.Array:
-    """A binary array from numpy arrays (None: null)."""
-    return pa.array([None if a is None else a.tobytes() for a in arrays], type=pa.binary())

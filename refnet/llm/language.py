@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refnet.llm.common import PIECE_BYTES, pieces, utf8
+from refnet.llm.common import PIECE_BYTES, extended, pieces, utf8
 from refnet.llm.words import mix
 
 UND = "und"
@@ -119,7 +119,7 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, keep: lis
     """``keep`` columns of every row plus lang_pred and score."""
     dimensions = prototypes.shape[1]
     protos = docs.sparkSession.sparkContext.broadcast((names, prototypes.astype(np.float32)))
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = extended(docs, keep, "lang_pred string, score double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, (labels, matrix) = Profiler(dimensions), protos.value

@@ -7,10 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refnet.llm import chat, language
+from refnet.llm import chat, decontam, language, lengths, licenses, secrets, warc
 from refnet.llm.common import ship, table
 
 
+def op2_license_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.col("n_phrases").alias("n_base"),
+        "first_word",
+        "last_word",
+        F.array_join("phrase_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op3_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents").select("text")))
+
+
+def op5_warc_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, ["doc_id"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = joined(F.filter("spans", lambda s: s["kind"] != "random"))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(base.cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("random")
+    )
+
+
+def op7_decontamination_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_matches(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
 def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("\\### Assistant: </turn> ok")
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
@@ -30,7 +76,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op8_chat_prefix_targets, op9_language_hypervectors)
+    for f in (op2_license_diagonal_voting, op3_token_length_histogram, op5_warc_revisit_resolution, op6_secret_randomness_battery, op7_decontamination_suffix_arrays, op8_chat_prefix_targets, op9_language_hypervectors)
 }
 
 ORACLES: dict[str, str] = {}
