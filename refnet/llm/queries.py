@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refnet.llm import chat, decontam, language, lengths, licenses, secrets, warc
+from refnet.llm import chat, decontam, language, lengths, licenses, packing, secrets, warc
 from refnet.llm.common import ship, table
 
 
+def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def op2_license_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     return found.select(
@@ -74,9 +78,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f)
-    for f in (op2_license_diagonal_voting, op3_token_length_histogram, op5_warc_revisit_resolution, op6_secret_randomness_battery, op7_decontamination_suffix_arrays, op8_chat_prefix_targets, op9_language_hypervectors)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(f) for name, f in sorted(globals().items()) if name.startswith("op")}
 
 ORACLES: dict[str, str] = {}
