@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refnet.llm import chat, decontam, language, lengths, licenses, packing, secrets, warc
+from refnet.llm import chat, covertree, decontam, language, lengths, licenses, ngramjoin, packing, secrets, warc
 from refnet.llm.common import ship, table
 
 
@@ -33,6 +33,10 @@ def op3_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents").select("text")))
 
 
+def op4_ngram_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join_components(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -74,6 +78,11 @@ def op9_language_hypervectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = covertree.quantized(table(spark, sf_dir, "embeddings"))
+    return covertree.top_k(data, F.col("vec_id") % 20 == 0, k=20)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
