@@ -107,9 +107,9 @@ def frequent_buckets(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, class, prefix, point) of every document; class is null and the rest empty for an empty set."""
+    """(doc_id, text_hash, n, class, prefix, point) of every document; class is null and the rest empty for an empty set."""
     often = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_buckets(docs, k)))
-    kept = docs.select("doc_id", utf8("text").alias("_utf8"))
+    kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text").alias("_utf8"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(often.value).view(bool)
@@ -123,12 +123,12 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 first = np.r_[own[~last], own[last]][: prefix_size(len(own), percent)]
                 classes.append(class_of(own)), prefixes.append(first.view(np.int64)), points.append(point(own).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary())],
-                names=["doc_id", "n", "class", "prefix", "point"],
+                [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in found], pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary())],
+                names=["doc_id", "text_hash", "n", "class", "prefix", "point"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(sign, f"doc_id {kind}, n long, class long, prefix array<long>, point binary")
+    return kept.mapInArrow(sign, f"doc_id {kind}, text_hash long, n long, class long, prefix array<long>, point binary")
 
 
 def bloom_positions(values: np.ndarray) -> list[np.ndarray]:
@@ -278,7 +278,7 @@ def candidate_pairs(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, text_hash) of every row of ``docs`` (doc_id, text); the last tells rows of one id apart."""
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, k, percent), "signatures")
     classes = signed.filter("class is not null").dropDuplicates(["class"])
@@ -310,5 +310,5 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     ids = ids.join(labels, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("label", "class").alias("label"))
     least = ids.groupBy("label").agg(F.min("id").alias("component_id"))
     of = stored(ids.join(least, "label").select(F.col("class").alias("_class"), "component_id"), "classes")
-    found = signed.select("doc_id", "n", "class").join(of, F.col("class") == F.col("_class"), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = signed.select("doc_id", "text_hash", "n", "class").join(of, F.col("class") == F.col("_class"), "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")

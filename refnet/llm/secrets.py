@@ -224,7 +224,8 @@ def find_secrets(docs: DataFrame, keep: list[str], rate: float = 0.01, battery_l
 def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, battery_level: float = 0.001) -> DataFrame:
     """The rows of ``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping spans by one); null text stays."""
     least = learn_thresholds(docs, rate, battery_level)
-    others = [c for c in docs.columns if c != "text"]
+    columns = docs.columns
+    others = [c for c in columns if c != "text"]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "_utf8"):
@@ -240,6 +241,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, battery_
                         out += [t[0][reach:a], mark]
                     reach = last = max(last, b)
                 texts.append("".join([*out, t[0][reach:]]))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in columns], names=columns)
 
     return docs.select(*others, utf8("text").alias("_utf8"), F.col("text").isNull().alias("_null")).mapInArrow(clean, docs.schema)
