@@ -65,6 +65,13 @@ def extended(df: DataFrame, keep: list[str], ddl: str) -> StructType:
     return StructType(df.select(*keep).schema.fields + StructType.fromDDL(ddl).fields)
 
 
+def carried(docs: DataFrame) -> tuple[DataFrame, list[str], list[Column]]:
+    """``docs`` as ``text`` and all columns under names that clash with none; those names; and the columns as they were."""
+    names = [f"_kept_{i}" for i in range(len(docs.columns))]
+    inner = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), F.col("text"))
+    return inner, names, [F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)]
+
+
 def utf8(text: str | Column) -> Column:
     """Text as UTF-8 bytes, null as empty."""
     text = F.col(text) if isinstance(text, str) else text

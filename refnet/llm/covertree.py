@@ -126,8 +126,9 @@ def search(queries: Tree, least: np.ndarray, query_ids: np.ndarray, data: Tree,
                 stack += sorted(pair for pair in zip(high.tolist(), below.tolist(), strict=True) if pair[0] >= worst[own].min())
                 continue
             s = products(queries.points[own], data.points[members])
-            s = np.where(data_ids[members][None, :] == query_ids[own][:, None], -np.inf, s)
-            good = s >= worst[own][:, None]
+            same = data_ids[members][None, :] == query_ids[own][:, None]
+            s = np.where(same, -np.inf, s)
+            good = (s >= worst[own][:, None]) & ~same
             if not good.any():
                 continue
             q, r = np.nonzero(good)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refnet.llm.common import extended, pieces, utf8
+from refnet.llm.common import carried, extended, pieces, utf8
 from refnet.llm.words import ALNUM, word_hashes
 
 WINDOW = 13
@@ -188,5 +188,5 @@ def contaminated(hit: str = "n_hit", words: str = "n_words") -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, with their columns."""
-    keep = docs.columns
-    return find_matches(docs, benchmark, keep, window).filter(~contaminated()).select(*keep)
+    inner, keep, names = carried(docs)
+    return find_matches(inner, benchmark, keep, window).filter(~contaminated()).select(*names)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refnet.llm.common import extended, pieces, utf8
+from refnet.llm.common import carried, extended, pieces, utf8
 from refnet.llm.words import buffers
 
 KINDS = ("assign", "access", "hex", "random")
@@ -224,8 +224,8 @@ def find_secrets(docs: DataFrame, keep: list[str], rate: float = 0.01, battery_l
 def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, battery_level: float = 0.001) -> DataFrame:
     """The rows of ``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping spans by one); null text stays."""
     least = learn_thresholds(docs, rate, battery_level)
-    columns = docs.columns
-    others = [c for c in columns if c != "text"]
+    inner, names, back = carried(docs)
+    at = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "_utf8"):
@@ -241,6 +241,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, battery_
                         out += [t[0][reach:a], mark]
                     reach = last = max(last, b)
                 texts.append("".join([*out, t[0][reach:]]))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in columns], names=columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else part.column(n) for i, n in enumerate(names)], names=names)
 
-    return docs.select(*others, utf8("text").alias("_utf8"), F.col("text").isNull().alias("_null")).mapInArrow(clean, docs.schema)
+    others = [n for i, n in enumerate(names) if i != at]
+    schema = inner.select(*names).schema
+    return inner.select(*others, utf8("text").alias("_utf8"), F.col("text").isNull().alias("_null")).mapInArrow(clean, schema).select(*back)
