@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FANOUT, LEAF = 16, 64
+FANOUT, LEAF = 16, 256
+SCORED = 1024  # rows of data that a group of queries is scored against at a time
 
 
 def quantized(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -55,10 +56,14 @@ def _padded(m: np.ndarray, width: int) -> np.ndarray:
     return np.pad(m, ((0, 0), (0, width - m.shape[1])))
 
 
+def fits(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether all inner products of two matrices are exact as doubles."""
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1]) < 2**53
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer inner products: as doubles while they fit, else as whole numbers of any size."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    return a.astype(np.float64) @ b.T.astype(np.float64) if most < 2**53 else a.astype(object) @ b.T.astype(object)
+    return a.astype(np.float64) @ b.T.astype(np.float64) if fits(a, b) else a.astype(object) @ b.T.astype(object)
 
 
 class Tree:
@@ -66,7 +71,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray):
         self.points = points
-        real = points.astype(np.float64)
+        self.real = real = points.astype(np.float64)
         self.centre: list[int] = []
         self.radius: list[float] = []
         self.children: list[list[int]] = []
@@ -102,38 +107,49 @@ class Tree:
 def search(queries: Tree, least: np.ndarray, query_ids: np.ndarray, data: Tree, data_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, score): the k best rows of ``data`` for every query that reach its score in ``least``."""
     worst = least.astype(np.float64).copy()
+    exact = fits(queries.points, data.points)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def bounds(node: int, others: np.ndarray) -> np.ndarray:
         r = queries.radii[node]
-        exact = data.centres[others] @ queries.centres[node]
-        bound = exact + queries.norms[node] * data.radii[others] + data.norms[others] * r + r * data.radii[others]
+        bound = data.centres[others] @ queries.centres[node] + queries.norms[node] * data.radii[others] + data.norms[others] * r + r * data.radii[others]
         return bound + 1e-9 * np.abs(bound) + 1e-6
 
+    def leaves(node: int, others: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The data leaves below ``others`` that the node's queries can still need, best bound first."""
+        done, bound = [], []
+        while len(others):
+            leaf = np.array([data.members[o] is not None for o in others.tolist()])
+            done.append(others[leaf]), bound.append(high[leaf])
+            others = np.array([c for o in others[~leaf].tolist() for c in data.children[o]], dtype=np.int64)
+            high = bounds(node, others)
+            keep = high >= worst[queries.members[node]].min()
+            others, high = others[keep], high[keep]
+        done, bound = np.concatenate(done), np.concatenate(bound)
+        order = np.argsort(-bound)
+        return done[order], bound[order]
+
     def group(node: int, others: np.ndarray, high: np.ndarray) -> None:
-        """A leaf of queries against data nodes, best bound first."""
+        """A leaf of queries against data nodes."""
         own = queries.members[node]
-        stack = sorted(zip(high.tolist(), others.tolist(), strict=True))
+        others, high = leaves(node, others, high)
         tops = np.full((len(own), k), -np.inf)
-        while stack:
-            bound, other = stack.pop()
-            if bound < worst[own].min():
-                continue
-            members = data.members[other]
-            if members is None:
-                below = np.array(data.children[other])
-                high = bounds(node, below)
-                stack += sorted(pair for pair in zip(high.tolist(), below.tolist(), strict=True) if pair[0] >= worst[own].min())
-                continue
-            s = products(queries.points[own], data.points[members])
+        at = 0
+        while at < len(others) and high[at] >= worst[own].min():
+            taken, size = [], 0
+            while at < len(others) and size < SCORED and high[at] >= worst[own].min():
+                taken.append(data.members[others[at]])
+                size += len(taken[-1])
+                at += 1
+            members = np.concatenate(taken)
+            s = queries.real[own] @ data.real[members].T if exact else products(queries.points[own], data.points[members])
             same = data_ids[members][None, :] == query_ids[own][:, None]
-            s = np.where(same, -np.inf, s)
             good = (s >= worst[own][:, None]) & ~same
             if not good.any():
                 continue
             q, r = np.nonzero(good)
             found.append((own[q], members[r], s[q, r]))
-            merged = np.concatenate([tops, s.astype(np.float64)], axis=1)
+            merged = np.concatenate([tops, np.where(good, s, -np.inf).astype(np.float64)], axis=1)
             tops = -np.partition(-merged, k - 1, axis=1)[:, :k]
             worst[own] = np.maximum(worst[own], tops[:, k - 1])
 
