@@ -2,28 +2,26 @@
 
 Every query reads the whole test tables of ``sf_dir`` (the activity log is derived from ``events``, see
 ``refnet.sources.fixture``) and returns a DataFrame. Timestamps are returned as ``yyyy-MM-dd HH:mm:ss`` text so that
-they compare across engines. ``oracle_sql`` gives, for each key, the literal SQL form of the same stage for DuckDB.
+they compare across engines. ``oracle_sql`` gives, for each key, DuckDB SQL written from the stage's definition.
 """
 
 from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from refnet.functions.columns import timestamp_key, timestamp_text  # noqa: E402
-from refnet.operators import cites, core, disrupt, normalize, refs, relational  # noqa: E402
+from refnet.operators import cites, core, normalize, refs, relational  # noqa: E402
 from refnet.plans.network import ReferenceNetwork  # noqa: E402
 from refnet.plans.views import register_views, sql_focal_counts  # noqa: E402
-from refnet.schema import CORE_SCHEMA, FOCAL_EDGE_SCHEMA, RAW_LOG_SCHEMA  # noqa: E402
-from refnet.session import CORE_CONF, checkpoint_dir  # noqa: E402
+from refnet.schema import CORE_SCHEMA, FOCAL_EDGE_SCHEMA  # noqa: E402
+from refnet.session import work_dir  # noqa: E402
 from refnet.sources import delimited, fixture  # noqa: E402
 
 try:  # the training-data operators are optional: without their folder the other queries stay
@@ -37,13 +35,7 @@ except ModuleNotFoundError as missing:
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
-def _prepare(spark: SparkSession) -> None:
-    for key, value in CORE_CONF.items():
-        spark.conf.set(key, value)
-
-
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _prepare(spark)
     return fixture.raw_log(spark, sf_dir)
 
 
@@ -51,10 +43,6 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_log(_raw(spark, sf_dir))
 
 
-def _pull_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.normalize_log(_raw(spark, sf_dir), dedup=False)
-
-
 def _ts_text(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: timestamp_text(c) for c in cols})
 
@@ -68,72 +56,53 @@ def _stage(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: getattr(_net(spark, sf_dir), name)
 
 
-def _core(spark, sf_dir):
-    return _net(spark, sf_dir).core_contributors
-
-
-def _focal_refs(spark, sf_dir):
-    return _net(spark, sf_dir).focal_refs
-
-
-def _shared_scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory (never a machine-local temp dir on a cluster)."""
-    base = checkpoint_dir(spark, local_fallback=True)
-    return os.path.join(base, "refnet-io", f"{name}-{uuid.uuid4().hex}")
-
-
+# The file queries write before they return: a reader needs its files when the plan is made.
 def _scan_log_csv(spark, sf_dir):
-    path = _shared_scratch(spark, "log-csv")
-    delimited.write_dataset(_raw(spark, sf_dir), path, fmt="csv")
-    schema = T.StructType([T.StructField("event_id", T.LongType())] + list(RAW_LOG_SCHEMA.fields))
-    return delimited.read_activity_log(spark, path, fmt="csv", schema=schema)
+    """The log through CSV, its columns in another order and with one more."""
+    path = work_dir(spark, "log-csv")
+    raw = _raw(spark, sf_dir)
+    delimited.write_dataset(raw.select("Type", "created_at", "event_id", "actor_id", "repo_name", "repo_id"), path, fmt="csv")
+    return delimited.read_activity_log(spark, path).withColumn("event_id", F.col("event_id").cast("long"))
 
 
 def _scan_schema_csv(spark, sf_dir):
-    path = _shared_scratch(spark, "core-csv")
-    cc = _core(spark, sf_dir).select(F.col("repo_id").alias("cc_repo_id"), "actor_id")
+    path = work_dir(spark, "core-csv")
+    cc = _net(spark, sf_dir).core_contributors.select(F.col("repo_id").alias("cc_repo_id"), "actor_id")
     delimited.write_dataset(cc, path, fmt="csv", header=False)
     return delimited.read_with_schema(spark, CORE_SCHEMA, path, header=False)
 
 
 def _scan_pipe_csv(spark, sf_dir):
-    _prepare(spark)
     customer = fixture.read_table(spark, sf_dir, "customer")
-    path = _shared_scratch(spark, "customer-pipe")
+    path = work_dir(spark, "customer-pipe")
     delimited.write_dataset(customer, path, fmt="csv", sep="|")
     return delimited.read_pipe_delimited(spark, path, schema=customer.schema)
 
 
-def _roundtrip_edges(spark, sf_dir):
-    path = _shared_scratch(spark, "focal-edges")
-    delimited.write_dataset(refs.focal_edges(_focal_refs(spark, sf_dir)), path, fmt="csv")
+def _roundtrip_edges(spark, sf_dir, files=None):
+    path = work_dir(spark, "focal-edges")
+    delimited.write_dataset(_net(spark, sf_dir).focal_edges, path, fmt="csv", files=files)
     return delimited.read_edges(spark, path, fmt="csv", schema=FOCAL_EDGE_SCHEMA)
 
 
 def _sql_surface(spark, sf_dir):
-    register_views({"refnet_focal_refs": _focal_refs(spark, sf_dir)})
+    register_views({"refnet_focal_refs": _net(spark, sf_dir).focal_refs})
     return sql_focal_counts(spark, "refnet_focal_refs")
 
 
 def _citations_broadcast(net: ReferenceNetwork) -> DataFrame:
-    return cites.citations_broadcast(net.core_contributors, net.distinct_pull_pairs)
+    return cites.citations_plain(net.core_contributors, net.distinct_pull_pairs)
 
 
 def _anti_via_null(net: ReferenceNetwork) -> DataFrame:
-    """Literal actual I over the literal J (source actors JOIN reference actors), as the original spells it."""
-    j = disrupt.j_edges_literal(net.source_actors, net.reference_actors)
-    return disrupt.anti_via_null(net.citation_edges, j)
+    """Actual I by the outer join and null test over J."""
+    j = net.j_edges.select("source_repo_citing_focal_repo")
+    return relational.unmatched(net.citation_edges, j, "source_repo_citing_focal_repo").distinct().select(*net.citation_edges.columns)
 
 
 def _left_anti(spark, sf_dir):
-    _prepare(spark)
-    customer = fixture.read_table(spark, sf_dir, "customer")
-    urgent = (
-        fixture.read_table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "1-URGENT")
-        .select(F.col("o_custkey").alias("c_custkey"))
-    )
-    return relational.left_anti(customer, urgent, "c_custkey")
+    """Documents without a label."""
+    return relational.left_anti(fixture.read_table(spark, sf_dir, "documents"), fixture.read_table(spark, sf_dir, "labels"), "doc_id")
 
 
 def _case_label(spark, sf_dir):
@@ -168,9 +137,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "case_label": _case_label,
     "push_counts": lambda s, d: core.push_counts(_log(s, d)),
     "avg_push": lambda s, d: core.avg_push(_log(s, d)),
-    "join_left_filter": lambda s, d: core.core_contributors_literal(_log(s, d)),
+    "join_left_filter": lambda s, d: core.core_by_outer_join(_log(s, d)),
     "core_contributors": _stage("core_contributors"),
-    "core_contributors_window": lambda s, d: core.core_contributors(_log(s, d), method="window"),
+    "core_contributors_window": lambda s, d: core.core_by_window(core.push_activity(_log(s, d))).select("repo_id", "actor_id"),
     "push_tenure": lambda s, d: _ts_text(core.push_tenure(_log(s, d)), "min_d", "max_d"),
     "core_tenure": lambda s, d: _ts_text(_net(s, d).core_tenure, "min_d", "max_d"),
     "focal_refs": _stage("focal_refs"),
@@ -197,6 +166,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_schema_csv": _scan_schema_csv,
     "scan_pipe_csv": _scan_pipe_csv,
     "roundtrip_edges": _roundtrip_edges,
+    "few_files_csv": lambda s, d: _roundtrip_edges(s, d, files=1),
+    "to_width": lambda s, d: relational.to_width(_net(s, d).distinct_pull_pairs, 12, "actor_id"),
 }
 
 
@@ -213,120 +184,101 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # --- oracle ------------------------------------------------------------------------------------------------------
-# Literal SQL forms, one statement each, sharing the stage definitions below.
+# Each stage written from its definition; the stages below are shared by the statements.
 
 _STAGES = """
-raw0 AS (
-  SELECT event_id,
-         (user_id // 3) * 40 + CAST(json_extract_string(props, '$.k') AS BIGINT) % 40 AS repo_id,
-         user_id AS actor_id,
-         CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'purchase' THEN 'PullRequestEvent' ELSE event_type END AS "Type",
-         strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS created_at
+shaped AS (
+  SELECT event_id, (user_id // 3) * 40 + CAST(json_extract_string(props, '$.k') AS BIGINT) % 40 AS repo_id, user_id AS actor_id,
+    CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'purchase' THEN 'PullRequestEvent' ELSE event_type END AS "Type",
+    strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS created_at,
+    unnest(range(CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END)) AS copy
   FROM events),
-raw1 AS (
-  SELECT event_id, repo_id, 'org/repo_' || CAST(repo_id AS VARCHAR) AS repo_name, actor_id, "Type", created_at FROM raw0),
-raw AS (SELECT * FROM raw1 UNION ALL SELECT * FROM raw1 WHERE event_id % 10 = 0),
+raw AS (SELECT event_id, repo_id, 'org/repo_' || CAST(repo_id AS VARCHAR) AS repo_name, actor_id, "Type", created_at FROM shaped),
 log AS (
-  SELECT repo_id, repo_name, actor_id, "Type", TRY_CAST(substr(created_at, 1, 19) AS TIMESTAMP) AS created_at
-  FROM (SELECT DISTINCT * FROM raw) d),
-push AS (SELECT * FROM log WHERE "Type" = 'PushEvent'),
-pull AS (SELECT * FROM log WHERE "Type" = 'PullRequestEvent'),
-push_counts AS (SELECT actor_id, repo_id, count(*) AS NO_OF_PUSH_EVENT FROM push GROUP BY actor_id, repo_id),
-avg_push AS (SELECT repo_id, count(*) / count(DISTINCT actor_id) AS AVG_PUSH_EVENT FROM push GROUP BY repo_id),
-cc AS (
-  SELECT DISTINCT a.repo_id, a.actor_id FROM push_counts a LEFT JOIN avg_push b ON a.repo_id = b.repo_id
-  WHERE a.NO_OF_PUSH_EVENT >= b.AVG_PUSH_EVENT),
-tenure AS (SELECT repo_id, actor_id, min(created_at) AS min_d, max(created_at) AS max_d FROM push GROUP BY repo_id, actor_id),
-core_tenure AS (
-  SELECT c.repo_id AS focal_repo_id, t.actor_id, t.min_d, t.max_d
-  FROM tenure t JOIN cc c ON t.actor_id = c.actor_id AND t.repo_id = c.repo_id),
-focal_refs AS (
-  SELECT DISTINCT e.focal_repo_id, f.repo_id FROM core_tenure e JOIN pull f
-  ON e.actor_id = f.actor_id AND e.focal_repo_id <> f.repo_id AND f.created_at BETWEEN e.min_d AND e.max_d),
-focal_edges AS (SELECT focal_repo_id, focal_repo_id AS source_repo, repo_id AS destination_repo_id FROM focal_refs),
-focal_counts AS (SELECT focal_repo_id, count(*) AS count_focal_repo_id FROM focal_refs GROUP BY focal_repo_id),
-pull_pairs AS (SELECT DISTINCT repo_id, actor_id FROM pull),
-citations AS (
-  SELECT DISTINCT c.repo_id AS source_repo_citing_focal_repo, e.actor_id, e.repo_id AS focal_repo_id
-  FROM cc c JOIN pull_pairs e ON e.actor_id = c.actor_id AND c.repo_id <> e.repo_id),
-citation_edges AS (
-  SELECT focal_repo_id, source_repo_citing_focal_repo, focal_repo_id AS destination_focal_repo FROM citations),
-source_actors AS (
-  SELECT DISTINCT c.repo_id AS focal_repo_id, f.source_repo_citing_focal_repo, c.actor_id
-  FROM cc c JOIN citation_edges f ON c.repo_id = f.source_repo_citing_focal_repo),
-reference_actors AS (
-  SELECT DISTINCT e.focal_repo_id, e.destination_repo_id, f.actor_id
-  FROM focal_edges e JOIN pull_pairs f ON e.destination_repo_id = f.repo_id),
-j_edges AS (
-  SELECT DISTINCT e.focal_repo_id, e.source_repo_citing_focal_repo, f.destination_repo_id
-  FROM source_actors e JOIN reference_actors f ON e.actor_id = f.actor_id),
-actual_i_edges AS (
-  SELECT DISTINCT e.focal_repo_id, e.source_repo_citing_focal_repo, e.destination_focal_repo
-  FROM citation_edges e LEFT JOIN j_edges f ON e.source_repo_citing_focal_repo = f.source_repo_citing_focal_repo
-  WHERE f.focal_repo_id IS NULL)
+  SELECT repo_id, repo_name, actor_id, "Type", CAST(left(created_at, 19) AS TIMESTAMP) AS created_at
+  FROM raw GROUP BY event_id, repo_id, repo_name, actor_id, "Type", raw.created_at),
+pusher AS (
+  SELECT repo_id, actor_id, count(*) AS pushes, min(created_at) AS min_d, max(created_at) AS max_d
+  FROM log WHERE "Type" = 'PushEvent' GROUP BY repo_id, actor_id),
+member AS (
+  SELECT repo_id, actor_id, min_d, max_d FROM pusher
+  QUALIFY repo_id IS NOT NULL AND count(actor_id) OVER (PARTITION BY repo_id) > 0
+    AND pushes * count(actor_id) OVER (PARTITION BY repo_id) >= sum(pushes) OVER (PARTITION BY repo_id)),
+puller AS (SELECT repo_id, actor_id FROM log WHERE "Type" = 'PullRequestEvent' GROUP BY ALL),
+reference AS (
+  SELECT m.repo_id AS focal, p.repo_id AS destination
+  FROM log p JOIN member m USING (actor_id)
+  WHERE p."Type" = 'PullRequestEvent' AND p.created_at >= m.min_d AND p.created_at <= m.max_d AND p.repo_id <> m.repo_id
+  GROUP BY ALL),
+citing AS (
+  SELECT m.repo_id AS source, actor_id, p.repo_id AS focal FROM puller p JOIN member m USING (actor_id) WHERE p.repo_id <> m.repo_id),
+citer AS (SELECT repo_id, actor_id FROM member WHERE repo_id IN (SELECT source FROM citing)),
+j AS (
+  SELECT c.repo_id AS source, p.repo_id AS destination FROM puller p JOIN citer c USING (actor_id)
+  WHERE p.repo_id IN (SELECT destination FROM reference) GROUP BY ALL),
+outside AS (SELECT focal, source FROM citing c WHERE NOT EXISTS (FROM j WHERE j.source = c.source) GROUP BY ALL)
 """
 
 _TS = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+_EVENTS = f"SELECT repo_id, repo_name, actor_id, \"Type\", {_TS.format(c='created_at')} FROM log"
+_CORE = "SELECT repo_id, actor_id FROM member"
+_REFERENCES = "SELECT focal AS focal_repo_id, destination AS repo_id FROM reference"
+_EDGES = "SELECT focal AS focal_repo_id, focal AS source_repo, destination AS destination_repo_id FROM reference"
+_REFERENCE_COUNTS = "SELECT focal AS focal_repo_id, count(*) AS count_focal_repo_id FROM reference GROUP BY focal"
+_CITING = "SELECT source AS source_repo_citing_focal_repo, actor_id, focal AS focal_repo_id FROM citing"
+_OUTSIDE = "SELECT focal AS focal_repo_id, source AS source_repo_citing_focal_repo, focal AS destination_focal_repo FROM outside"
 
 _FINAL = {
-    "dedup_raw": "SELECT DISTINCT * FROM raw",
-    "normalized_log": f"SELECT repo_id, repo_name, actor_id, \"Type\", {_TS.format(c='created_at')} FROM log",
-    "timestamp_key": """SELECT event_id, created_at,
-        CASE WHEN len(string_split(created_at, ' ')) >= 2
-             THEN string_split(created_at, ' ')[1] || '_' || string_split(created_at, ' ')[2] END AS ts_key FROM raw""",
-    "filter_push": f"SELECT repo_id, repo_name, actor_id, \"Type\", {_TS.format(c='created_at')} FROM push",
-    "filter_pull": f"SELECT repo_id, repo_name, actor_id, \"Type\", {_TS.format(c='created_at')} FROM pull",
-    "case_label": """SELECT repo_id, actor_id, "Type",
-        CASE WHEN "Type" = 'PushEvent' THEN 'push' WHEN "Type" = 'PullRequestEvent' THEN 'pull' ELSE 'other' END AS kind
-        FROM log""",
-    "push_counts": "SELECT * FROM push_counts",
-    "avg_push": "SELECT * FROM avg_push",
-    "join_left_filter": "SELECT * FROM cc",
-    "core_contributors": "SELECT * FROM cc",
-    "core_contributors_window": "SELECT * FROM cc",
-    "push_tenure": f"SELECT repo_id, actor_id, {_TS.format(c='min_d')}, {_TS.format(c='max_d')} FROM tenure",
-    "core_tenure": f"SELECT focal_repo_id, actor_id, {_TS.format(c='min_d')}, {_TS.format(c='max_d')} FROM core_tenure",
-    "focal_refs": "SELECT * FROM focal_refs",
-    "focal_edges": "SELECT * FROM focal_edges",
-    "focal_counts": "SELECT * FROM focal_counts",
-    "top_focal": "SELECT * FROM focal_counts ORDER BY count_focal_repo_id DESC, focal_repo_id ASC LIMIT 20",
-    "distinct_pull_pairs": "SELECT * FROM pull_pairs",
-    "citations": "SELECT * FROM citations",
-    "citations_broadcast": "SELECT * FROM citations",
-    "citation_edges": "SELECT * FROM citation_edges",
-    "citation_counts": "SELECT focal_repo_id, count(*) AS \"COUNT\" FROM citation_edges GROUP BY focal_repo_id",
-    "source_actors": "SELECT * FROM source_actors",
-    "reference_actors": "SELECT * FROM reference_actors",
-    "j_edges": "SELECT * FROM j_edges",
-    "j_counts": "SELECT focal_repo_id, count(*) AS J_Count FROM j_edges GROUP BY focal_repo_id",
-    "actual_i_edges": "SELECT * FROM actual_i_edges",
-    "actual_i_counts": "SELECT focal_repo_id, count(*) AS \"count\" FROM actual_i_edges GROUP BY focal_repo_id",
-    "anti_via_null": "SELECT * FROM actual_i_edges",
-    "theta_pair_counts": """SELECT f.focal_repo_id, count(*) AS pair_count
-        FROM cc e JOIN citation_edges f ON e.repo_id <> f.source_repo_citing_focal_repo GROUP BY f.focal_repo_id""",
-    "stage_counts": """SELECT 'normalized_log' AS stage, count(*) AS "rows" FROM log
-        UNION ALL SELECT 'core_contributors', count(*) FROM cc
-        UNION ALL SELECT 'focal_refs', count(*) FROM focal_refs
-        UNION ALL SELECT 'distinct_pull_pairs', count(*) FROM pull_pairs""",
-    "sql_surface": "SELECT * FROM focal_counts",
-    "scan_log_csv": "SELECT * FROM raw",
-    "scan_schema_csv": "SELECT repo_id AS cc_repo_id, actor_id FROM cc",
-    "scan_pipe_csv": "SELECT * FROM customer",
-    "roundtrip_edges": "SELECT * FROM focal_edges",
+    "dedup_raw": "FROM raw GROUP BY ALL",
+    "normalized_log": _EVENTS,
+    "timestamp_key": "SELECT event_id, created_at, regexp_extract(created_at, '^([^ ]*) ([^ ]*)', 1) || '_' || regexp_extract(created_at, '^([^ ]*) ([^ ]*)', 2) AS ts_key FROM raw",
+    "filter_push": f"{_EVENTS} WHERE \"Type\" = 'PushEvent'",
+    "filter_pull": f"{_EVENTS} WHERE \"Type\" = 'PullRequestEvent'",
+    "case_label": """SELECT repo_id, actor_id, "Type", coalesce(map {'PushEvent': 'push', 'PullRequestEvent': 'pull'}["Type"], 'other') AS kind FROM log""",
+    "push_counts": "SELECT actor_id, repo_id, pushes AS NO_OF_PUSH_EVENT FROM pusher",
+    "avg_push": "SELECT repo_id, CAST(sum(pushes) AS DOUBLE) / nullif(count(actor_id), 0) AS AVG_PUSH_EVENT FROM pusher GROUP BY repo_id",
+    "join_left_filter": _CORE,
+    "core_contributors": _CORE,
+    "core_contributors_window": _CORE,
+    "push_tenure": f"SELECT repo_id, actor_id, {_TS.format(c='min_d')}, {_TS.format(c='max_d')} FROM pusher",
+    "core_tenure": f"SELECT repo_id AS focal_repo_id, actor_id, {_TS.format(c='min_d')}, {_TS.format(c='max_d')} FROM member WHERE actor_id IS NOT NULL",
+    "focal_refs": _REFERENCES,
+    "focal_edges": _EDGES,
+    "focal_counts": _REFERENCE_COUNTS,
+    "top_focal": f"{_REFERENCE_COUNTS} ORDER BY 2 DESC, 1 LIMIT 20",
+    "distinct_pull_pairs": "FROM puller",
+    "citations": _CITING,
+    "citations_broadcast": _CITING,
+    "citation_edges": "SELECT focal AS focal_repo_id, source AS source_repo_citing_focal_repo, focal AS destination_focal_repo FROM citing",
+    "citation_counts": "SELECT focal AS focal_repo_id, count(*) AS \"COUNT\" FROM citing GROUP BY focal",
+    "source_actors": "SELECT repo_id AS focal_repo_id, repo_id AS source_repo_citing_focal_repo, actor_id FROM citer",
+    "reference_actors": "SELECT r.focal AS focal_repo_id, r.destination AS destination_repo_id, p.actor_id FROM puller p JOIN reference r ON p.repo_id = r.destination",
+    "j_edges": "SELECT source AS focal_repo_id, source AS source_repo_citing_focal_repo, destination AS destination_repo_id FROM j",
+    "j_counts": "SELECT source AS focal_repo_id, count(*) AS J_Count FROM j GROUP BY source",
+    "actual_i_edges": _OUTSIDE,
+    "actual_i_counts": "SELECT focal AS focal_repo_id, count(*) AS \"count\" FROM outside GROUP BY focal",
+    "anti_via_null": _OUTSIDE,
+    "theta_pair_counts": "SELECT c.focal AS focal_repo_id, count(*) AS pair_count FROM citing c, member m WHERE m.repo_id <> c.source GROUP BY c.focal",
+    "stage_counts": """SELECT 'normalized_log' AS stage, (SELECT count(*) FROM log) AS "rows"
+        UNION ALL SELECT 'core_contributors', (SELECT count(*) FROM member)
+        UNION ALL SELECT 'focal_refs', (SELECT count(*) FROM reference)
+        UNION ALL SELECT 'distinct_pull_pairs', (SELECT count(*) FROM puller)""",
+    "sql_surface": _REFERENCE_COUNTS,
+    "scan_log_csv": "FROM raw",
+    "scan_schema_csv": "SELECT repo_id AS cc_repo_id, actor_id FROM member",
+    "roundtrip_edges": _EDGES,
+    "few_files_csv": _EDGES,
+    "to_width": "FROM puller",
 }
 
 _STANDALONE = {
-    "left_anti": """SELECT c.* FROM customer c
-        WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""",
-    "scan_pipe_csv": "SELECT * FROM customer",
+    "left_anti": "FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)",
+    "scan_pipe_csv": "FROM customer",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {}
-    for key, final in _FINAL.items():
-        out[key] = _STANDALONE.get(key) or f"WITH {_STAGES.strip()}\n{final}"
-    out.update(_STANDALONE)
+    out = {key: f"WITH {_STAGES.strip()}\n{final}" for key, final in _FINAL.items()} | _STANDALONE
     if llm_queries is not None:
         out.update(llm_queries.ORACLES)
         if corpus_pipeline.ORACLE_SQL:

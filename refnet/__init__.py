@@ -1,20 +1,17 @@
 """refnet: a repository-to-repository reference network built from a code-hosting activity log.
 
-Every operator takes DataFrames and returns a DataFrame. No operator runs an action, registers a view or
-touches storage; the plans in :mod:`refnet.plans` decide what is persisted, written or checkpointed.
+Operators take DataFrames and return a DataFrame; none runs an action or touches storage. ``refnet.plans.network`` decides
+what is kept or written.
 
 Layout
 ------
-``refnet.schema``      column names, event-type constants, StructTypes
-``refnet.session``     session defaults (UTC, AQE, skew join) and the checkpoint-dir helper
+``refnet.schema``      event-type constants, StructTypes
+``refnet.session``     session defaults and the shared work folder
 ``refnet.functions``   column expressions (timestamp parsing, timestamp key, safe ratio, case label)
 ``refnet.sources``     delimited / parquet readers and writers, the log derived from ``events``
 ``refnet.operators``   normalise, core contributors, references, citations, J and actual I
-``refnet.plans``       skew-safe joins, the whole-run plan, SQL view registration
-``refnet.streaming``   incremental ingest of the log with Structured Streaming
+``refnet.plans``       balanced joins, the whole run, SQL view registration
+``refnet.llm``         training-data operators; nothing outside uses them
 """
 
-from refnet import schema  # noqa: F401
-
-__all__ = ["schema"]
-__version__ = "0.1.0"
+__version__ = "0.2.0"

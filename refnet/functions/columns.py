@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refnet.schema import TIMESTAMP_TEXT_FORMAT, TIMESTAMP_TEXT_LENGTH
+from refnet.schema import TIMESTAMP_TEXT_LENGTH, TIMESTAMP_TEXT_PATTERN
 
 
 def _col(c: str | Column) -> Column:
@@ -15,18 +15,19 @@ def _col(c: str | Column) -> Column:
 
 
 def parse_created_at(c: str | Column = "created_at") -> Column:
-    """First 19 characters of the text, read as ``yyyy-MM-dd HH:mm:ss`` in the session zone.
+    """First 19 characters of the text, ``yyyy-MM-dd HH:mm:ss``, as a timestamp without zone.
 
-    Drops a fraction of a second and a zone suffix such as `` UTC``. Text that does not parse becomes null
-    instead of failing the job under ANSI mode.
+    Drops a fraction of a second and a zone suffix such as `` UTC``. The log is in UTC throughout, and a type without zone
+    compares and prints the same under any session zone, also within an hour that the session's zone skips. Text that does
+    not parse becomes null instead of failing the job under ANSI mode.
     """
     head = F.substring(_col(c), 1, TIMESTAMP_TEXT_LENGTH)
-    return F.try_to_timestamp(head, F.lit(TIMESTAMP_TEXT_FORMAT))
+    return F.when(head.rlike(TIMESTAMP_TEXT_PATTERN), head.try_cast("timestamp_ntz"))
 
 
 def timestamp_text(c: str | Column) -> Column:
-    """A timestamp as ``yyyy-MM-dd HH:mm:ss`` text (for exchange with other engines and CSV sinks)."""
-    return F.date_format(_col(c), TIMESTAMP_TEXT_FORMAT)
+    """A zone-less timestamp as ``yyyy-MM-dd HH:mm:ss`` text (for exchange with other engines and CSV sinks)."""
+    return F.substring(_col(c).cast("timestamp_ntz").cast("string"), 1, TIMESTAMP_TEXT_LENGTH)
 
 
 def timestamp_key(c: str | Column = "created_at") -> Column:

@@ -1,50 +1 @@
 """DataFrame-in, DataFrame-out operators of the reference network."""
-
-from refnet.operators.cites import (  # noqa: F401
-    citation_counts,
-    citation_counts_from_edges,
-    citation_edges,
-    citations,
-    citations_broadcast,
-    distinct_pull_pairs,
-    theta_pair_counts,
-    theta_pair_counts_literal,
-)
-from refnet.operators.core import (  # noqa: F401
-    avg_push,
-    core_activity,
-    core_contributors,
-    core_contributors_literal,
-    core_tenure,
-    core_tenure_literal,
-    push_activity,
-    push_counts,
-    push_tenure,
-)
-from refnet.operators.disrupt import (  # noqa: F401
-    actual_i_counts,
-    actual_i_edges,
-    actual_i_edges_from,
-    anti_via_null,
-    citing_sources,
-    destination_pullers,
-    j_counts,
-    j_edges,
-    j_edges_literal,
-    j_sources,
-    reference_actors,
-    source_actors,
-    source_actors_literal,
-)
-from refnet.operators.normalize import dedup_raw, filter_event, normalize_log, pull_events, push_events  # noqa: F401
-from refnet.operators.refs import (  # noqa: F401
-    focal_counts,
-    focal_edges,
-    focal_refs,
-    focal_refs_from,
-    focal_refs_literal,
-    pull_times,
-    top_focal,
-    top_n,
-)
-from refnet.operators.relational import left_anti, left_semi, stage_counts, with_case_label, with_timestamp_key  # noqa: F401

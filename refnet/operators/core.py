@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 
 from refnet.functions.columns import safe_ratio
 from refnet.operators.normalize import push_events
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, salted_join, top_hot
+from refnet.operators.relational import left_join_filter
+from refnet.plans.skew import balanced_join
 
 N = "NO_OF_PUSH_EVENT"
 AVG = "AVG_PUSH_EVENT"
+BUCKETS = 1024  # of a repository's actors, in the window form
 
 
 def push_activity(log: DataFrame) -> DataFrame:
     """(repo_id, actor_id, NO_OF_PUSH_EVENT, min_d, max_d): count, first and last push per (repo, actor).
 
-    One hash aggregate with partial aggregation serves the counts (D1) and the tenure (D3), so the later
-    count/tenure join of the literal form (C2) is not needed.
+    One hash aggregate with partial aggregation serves the counts (D1) and the tenure (D3), so no later join of the two is
+    needed (C2).
     """
     return push_events(log).groupBy("repo_id", "actor_id").agg(
         F.count(F.lit(1)).alias(N),
@@ -42,100 +44,55 @@ def push_tenure(log: DataFrame) -> DataFrame:
     return push_activity(log).select("repo_id", "actor_id", "min_d", "max_d")
 
 
-def repo_push_stats(activity: DataFrame) -> DataFrame:
-    """(repo_id, pushes, actors, pairs, AVG_PUSH_EVENT) from :func:`push_activity`.
+def repo_means(activity: DataFrame) -> DataFrame:
+    """(repo_id, AVG_PUSH_EVENT) from :func:`push_activity`: each (repo, actor) is one row there, so counting the non-null
+    actors equals the distinct count."""
+    return activity.groupBy("repo_id").agg(safe_ratio(F.sum(N), F.count("actor_id")).alias(AVG))
 
-    ``actors`` counts non-null actors; since each (repo, actor) is one row here this equals
-    ``count(distinct actor_id)`` without the distinct-count expansion. ``pairs`` (rows per repo in ``activity``)
-    tells which repositories are hot for the join back.
-    """
-    return (
-        activity.groupBy("repo_id")
-        .agg(
-            F.sum(N).alias("pushes"),
-            F.count("actor_id").alias("actors"),
-            F.count(F.lit(1)).alias("pairs"),
-        )
-        .withColumn(AVG, safe_ratio("pushes", "actors"))
-    )
+
+def avg_push(log: DataFrame) -> DataFrame:
+    """(repo_id, AVG_PUSH_EVENT) = pushes / distinct pushers."""
+    return repo_means(push_activity(log))
 
 
-def avg_push(log: DataFrame, literal: bool = False) -> DataFrame:
-    """(repo_id, AVG_PUSH_EVENT) = pushes / distinct pushers.
+def core_of(activity: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`push_activity` that meet their repository's mean.
 
-    The default computes it from the per-(repo, actor) aggregate (two partial-aggregated shuffles, the first shared
-    with the counts). ``literal=True`` spells ``count(*) / count(distinct actor_id)`` directly.
+    The mean has one row per repository, so a repository with very many actors is dealt over several tasks and the mean
+    copied to them.
     """
-    if literal:
-        return push_events(log).groupBy("repo_id").agg(
-            safe_ratio(F.count(F.lit(1)), F.countDistinct("actor_id")).alias(AVG)
-        )
-    return repo_push_stats(push_activity(log)).select("repo_id", AVG)
+    means = repo_means(activity).filter(F.col("repo_id").isNotNull() & F.col(AVG).isNotNull())
+    met = balanced_join(activity, means, ["repo_id"], "left", left_salt=["repo_id", "actor_id"], hot=hot)
+    return met.filter(F.col(N) >= F.col(AVG)).drop(AVG)
 
 
-def core_activity(log: DataFrame, method: str = "join", policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """:func:`push_activity` rows that meet their repository's mean.
+def core_by_window(activity: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """As :func:`core_of`, with the mean from a window. A repository's actors are summed by bucket first, so the window sees
+    ``buckets`` rows of a repository at most, and each bucket is joined with its own copy of the mean."""
+    bucket = F.pmod(F.xxhash64("actor_id"), F.lit(buckets))
+    sums = activity.groupBy("repo_id", bucket.alias("_bucket")).agg(F.sum(N).alias("_n"), F.count("actor_id").alias("_actors"))
+    repo = Window.partitionBy("repo_id")
+    means = sums.select("repo_id", "_bucket", safe_ratio(F.sum("_n").over(repo), F.sum("_actors").over(repo)).alias(AVG))
+    met = activity.withColumn("_bucket", bucket).join(means, ["repo_id", "_bucket"])
+    return met.filter(F.col(N) >= F.col(AVG)).drop(AVG, "_bucket")
 
-    ``method="join"`` (default) joins the per-repo mean back on ``repo_id``: the stats side has one row per
-    repository, so a hot repository is split by the salted join (or AQE) without moving a whole group into one
-    task. ``method="window"`` computes the mean with window aggregates over ``repo_id`` instead (one exchange fewer,
-    but one task per repository).
-    """
-    activity = push_activity(log)
-    if method == "window":
-        by_repo = Window.partitionBy("repo_id")
-        withmean = activity.withColumn(AVG, safe_ratio(F.sum(N).over(by_repo), F.count("actor_id").over(by_repo)))
-        return withmean.filter(F.col("repo_id").isNotNull() & (F.col(N) >= F.col(AVG))).drop(AVG)
-    if method != "join":
-        raise ValueError(f"unknown method {method!r}")
-    stats = repo_push_stats(activity).filter(F.col("repo_id").isNotNull() & F.col(AVG).isNotNull())
-    hot = None
-    if policy.enabled:
-        hot = top_hot(stats, ["repo_id"], "pairs", policy)
-    means = stats.select("repo_id", AVG)
-    return salted_join(
-        activity, means, ["repo_id"], condition=lambda: F.col(N) >= F.col(AVG), policy=policy, hot=hot
-    ).drop(AVG)
-
-
-def core_contributors(log: DataFrame, method: str = "join", policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(repo_id, actor_id): the core-contributor set.
-
-    Rows are already unique per (repo, actor) after the aggregate, so no distinct is needed.
-    ``method="literal"`` runs the original two-aggregate left-join form (:func:`core_contributors_literal`).
-    """
-    if method == "literal":
-        return core_contributors_literal(log)
-    return core_activity(log, method, policy).select("repo_id", "actor_id")
 
+def core_contributors(log: DataFrame) -> DataFrame:
+    """(repo_id, actor_id): the core-contributor set; unique already, after the aggregate."""
+    return core_of(push_activity(log)).select("repo_id", "actor_id")
 
-def core_contributors_literal(log: DataFrame) -> DataFrame:
-    """Literal form: counts LEFT JOIN means ON repo WHERE n >= mean, then DISTINCT (survey C1, D5).
-
-    The right-side predicate in WHERE turns the left join into an inner one; Catalyst plans it as such.
-    """
-    counts = push_counts(log).alias("a")
-    means = avg_push(log, literal=True).alias("b")
-    joined = counts.join(means, F.col("a.repo_id") == F.col("b.repo_id"), "left")
-    return joined.filter(F.col(f"a.{N}") >= F.col(f"b.{AVG}")).select("a.repo_id", "a.actor_id").distinct()
 
+def core_by_outer_join(log: DataFrame) -> DataFrame:
+    """The core-contributor set by the general outer join and filter (survey C1)."""
+    activity = push_activity(log).select("repo_id", "actor_id", N)
+    return left_join_filter(activity, repo_means(activity), "repo_id", F.col(N) >= F.col(AVG)).select("repo_id", "actor_id")
 
-def core_tenure(log: DataFrame, method: str = "join", policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(focal_repo_id, actor_id, min_d, max_d): tenure of each core contributor with a non-null actor.
 
-    Same rows as joining the core set with :func:`push_tenure` on (actor, repo); here the tenure rides along
-    in the aggregate that decides core membership.
-    """
-    return (
-        core_activity(log, method, policy)
-        .filter(F.col("actor_id").isNotNull())
-        .select(F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d")
-    )
+def tenure_of(core: DataFrame) -> DataFrame:
+    """(focal_repo_id, actor_id, min_d, max_d) of the core rows with a non-null actor; the tenure rides along in the
+    aggregate that decides who is core."""
+    return core.filter(F.col("actor_id").isNotNull()).select(F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d")
 
 
-def core_tenure_literal(log: DataFrame) -> DataFrame:
-    """Literal form: core contributors JOIN push tenure ON actor AND repo (survey C2)."""
-    cc = core_contributors_literal(log).select(F.col("repo_id").alias("focal_repo_id"), F.col("actor_id").alias("cc_actor"))
-    tenure = push_tenure(log)
-    joined = tenure.join(cc, (tenure.actor_id == cc.cc_actor) & (tenure.repo_id == cc.focal_repo_id))
-    return joined.select("focal_repo_id", "actor_id", "min_d", "max_d")
+def core_tenure(log: DataFrame) -> DataFrame:
+    return tenure_of(core_of(push_activity(log)))

@@ -3,12 +3,13 @@
 * source actors: core contributors (S, a) of every citing repository S; output (S, S, a).
 * reference actors: (F, D, a) for each focal edge F -> D and each actor a with a pull-request event in D.
 * J: (S, S, D) when a core contributor of citing repository S pulled in a repository D that is the destination of
-  some focal edge. The focal column repeats the source (the original takes it from the source-actor side).
+  some focal edge. The focal column repeats the source (the survey takes it from the source-actor side).
 * actual I: citation edges whose source repository never appears in J, de-duplicated.
 
 J and actual I only use the reference actors' (D, a) columns, so they are planned on semi-joins: the destinations
 reduce the pull pairs, the citing sources reduce the core set, and the sources that make it into J are found without
-building J. Only :func:`j_edges` itself forms (S, D) pairs, and it emits them de-duplicated.
+building J. Only :func:`j_edges` itself forms (S, D) pairs, and it emits them de-duplicated. Right sides of semi- and
+anti-joins are sets, and a hot key's left rows are dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -16,39 +17,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refnet.operators.cites import _core_side
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, salted_join
+from refnet.operators.cites import citation_edges, citations, core_rows
+from refnet.plans.skew import balanced_join
 
 
-def citing_sources(core: DataFrame, pull_pairs: DataFrame) -> DataFrame:
+def citing_sources(core: DataFrame, pull_pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(repo_id): repositories with at least one citation, without the citation table.
 
     S cites something iff a core actor a of S pulled in some repository other than S, i.e. a's number of pulled
-    repositories minus [a pulled in S] is positive. One row per key on the right of each join.
+    repositories minus [a pulled in S] is positive.
     """
-    cc = _core_side(core).filter(F.col("actor_id").isNotNull())
-    pp = pull_pairs.filter(F.col("actor_id").isNotNull() & F.col("repo_id").isNotNull())
-    pulled = pp.groupBy("actor_id").agg(F.count(F.lit(1)).alias("pulled"))
-    own = pp.select(F.col("repo_id").alias("cc_repo_id"), "actor_id", F.lit(1).alias("own"))
-    scored = cc.join(pulled, "actor_id").join(own, ["cc_repo_id", "actor_id"], "left")
-    return (
-        scored.filter(F.col("pulled") - F.coalesce(F.col("own"), F.lit(0)) > 0)
-        .select(F.col("cc_repo_id").alias("repo_id"))
-        .distinct()
-    )
+    rows, pairs = core_rows(core).dropna(), pull_pairs.dropna().select("repo_id", "actor_id")
+    pulled = pairs.groupBy("actor_id").agg(F.count(F.lit(1)).alias("pulled"))
+    own = pairs.select(F.col("repo_id").alias("cc_repo_id"), "actor_id", F.lit(1).alias("own"))
+    scored = balanced_join(rows, pulled, ["actor_id"], "left", hot=hot).join(own, ["cc_repo_id", "actor_id"], "left")
+    citing = scored.filter(F.col("pulled") - F.coalesce(F.col("own"), F.lit(0)) > 0)
+    return citing.select(F.col("cc_repo_id").alias("repo_id")).distinct()
 
 
-def source_actors(core: DataFrame, sources: DataFrame) -> DataFrame:
-    """(focal_repo_id, source_repo_citing_focal_repo, actor_id): core rows of citing repositories (a semi-join).
+def _named(hot: DataFrame | None, key: str) -> DataFrame | None:
+    return None if hot is None else hot.withColumnRenamed("repo_id", key)
 
-    ``sources`` holds the citing repositories in ``repo_id`` (:func:`citing_sources`) or citation edges.
-    """
-    cc = _core_side(core)
-    if "source_repo_citing_focal_repo" in sources.columns:
-        keys = sources.select(F.col("source_repo_citing_focal_repo").alias("cc_repo_id"))
-    else:
-        keys = sources.select(F.col("repo_id").alias("cc_repo_id"))
-    kept = cc.join(keys, "cc_repo_id", "left_semi")
+
+def source_actors(core: DataFrame, sources: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, source_repo_citing_focal_repo, actor_id): core rows of the repositories ``sources`` (a set in
+    ``repo_id``)."""
+    kept = balanced_join(core_rows(core), sources.select(F.col("repo_id").alias("cc_repo_id")), ["cc_repo_id"], "left_semi", hot=_named(hot, "cc_repo_id"))
     return kept.select(
         F.col("cc_repo_id").alias("focal_repo_id"),
         F.col("cc_repo_id").alias("source_repo_citing_focal_repo"),
@@ -56,51 +50,31 @@ def source_actors(core: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def source_actors_literal(core: DataFrame, edges: DataFrame) -> DataFrame:
-    """Literal form: core JOIN citation edges ON repo = source, then DISTINCT (survey C6)."""
-    cc = _core_side(core)
-    e = edges.select(F.col("source_repo_citing_focal_repo").alias("src"))
-    return (
-        cc.join(e, cc.cc_repo_id == e.src)
-        .select(F.col("cc_repo_id").alias("focal_repo_id"), F.col("src").alias("source_repo_citing_focal_repo"), "actor_id")
-        .distinct()
-    )
-
-
-def reference_actors(
-    f_edges: DataFrame, pull_pairs: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
-) -> DataFrame:
+def reference_actors(f_edges: DataFrame, pull_pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(focal_repo_id, destination_repo_id, actor_id): focal edges JOIN pull pairs ON destination = repo (survey C7).
 
-    Both inputs are sets and the output keeps all three columns, so no distinct is needed. Pull pairs of hot
-    destinations (repositories with very many pullers) are split over salt buckets.
+    Both inputs are sets and the output keeps all three columns, so no distinct is needed.
     """
     edges = f_edges.select("focal_repo_id", "destination_repo_id")
-    pp = pull_pairs.select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
-    joined = salted_join(pp, edges, ["destination_repo_id"], policy=policy, hot=hot)
-    return joined.select("focal_repo_id", "destination_repo_id", "actor_id")
+    pairs = pull_pairs.select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
+    return balanced_join(pairs, edges, ["destination_repo_id"], hot=_named(hot, "destination_repo_id")).select("focal_repo_id", "destination_repo_id", "actor_id")
 
 
-def destination_pullers(f_edges: DataFrame, pull_pairs: DataFrame) -> DataFrame:
-    """(destination_repo_id, actor_id): pull pairs in repositories that some focal edge points to (a semi-join)."""
-    dests = f_edges.select(F.col("destination_repo_id").alias("repo_id"))
-    pp = pull_pairs.filter(F.col("actor_id").isNotNull()).join(dests, "repo_id", "left_semi")
-    return pp.select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
+def destination_pullers(f_edges: DataFrame, pull_pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(destination_repo_id, actor_id): pull pairs in repositories that some focal edge points to."""
+    destinations = f_edges.select("destination_repo_id").distinct()
+    pairs = pull_pairs.filter(F.col("actor_id").isNotNull()).select(F.col("repo_id").alias("destination_repo_id"), "actor_id")
+    return balanced_join(pairs, destinations, ["destination_repo_id"], "left_semi", hot=_named(hot, "destination_repo_id"))
 
 
-def j_edges(
-    src_actors: DataFrame, dest_pullers: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
-) -> DataFrame:
+def j_edges(src_actors: DataFrame, dest_pullers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(focal_repo_id, source_repo_citing_focal_repo, destination_repo_id): J, a set (survey C8, G13).
 
-    ``dest_pullers`` is :func:`destination_pullers` or :func:`reference_actors` (only its (D, a) columns are used).
-    The join on ``actor_id`` splits hot actors on the puller side.
+    ``dest_pullers`` is :func:`destination_pullers`, the (D, a) columns of the reference actors without repeats.
     """
-    sa = src_actors.select(F.col("source_repo_citing_focal_repo").alias("src"), "actor_id").filter(
-        F.col("actor_id").isNotNull()
-    )
-    dp = dest_pullers.select("destination_repo_id", "actor_id").filter(F.col("actor_id").isNotNull())
-    joined = salted_join(dp, sa, ["actor_id"], policy=policy, hot=hot)
+    sources = src_actors.select(F.col("source_repo_citing_focal_repo").alias("src"), "actor_id").dropna()
+    pullers = dest_pullers.select("destination_repo_id", "actor_id").dropna()
+    joined = balanced_join(pullers, sources, ["actor_id"], hot=hot)
     return joined.select(
         F.col("src").alias("focal_repo_id"),
         F.col("src").alias("source_repo_citing_focal_repo"),
@@ -108,77 +82,27 @@ def j_edges(
     ).distinct()
 
 
-def j_edges_literal(src_actors: DataFrame, ref_actors: DataFrame) -> DataFrame:
-    """Literal form: source actors JOIN reference actors ON actor, then DISTINCT."""
-    r = ref_actors.select("destination_repo_id", F.col("actor_id").alias("r_actor"))
-    return (
-        src_actors.join(r, src_actors.actor_id == r.r_actor)
-        .select("focal_repo_id", "source_repo_citing_focal_repo", "destination_repo_id")
-        .distinct()
-    )
-
-
 def j_counts(j: DataFrame) -> DataFrame:
     """(focal_repo_id, J_Count)."""
     return j.groupBy("focal_repo_id").agg(F.count(F.lit(1)).alias("J_Count"))
 
 
-def j_sources(src_actors: DataFrame, dest_pullers: DataFrame) -> DataFrame:
+def j_sources(src_actors: DataFrame, dest_pullers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(repo_id): sources that appear in J, found with a semi-join on the actor (no (S, D) pairs)."""
-    actors = dest_pullers.select("actor_id").filter(F.col("actor_id").isNotNull())
-    sa = src_actors.select(F.col("source_repo_citing_focal_repo").alias("repo_id"), "actor_id")
-    return sa.join(actors, "actor_id", "left_semi").select("repo_id").distinct()
-
-
-def actual_i_edges(
-    core: DataFrame,
-    pull_pairs: DataFrame,
-    in_j: DataFrame,
-    policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+    actors = dest_pullers.select("actor_id").dropna().distinct()
+    sources = src_actors.select(F.col("source_repo_citing_focal_repo").alias("repo_id"), "actor_id")
+    return balanced_join(sources, actors, ["actor_id"], "left_semi", hot=hot).select("repo_id").distinct()
+
+
+def actual_i_edges(core: DataFrame, pull_pairs: DataFrame, in_j: DataFrame, hot_actors: DataFrame | None = None, hot_repos: DataFrame | None = None) -> DataFrame:
     """(focal_repo_id, source_repo_citing_focal_repo, destination_focal_repo): citation edges whose source is not in J.
 
     The anti-join runs first, on the core set (``in_j`` holds J's sources in ``repo_id``), so only citations of the
     remaining sources are formed; they are de-duplicated to (F, S, F).
     """
-    cc = _core_side(core)
-    keep = cc.join(in_j.select(F.col("repo_id").alias("cc_repo_id")), "cc_repo_id", "left_anti")
-    pulls = pull_pairs.select(F.col("repo_id").alias("focal_repo_id"), "actor_id")
-    joined = salted_join(
-        pulls,
-        keep,
-        ["actor_id"],
-        condition=lambda: F.col("cc_repo_id") != F.col("focal_repo_id"),
-        policy=policy,
-        hot=hot,
-    )
-    return joined.select(
-        "focal_repo_id",
-        F.col("cc_repo_id").alias("source_repo_citing_focal_repo"),
-        F.col("focal_repo_id").alias("destination_focal_repo"),
-    ).distinct()
-
-
-def actual_i_edges_from(edges: DataFrame, j: DataFrame) -> DataFrame:
-    """Citation edges LEFT ANTI JOIN J ON source, then DISTINCT (the anti-join written as such, survey C9/C10)."""
-    js = j.select(F.col("source_repo_citing_focal_repo").alias("j_src")).distinct()
-    kept = edges.join(js, edges.source_repo_citing_focal_repo == js.j_src, "left_anti")
-    return kept.select("focal_repo_id", "source_repo_citing_focal_repo", "destination_focal_repo").distinct()
-
-
-def anti_via_null(edges: DataFrame, j: DataFrame) -> DataFrame:
-    """Literal form of actual I: LEFT JOIN J ON source WHERE J.focal IS NULL, then DISTINCT (survey B9, C9).
-
-    Catalyst keeps this as an outer join plus filter; :func:`actual_i_edges_from` is the anti-join it means.
-    """
-    js = j.select(F.col("source_repo_citing_focal_repo").alias("j_src"), F.col("focal_repo_id").alias("j_focal"))
-    joined = edges.join(js, edges.source_repo_citing_focal_repo == js.j_src, "left")
-    return (
-        joined.filter(F.col("j_focal").isNull())
-        .select("focal_repo_id", "source_repo_citing_focal_repo", "destination_focal_repo")
-        .distinct()
-    )
+    gone = in_j.select(F.col("repo_id").alias("cc_repo_id"))
+    left = balanced_join(core_rows(core), gone, ["cc_repo_id"], "left_anti", hot=_named(hot_repos, "cc_repo_id"))
+    return citation_edges(citations(left, pull_pairs, hot_actors)).distinct()
 
 
 def actual_i_counts(ai: DataFrame) -> DataFrame:

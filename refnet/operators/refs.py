@@ -11,73 +11,32 @@ from pyspark.sql import functions as F
 
 from refnet.operators.core import core_tenure
 from refnet.operators.normalize import pull_events
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, salted_join
+from refnet.plans.skew import balanced_join
 
 
 def pull_times(log: DataFrame) -> DataFrame:
-    """(pr_repo_id, actor_id, pr_at) of pull-request events that can match a tenure (no null part)."""
-    return (
-        pull_events(log)
-        .select(F.col("repo_id").alias("pr_repo_id"), "actor_id", F.col("created_at").alias("pr_at"))
-        .filter(F.col("pr_repo_id").isNotNull() & F.col("actor_id").isNotNull() & F.col("pr_at").isNotNull())
-    )
+    """(pr_repo_id, actor_id, pr_at): the distinct pull-request events that can match a tenure (no null part)."""
+    events = pull_events(log).select(F.col("repo_id").alias("pr_repo_id"), "actor_id", F.col("created_at").alias("pr_at"))
+    return events.dropna().distinct()
 
 
-def hot_actors(pull_log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Actors with at least ``policy.hot_key_rows`` pull-request events (at most ``policy.max_hot_keys`` of them).
+def focal_refs_from(tenure: DataFrame, pulls: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, repo_id) from a core tenure table and :func:`pull_times`.
 
-    One aggregate over the ``actor_id`` column; every actor-keyed join of a run shares this list, so Spark computes
-    and broadcasts it once per query.
+    Equi-join on ``actor_id`` with ``focal != repo`` and the closed time range as the rest of the condition; the actor
+    equality already deals out the work, so no range binning. Hot actors are dealt by pairs of both sides.
     """
-    return hot_keys(pull_events(pull_log).select("actor_id"), ["actor_id"], policy)
 
+    def within():
+        return (F.col("focal_repo_id") != F.col("pr_repo_id")) & F.col("pr_at").between(F.col("min_d"), F.col("max_d"))
 
-def focal_refs_from(
-    tenure: DataFrame, pulls: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
-) -> DataFrame:
-    """(focal_repo_id, repo_id) from a core tenure table and :func:`pull_times`.
-
-    Equi-join on ``actor_id`` with ``focal != repo`` and the closed time range as the residual condition (sort-merge
-    or shuffled-hash join keyed on the actor; no range binning, the actor equality already partitions the work).
-    Pull events of hot actors are spread over salt buckets, their tenure rows copied into each.
-    """
-    joined = salted_join(
-        pulls,
-        tenure,
-        ["actor_id"],
-        condition=lambda: (F.col("focal_repo_id") != F.col("pr_repo_id"))
-        & F.col("pr_at").between(F.col("min_d"), F.col("max_d")),
-        policy=policy,
-        hot=hot,
-    )
+    joined = balanced_join(pulls, tenure, ["actor_id"], condition=within, right_salt=["focal_repo_id", "actor_id"], hot=hot)
     return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id")).distinct()
 
 
-def focal_refs(
-    log: DataFrame,
-    pull_log: DataFrame | None = None,
-    method: str = "join",
-    policy: SkewPolicy = DEFAULT_POLICY,
-) -> DataFrame:
-    """(focal_repo_id, repo_id): the focal-reference set.
-
-    ``pull_log`` may be the log without de-duplication (the result is a set, so copies cannot change it); by
-    default the pull events come from ``log``.
-    """
-    pl = pull_log if pull_log is not None else log
-    tenure = core_tenure(log, method, policy)
-    return focal_refs_from(tenure, pull_times(pl), policy, hot_actors(pl, policy) if policy.enabled else None)
-
-
-def focal_refs_literal(tenure: DataFrame, log: DataFrame) -> DataFrame:
-    """Literal form: tenure JOIN all pull events ON actor AND focal != repo AND time BETWEEN, then DISTINCT."""
-    pulls = pull_events(log).select(F.col("repo_id").alias("pr_repo_id"), F.col("actor_id").alias("pr_actor"), F.col("created_at").alias("pr_at"))
-    cond = (
-        (tenure.actor_id == pulls.pr_actor)
-        & (tenure.focal_repo_id != pulls.pr_repo_id)
-        & pulls.pr_at.between(tenure.min_d, tenure.max_d)
-    )
-    return tenure.join(pulls, cond).select("focal_repo_id", F.col("pr_repo_id").alias("repo_id")).distinct()
+def focal_refs(log: DataFrame, pull_log: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, repo_id): the focal-reference set. ``pull_log`` may be the log without de-duplication."""
+    return focal_refs_from(core_tenure(log), pull_times(log if pull_log is None else pull_log))
 
 
 def focal_edges(refs: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Small relational operators the scripts use on their own (survey C10, B10, D8, F4)."""
+"""General relational operators (survey C1, B9/C9, C10, B10, D8, F4, A10)."""
 
 from __future__ import annotations
 
@@ -10,14 +10,30 @@ from pyspark.sql import functions as F
 from refnet.functions.columns import case_label, timestamp_key
 
 
+def _on(on: str | Sequence[str]) -> list[str]:
+    return [on] if isinstance(on, str) else list(on)
+
+
 def left_anti(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` on ``on`` (``NOT EXISTS``); a null key never matches."""
-    return left.join(right, on=on if isinstance(on, str) else list(on), how="left_anti")
+    return left.join(right.select(*_on(on)).distinct(), on=_on(on), how="left_anti")
 
 
 def left_semi(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` with a match in ``right`` (``EXISTS``), each once."""
-    return left.join(right, on=on if isinstance(on, str) else list(on), how="left_semi")
+    return left.join(right.select(*_on(on)).distinct(), on=_on(on), how="left_semi")
+
+
+def left_join_filter(left: DataFrame, right: DataFrame, on: str | Sequence[str], keep: Column) -> DataFrame:
+    """Left outer join, then a filter that may look at the right side (survey C1)."""
+    return left.join(right, on=_on(on), how="left").filter(keep)
+
+
+def unmatched(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose outer-join partner is null (survey B9, C9). The right side is reduced to its distinct keys, so
+    each left row meets one right row at most."""
+    keys = right.select(*_on(on)).distinct().withColumn("_matched", F.lit(True))
+    return left.join(keys, on=_on(on), how="left").filter(F.col("_matched").isNull()).drop("_matched")
 
 
 def with_case_label(df: DataFrame, name: str, cases: Sequence[tuple[Column, Column | str | int]], otherwise=None) -> DataFrame:
@@ -30,6 +46,11 @@ def with_timestamp_key(df: DataFrame, source: str = "created_at", name: str = "t
     return df.withColumn(name, timestamp_key(source))
 
 
+def to_width(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``df`` in ``n`` partitions, dealt by ``keys`` if given (survey A10)."""
+    return df.repartition(n, *keys)
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, rows): one global count per stage, as one small table (survey D8)."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows") for name, df in stages.items()]

@@ -1,5 +1 @@
-"""Plans over the operators: skew-safe joins, the whole run, and the SQL surface."""
-
-from refnet.plans.skew import DEFAULT_POLICY, NO_SALT, SkewPolicy, hot_keys, salted_join, top_hot  # noqa: F401
-
-__all__ = ["DEFAULT_POLICY", "NO_SALT", "SkewPolicy", "hot_keys", "salted_join", "top_hot"]
+"""Plans over the operators: balanced joins, the whole run, and the SQL surface."""

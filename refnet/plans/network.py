@@ -1,11 +1,11 @@
 """The whole run: log -> core contributors -> focal references -> citations -> J -> actual I.
 
-:class:`ReferenceNetwork` wires the operators lazily: each stage is a DataFrame built on first access and kept, so
-stages that several later stages use are one plan object (Spark analyses it once). Nothing runs until an action.
+:class:`ReferenceNetwork` wires the operators lazily: each stage is a DataFrame built on first access. Nothing runs until an
+action. With ``keep`` the two tables that most stages start from, core activity and pull pairs, are marked to be kept on
+first use (memory and disk of the executors; a lost part is computed again), so a query over many stages builds them once.
 
-:func:`run_network` executes every stage once, writing it to ``out_dir`` and reading the reused ones back, so each
-later stage starts from a written table: lineage is cut, no stage is recomputed per output, and a lost executor
-costs only the tasks of the current stage.
+:func:`run_network` executes every stage once, writing it to ``out_dir`` and reading the reused ones back: lineage is cut,
+no stage is computed twice, and a lost executor costs only the tasks of the current stage.
 """
 
 from __future__ import annotations
@@ -13,12 +13,12 @@ from __future__ import annotations
 import os
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from refnet.operators import cites, core, disrupt, refs
-from refnet.operators.normalize import normalize_log
-from refnet.plans.skew import DEFAULT_POLICY, SkewPolicy
+from refnet.operators.normalize import normalize_log, pull_events, push_events
+from refnet.plans.skew import hot_keys
 from refnet.sources.delimited import write_dataset
 
 STAGES = (
@@ -31,6 +31,7 @@ STAGES = (
     "citations",
     "citation_edges",
     "citation_counts",
+    "theta_pair_counts",
     "source_actors",
     "reference_actors",
     "j_edges",
@@ -44,34 +45,18 @@ class ReferenceNetwork:
     """Every stage of one run over a raw log, built lazily.
 
     Push events go through full-row de-duplication (their counts are a bag); pull events feed only set-valued
-    stages, so they skip it. ``overrides`` replaces stages by already-materialised tables (see :func:`run_network`).
+    stages, so they skip it. ``overrides`` replaces stages by tables that exist already (see :func:`run_network`).
     """
 
-    def __init__(
-        self,
-        raw: DataFrame,
-        policy: SkewPolicy = DEFAULT_POLICY,
-        core_method: str = "join",
-        dedup_keys: list[str] | None = None,
-        **overrides: DataFrame,
-    ):
+    def __init__(self, raw: DataFrame, shares: int | None = None, dedup_keys: list[str] | None = None, keep: bool = False, **overrides: DataFrame):
         self.raw = raw
-        self.requested_policy = policy
-        self.core_method = core_method
+        self.shares = shares
         self.dedup_keys = dedup_keys
+        self.keep = keep
         self.__dict__.update(overrides)  # cached_property reads the instance dict first
 
-    # inputs -------------------------------------------------------------------------------------------------
-    @cached_property
-    def policy(self) -> SkewPolicy:
-        """The skew policy in force: salting is switched off when the whole log has fewer rows than the hot-key
-        threshold, since no key of any stage can then be hot (every salted side is a subset or an aggregate of the
-        log). The check is one bounded action, ``limit(hot_key_rows).count()``; the result is the same either way."""
-        p = self.requested_policy
-        if p.enabled and p.skip_when_small:
-            if self.raw.limit(p.hot_key_rows).count() < p.hot_key_rows:
-                return p.with_(enabled=False)
-        return p
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
 
     @cached_property
     def log(self) -> DataFrame:
@@ -81,14 +66,23 @@ class ReferenceNetwork:
     def pull_log(self) -> DataFrame:
         return normalize_log(self.raw, dedup=False)
 
+    # Hot keys, counted on who pushed and who pulled where. Every join below has a part of these rows on its sides.
+    @cached_property
+    def pushed_pairs(self) -> DataFrame:
+        return push_events(self.raw).select("repo_id", "actor_id").distinct()
+
     @cached_property
-    def hot_actors(self) -> DataFrame | None:
-        return refs.hot_actors(self.pull_log, self.policy) if self.policy.enabled else None
+    def hot_actors(self) -> DataFrame:
+        return hot_keys(self.distinct_pull_pairs, self.pushed_pairs, ["actor_id"], self.shares)
+
+    @cached_property
+    def hot_repos(self) -> DataFrame:
+        return hot_keys(self.distinct_pull_pairs.union(self.pushed_pairs), None, ["repo_id"], self.shares)
 
     # core ---------------------------------------------------------------------------------------------------
     @cached_property
     def core_activity(self) -> DataFrame:
-        return core.core_activity(self.log, self.core_method, self.policy)
+        return self._kept(core.core_of(core.push_activity(self.log), self.hot_repos).select("repo_id", "actor_id", "min_d", "max_d"))
 
     @cached_property
     def core_contributors(self) -> DataFrame:
@@ -96,14 +90,16 @@ class ReferenceNetwork:
 
     @cached_property
     def core_tenure(self) -> DataFrame:
-        return self.core_activity.filter(F.col("actor_id").isNotNull()).select(
-            F.col("repo_id").alias("focal_repo_id"), "actor_id", "min_d", "max_d"
-        )
+        return core.tenure_of(self.core_activity)
 
     # references ---------------------------------------------------------------------------------------------
+    @cached_property
+    def pull_times(self) -> DataFrame:
+        return refs.pull_times(self.pull_log)
+
     @cached_property
     def focal_refs(self) -> DataFrame:
-        return refs.focal_refs_from(self.core_tenure, refs.pull_times(self.pull_log), self.policy, self.hot_actors)
+        return refs.focal_refs_from(self.core_tenure, self.pull_times, self.hot_actors)
 
     @cached_property
     def focal_edges(self) -> DataFrame:
@@ -116,11 +112,11 @@ class ReferenceNetwork:
     # citations ----------------------------------------------------------------------------------------------
     @cached_property
     def distinct_pull_pairs(self) -> DataFrame:
-        return cites.distinct_pull_pairs(self.pull_log)
+        return self._kept(cites.distinct_pull_pairs(self.pull_log))
 
     @cached_property
     def citations(self) -> DataFrame:
-        return cites.citations(self.core_contributors, self.distinct_pull_pairs, self.policy, self.hot_actors)
+        return cites.citations(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
 
     @cached_property
     def citation_edges(self) -> DataFrame:
@@ -128,32 +124,32 @@ class ReferenceNetwork:
 
     @cached_property
     def citation_counts(self) -> DataFrame:
-        return cites.citation_counts(self.core_contributors, self.distinct_pull_pairs)
+        return cites.citation_counts(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
 
     @cached_property
     def theta_pair_counts(self) -> DataFrame:
-        return cites.theta_pair_counts(self.core_contributors, self.citation_edges)
+        return cites.theta_pair_counts(self.core_contributors, self.distinct_pull_pairs, self.hot_actors, self.hot_repos)
 
     # J and actual I -----------------------------------------------------------------------------------------
     @cached_property
     def citing_sources(self) -> DataFrame:
-        return disrupt.citing_sources(self.core_contributors, self.distinct_pull_pairs)
+        return disrupt.citing_sources(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
 
     @cached_property
     def source_actors(self) -> DataFrame:
-        return disrupt.source_actors(self.core_contributors, self.citing_sources)
+        return disrupt.source_actors(self.core_contributors, self.citing_sources, self.hot_repos)
 
     @cached_property
     def reference_actors(self) -> DataFrame:
-        return disrupt.reference_actors(self.focal_edges, self.distinct_pull_pairs, self.policy)
+        return disrupt.reference_actors(self.focal_edges, self.distinct_pull_pairs)
 
     @cached_property
     def destination_pullers(self) -> DataFrame:
-        return disrupt.destination_pullers(self.focal_edges, self.distinct_pull_pairs)
+        return disrupt.destination_pullers(self.focal_edges, self.distinct_pull_pairs, self.hot_repos)
 
     @cached_property
     def j_edges(self) -> DataFrame:
-        return disrupt.j_edges(self.source_actors, self.destination_pullers, self.policy, self.hot_actors)
+        return disrupt.j_edges(self.source_actors, self.destination_pullers, self.hot_actors)
 
     @cached_property
     def j_counts(self) -> DataFrame:
@@ -161,13 +157,11 @@ class ReferenceNetwork:
 
     @cached_property
     def j_sources(self) -> DataFrame:
-        return disrupt.j_sources(self.source_actors, self.destination_pullers)
+        return disrupt.j_sources(self.source_actors, self.destination_pullers, self.hot_actors)
 
     @cached_property
     def actual_i_edges(self) -> DataFrame:
-        return disrupt.actual_i_edges(
-            self.core_contributors, self.distinct_pull_pairs, self.j_sources, self.policy, self.hot_actors
-        )
+        return disrupt.actual_i_edges(self.core_contributors, self.distinct_pull_pairs, self.j_sources, self.hot_actors, self.hot_repos)
 
     @cached_property
     def actual_i_counts(self) -> DataFrame:
@@ -177,59 +171,61 @@ class ReferenceNetwork:
         return {name: getattr(self, name) for name in STAGES}
 
 
-def build_network(raw: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, core_method: str = "join",
-                  dedup_keys: list[str] | None = None) -> ReferenceNetwork:
-    """Lazy plan of every stage from the raw log."""
-    return ReferenceNetwork(raw, policy, core_method, dedup_keys)
-
-
 def run_network(
     spark: SparkSession,
     raw: DataFrame,
     out_dir: str,
     fmt: str = "parquet",
-    policy: SkewPolicy = DEFAULT_POLICY,
-    core_method: str = "join",
+    shares: int | None = None,
     dedup_keys: list[str] | None = None,
     skip: tuple[str, ...] = (),
 ) -> ReferenceNetwork:
     """Execute the run stage by stage into ``out_dir`` (one sub-folder per stage); returns the network on the
     written tables.
 
-    Reused stages are read back from what was written (with ``fmt="csv"`` a Parquet copy of them is kept under
-    ``_handoff`` so types survive). ``skip`` leaves out optional outputs such as ``citations`` or
-    ``reference_actors``, whose size is a product of degrees.
+    The log is scanned three times, by column: for push events (the only full de-duplication), and for pull events with and without their times; everything else
+    starts from tables this run has written. Reused stages are kept as Parquet under ``_handoff``, so types survive any
+    ``fmt``. ``skip`` leaves out outputs; a skipped stage that later stages need is still computed, but not published.
     """
-    hand_dir = out_dir if fmt == "parquet" else os.path.join(out_dir, "_handoff")
-    net = ReferenceNetwork(raw, policy, core_method, dedup_keys)
+    net = ReferenceNetwork(raw, shares, dedup_keys)
 
-    def save(name: str) -> None:
+    def publish(name: str) -> None:
         if name not in skip:
             write_dataset(getattr(net, name), os.path.join(out_dir, name), fmt=fmt)
 
-    def handoff(name: str, output: bool = True) -> None:
-        path = os.path.join(hand_dir, name)
+    def handoff(name: str) -> None:
+        path = os.path.join(out_dir, "_handoff", name)
         write_dataset(getattr(net, name), path, fmt="parquet")
-        if output and fmt != "parquet" and name not in skip:
-            write_dataset(spark.read.parquet(path), os.path.join(out_dir, name), fmt=fmt)
         net.__dict__[name] = spark.read.parquet(path)
+        if name in STAGES:
+            publish(name)
 
-    handoff("core_activity", output=False)
-    save("core_contributors")
     handoff("distinct_pull_pairs")
-    if net.policy.enabled:
-        handoff("hot_actors", output=False)
+    handoff("pushed_pairs")
+    handoff("hot_actors")
+    handoff("hot_repos")
+    handoff("core_activity")
+    publish("core_contributors")
+    publish("core_tenure")
+    handoff("pull_times")
     handoff("focal_refs")
-    save("focal_edges")
-    save("focal_counts")
-    save("citations")
-    save("citation_edges")
-    save("citation_counts")
+    publish("focal_edges")
+    publish("focal_counts")
+    if {"citations", "citation_edges"} - set(skip):
+        handoff("citations")
+    publish("citation_edges")
+    publish("citation_counts")
+    publish("theta_pair_counts")
     handoff("source_actors")
-    save("reference_actors")
-    handoff("j_edges")
-    save("j_counts")
-    handoff("j_sources", output=False)
-    handoff("actual_i_edges")
-    save("actual_i_counts")
+    handoff("destination_pullers")
+    publish("reference_actors")
+    if {"j_edges", "j_counts"} - set(skip):
+        handoff("j_edges")
+    publish("j_counts")
+    handoff("j_sources")
+    if {"actual_i_edges", "actual_i_counts"} - set(skip):
+        handoff("actual_i_edges")
+    publish("actual_i_counts")
     return net
+
+

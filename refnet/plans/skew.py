@@ -1,136 +1,98 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
-
-A bot account can own a third of all pull requests; joined on ``actor_id`` its rows would land in one task. The
-salted join below splits the rows of *hot* keys on the larger side over ``salt_buckets`` tasks and copies the
-matching rows of the other side into every bucket. Keys that are not hot keep salt 0 and join as usual, so the
-result is exactly the plain join.
-
-* Hot keys are found with one aggregate over the key columns only (partial aggregation, column-pruned scan).
-* The hot-key list is capped at ``max_hot_keys`` rows (largest first); that cap is the proven bound that makes its
-  broadcast safe. Keys beyond the cap are still joined exactly, only without salting (AQE skew-join remains on as a
-  second line).
-* The salt is a hash of the row, never ``rand()``: a recomputed task after an executor loss puts every row in the
-  same bucket again.
+"""Equi-joins that stay balanced when a few keys hold most of the work.
+
+A bot account can own a third of all pull requests, and can be a core contributor of very many repositories too; joined on
+``actor_id``, all its pairs would be made by one task. :func:`hot_keys` counts each key on both sides (column-pruned,
+partially aggregated) and calls a key *hot* when it holds at least ``1 / shares`` of all pairs. At most ``shares`` keys can,
+so the broadcast list of hot keys is bounded by proof, whatever the data. A hot key's rows are dealt over a grid of cells,
+as many as its part of the pairs asks for: left rows go to one grid row and are copied along it, right rows to one grid
+column. No cell has much more than ``1 / shares`` of all pairs. Other keys join as usual, so the result is exactly the plain
+join. ``shares`` is twice the number of shuffle partitions unless given: a key with less is no burden to one task.
+
+A list may be counted on tables that hold more rows than the join's own sides; then no cell has more than its part of their
+pairs. Joins over several stages share such lists, counted on the log itself, so that plans don't nest count upon count.
+
+A row's place in the grid is a hash of its own columns, never random: a recomputed task deals it to the same cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
-_HOT = "_hot"
-
+_GRID = ("_cell_i", "_cell_j")
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot, and how far its rows are spread."""
 
-    hot_key_rows: int = 1_000_000  # rows of one key on the split side above which the key is salted
-    max_hot_keys: int = 10_000  # bound on the broadcast hot-key list
-    salt_buckets: int = 32
-    enabled: bool = True
-    skip_when_small: bool = True  # plans with a row-count check (ReferenceNetwork) turn salting off for small logs
+def key_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """(keys..., name): rows of each key without a null part."""
+    present = df.select(*keys).dropna(subset=list(keys))
+    return present.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
-    def with_(self, **changes) -> SkewPolicy:
-        return replace(self, **changes)
 
+def hot_keys(left: DataFrame, right: DataFrame | None, keys: Sequence[str], shares: int | None = None) -> DataFrame:
+    """(keys..., _rows, _cols): the keys with at least ``1 / shares`` of all pairs and the shape of their grids.
 
-DEFAULT_POLICY = SkewPolicy()
-NO_SALT = SkewPolicy(enabled=False)
-
-
-def top_hot(counts: DataFrame, keys: Sequence[str], rows_col: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(keys..., _hot) for the at most ``policy.max_hot_keys`` keys of ``counts`` with ``rows_col`` at or above the
-    threshold, largest first, ties by key: a deterministic, bounded top-k (TakeOrderedAndProject, no global sort)."""
-    keys = list(keys)
-    big = counts.filter(F.col(rows_col) >= F.lit(policy.hot_key_rows))
-    ranked = big.select(*keys, F.lit(True).alias(_HOT), F.col(rows_col).alias("_rows"))
-    return ranked.orderBy(F.desc("_rows"), *keys).limit(policy.max_hot_keys).drop("_rows")
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(keys..., _hot): at most ``policy.max_hot_keys`` non-null keys of ``df`` with at least ``policy.hot_key_rows``
-    rows. One partial-aggregated count over the key columns only."""
-    keys = list(keys)
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    counts = df.select(*keys).filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return top_hot(counts, keys, "_rows", policy)
-
-
-def salted_join(
-    split: DataFrame,
-    replicate: DataFrame,
+    Without ``right`` (its keys are unique) only the left rows count and each grid has one column.
+    """
+    shares = shares or 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weights = key_counts(left, keys, "_l")
+    if right is None:
+        weights = weights.withColumn("_r", F.lit(1).cast("long"))
+    else:
+        weights = weights.join(key_counts(right, keys, "_r"), list(keys))
+    weights = weights.withColumn("_work", F.col("_l").cast("double") * F.col("_r"))
+    hot = weights.withColumn("_part", F.col("_work") * shares / weights.agg(F.sum("_work")).scalar()).filter("_part >= 1")
+    cells = F.ceil("_part").cast("int")
+    rows = cells if right is None else F.greatest(F.lit(1), F.least(cells, F.ceil(F.sqrt(cells * F.col("_l") / F.col("_r"))).cast("int")))
+    return hot.withColumn("_rows", rows).select(*keys, "_rows", F.ceil(cells / F.col("_rows")).cast("int").alias("_cols"))
+
+
+def _dealt(df: DataFrame, hot: DataFrame, keys: list[str], salt: Sequence[str], own: str, other: str, size: str, copies: str) -> DataFrame:
+    """Adds the cell coordinates: ``own`` by the row's hash below ``size``, ``other`` for all below ``copies``."""
+    place = F.when(F.col(size).isNotNull(), F.pmod(F.xxhash64(*(F.col(c) for c in salt)), F.col(size)).cast("int")).otherwise(0)
+    every = F.when(F.col(copies).isNotNull(), F.sequence(F.lit(0), F.col(copies) - 1)).otherwise(F.array(F.lit(0)))
+    return df.join(F.broadcast(hot), keys, "left").withColumns({own: place, other: F.explode(every)}).drop(size, copies)
+
+
+def balanced_join(
+    left: DataFrame,
+    right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
     condition: Callable[[], Column] | None = None,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    left_salt: Sequence[str] | None = None,
+    right_salt: Sequence[str] | None = None,
     hot: DataFrame | None = None,
+    shares: int | None = None,
 ) -> DataFrame:
-    """``split`` JOIN ``replicate`` ON keys [AND condition()], hot keys of ``split`` spread over salt buckets.
-
-    ``split`` is the side with many rows per hot key; ``replicate`` is copied ``salt_buckets`` times for hot keys
-    only. ``how`` is ``inner``, ``left_semi`` or ``left_anti`` (the split side is the left side). Apart from the
-    keys, the two sides must not share column names; ``condition`` builds a Column over those names. The key
-    columns appear once in the output, as in a join on a list of names.
+    """``left`` JOIN ``right`` ON keys [AND condition()], hot keys dealt over a grid; the key columns appear once.
 
-    ``hot`` may pass a hot-key list computed elsewhere with :func:`hot_keys` / :func:`top_hot` (bounded and
-    deterministic, so both sides agree even when it is recomputed); otherwise it is computed from ``split``.
+    ``how`` is ``inner``, or ``left``, ``left_semi`` or ``left_anti`` with a ``right`` whose keys are unique; for these only
+    left rows are dealt and each right row is copied to its key's cells. The sides share no column names besides the keys.
+    The salts are the columns whose hash deals a row (all by default); name those that identify a row, so that no other
+    column is kept for it. ``hot`` is a list of :func:`hot_keys` under the same key names; it is counted on the two sides
+    unless given.
     """
     keys = list(keys)
-    if how not in ("inner", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join supports inner, left_semi and left_anti, not {how!r}")
-    shared = (set(split.columns) & set(replicate.columns)) - set(keys)
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"balanced_join supports inner, left, left_semi and left_anti, not {how!r}")
+    shared = (set(left.columns) & set(right.columns)) - set(keys)
     if shared:
         raise ValueError(f"columns on both sides besides the keys: {sorted(shared)}")
-
-    renamed = {k: f"_r_{k}" for k in keys}
-    left, right = split, replicate
-    on_keys = list(keys)
-    if policy.enabled:
-        hot_list = hot_keys(split, keys, policy) if hot is None else hot
-        if _HOT not in hot_list.columns:
-            hot_list = hot_list.select(*keys, F.lit(True).alias(_HOT))
-        # One broadcast plan for both sides (joined by the same key names), so Spark reuses the exchange.
-        hot = F.broadcast(hot_list.select(*keys, _HOT))
-        left = (
-            split.join(hot, keys, "left")
-            .withColumn(
-                SALT,
-                F.when(F.col(_HOT), F.pmod(F.xxhash64(*[F.col(c) for c in split.columns]), F.lit(policy.salt_buckets)))
-                .otherwise(F.lit(0))
-                .cast("int"),
-            )
-            .drop(_HOT)
-        )
-        right = (
-            replicate.join(hot, keys, "left")
-            .withColumn(
-                SALT,
-                F.explode(
-                    F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(policy.salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-                ),
-            )
-            .drop(_HOT)
-        )
-        on_keys.append(SALT)
-        renamed[SALT] = f"_r_{SALT}"
-    right = right.select(*[F.col(c).alias(renamed.get(c, c)) for c in right.columns])
-
-    cond = None
-    for k in on_keys:
-        eq = F.col(k) == F.col(renamed[k])
-        cond = eq if cond is None else cond & eq
+    # One broadcast plan for both sides, so Spark reuses the exchange.
+    hot = hot_keys(left, right if how == "inner" else None, keys, shares) if hot is None else hot.select(*keys, "_rows", "_cols")
+    if how != "inner":
+        hot = hot.select(*keys, (F.col("_rows") * F.col("_cols")).alias("_rows"), F.lit(1).alias("_cols"))
+    i, j = _GRID
+    dealt_left = _dealt(left, hot, keys, left_salt or left.columns, i, j, "_rows", "_cols")
+    dealt_right = _dealt(right, hot, keys, right_salt or right.columns, j, i, "_cols", "_rows")
+    renamed = {c: f"_right_{c}" for c in [*keys, i, j]}
+    other = dealt_right.select(*(F.col(c).alias(renamed.get(c, c)) for c in dealt_right.columns))
+    on = F.lit(True)
+    for c in [*keys, i, j]:
+        on = on & (F.col(c) == F.col(renamed[c]))
     if condition is not None:
-        cond = cond & condition()
-    out = left.join(right, cond, how)
-    drop = [SALT] if policy.enabled else []
-    if how == "inner":
-        drop += [renamed[k] for k in on_keys]
-    return out.drop(*drop)
+        on = on & condition()
+    joined = dealt_left.join(other, on, how)
+    return joined.drop(i, j, *renamed.values())

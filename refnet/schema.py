@@ -7,14 +7,10 @@ from pyspark.sql import types as T
 # Event types and timestamp layout that the input log uses.
 PUSH = "PushEvent"
 PULL = "PullRequestEvent"
-TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"  # created_at looks like "2016-01-15 18:39:47 UTC"
-TIMESTAMP_TEXT_LENGTH = 19  # characters of TIMESTAMP_TEXT_FORMAT; the zone suffix is dropped
+TIMESTAMP_TEXT_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"  # created_at looks like "2016-01-15 18:39:47 UTC"
+TIMESTAMP_TEXT_LENGTH = 19  # characters up to the seconds; the zone suffix is dropped
 
-# Columns of the normalised log, in output order.
-LOG_COLUMNS = ("repo_id", "repo_name", "actor_id", "Type", "created_at")
-
-# Raw log as written by the exporter. ``created_at`` stays text so that it is parsed in the session zone
-# (pinned to UTC by refnet.session), never by CSV inference.
+# Columns of the raw log that stages name. ``created_at`` stays text until it is parsed without a zone.
 RAW_LOG_SCHEMA = T.StructType(
     [
         T.StructField("repo_id", T.LongType()),
@@ -34,19 +30,3 @@ FOCAL_EDGE_SCHEMA = T.StructType(
         T.StructField("destination_repo_id", T.LongType()),
     ]
 )
-
-CITATION_EDGE_SCHEMA = T.StructType(
-    [
-        T.StructField("focal_repo_id", T.LongType()),
-        T.StructField("source_repo_citing_focal_repo", T.LongType()),
-        T.StructField("destination_focal_repo", T.LongType()),
-    ]
-)
-
-J_EDGE_SCHEMA = T.StructType(
-    [
-        T.StructField("focal_repo_id", T.LongType()),
-        T.StructField("source_repo_citing_focal_repo", T.LongType()),
-        T.StructField("destination_repo_id", T.LongType()),
-    ]
-)

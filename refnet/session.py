@@ -1,60 +1,50 @@
-"""Session defaults and the checkpoint directory.
+"""Session defaults and the shared work folder.
 
-The library never creates a session inside an operator. ``build_session`` is for tests, the bench and
-``spark-submit`` entry points; on a cluster the deployment's own settings win because ``getOrCreate``
-keeps an existing session and only fills what is unset.
+The library never creates a session inside an operator and changes no setting of a given one; its results do not depend on
+the session's zone. ``build_session`` is for tests, the bench and ``spark-submit`` entry points.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every run relies on. The zone pin makes "yyyy-MM-dd HH:mm:ss" text parse the same everywhere.
-CORE_CONF = {
+# What a new session gets unless it is already set.
+DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.ui.enabled": "false",
 }
 
 
 def build_session(master: str | None = None, app_name: str = "refnet", **conf: str) -> SparkSession:
-    """A session with the core settings; ``conf`` adds or overrides (dots spelled as ``__``)."""
+    """A session with the defaults; ``conf`` adds or overrides (dots spelled as ``__``). A running session is returned as
+    it is."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(CORE_CONF)
-    settings.setdefault("spark.ui.enabled", "false")
-    settings.update({k.replace("__", "."): v for k, v in conf.items()})
-    for key, value in settings.items():
+    for key, value in (DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    for key, value in CORE_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str | None:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path under ``spark.checkpoint.dir``, the folder that the driver and all executors share.
 
-    On a cluster this must be set by the deployment (a shared file system path). Only tests and the local
-    bench pass ``local_fallback=True``, which takes a fresh folder under the system temp dir when the
-    setting is unset.
+    Only a single-JVM ``local[...]`` session (tests, the bench) may leave it unset and gets a temp folder, since there one
+    machine is the whole cluster. Anywhere else a missing setting is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path and local_fallback:
-        path = tempfile.mkdtemp(prefix="refnet-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if path:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def scratch_dir(prefix: str = "refnet-") -> str:
-    """A fresh local folder for tests (never used by library code on a cluster)."""
-    base = os.environ.get("REFNET_SCRATCH") or tempfile.gettempdir()
-    return tempfile.mkdtemp(prefix=prefix, dir=base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="refnet-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/refnet/{name}-{uuid.uuid4().hex}"

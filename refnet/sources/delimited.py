@@ -7,6 +7,7 @@ connector configured on the cluster; nothing here is hard-wired to one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from refnet.schema import FOCAL_EDGE_SCHEMA, RAW_LOG_SCHEMA
@@ -47,14 +48,24 @@ def read_pipe_delimited(spark: SparkSession, path: str | list[str], header: bool
     return read_delimited(spark, path, sep="|", header=header, schema=schema, infer_schema=schema is None)
 
 
-def read_activity_log(spark: SparkSession, path: str | list[str], fmt: str = "csv", schema: StructType | None = None) -> DataFrame:
-    """The raw activity log. CSV gets the declared schema (``created_at`` as text); columnar formats keep their own."""
+def read_activity_log(spark: SparkSession, path: str | list[str], fmt: str = "csv", sep: str = ",", schema: StructType = RAW_LOG_SCHEMA) -> DataFrame:
+    """The raw activity log, by column name (in any case and order).
+
+    CSV is read as text by its header, so nothing is inferred; the columns of ``schema`` are cast to its types (text that
+    isn't of its type is null) and come first. All other columns are kept, as text: full-row de-duplication needs them. A
+    missing column is an error, and so are files whose headers differ. Columnar formats keep their own types.
+    """
     if fmt == "csv":
-        return read_delimited(spark, path, schema=schema or RAW_LOG_SCHEMA)
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        raw = spark.read.option("header", "true").option("sep", sep).option("enforceSchema", "false").csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    have = {c.lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in have]
+    if missing:
+        raise ValueError(f"the log has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    known = {f.name.lower() for f in schema.fields}
+    cast = (lambda f: F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType)) if fmt == "csv" else (lambda f: F.col(f"`{have[f.name.lower()]}`"))
+    return raw.select(*(cast(f).alias(f.name) for f in schema.fields), *(F.col(f"`{c}`") for c in raw.columns if c.lower() not in known))
 
 
 def read_edges(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType = FOCAL_EDGE_SCHEMA) -> DataFrame:

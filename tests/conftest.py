@@ -14,20 +14,28 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from refnet.session import build_session, checkpoint_dir
+    from refnet.session import build_session
 
     session = build_session(
         "local[4]",
         app_name="refnet-tests",
         spark__sql__shuffle__partitions="8",
         spark__default__parallelism="4",
+        spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(session, local_fallback=True)  # tests only: a local folder when the setting is unset
     yield session
     session.stop()
 
 
+@pytest.fixture
+def zone(spark):
+    """Sets the session's zone for one test."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def rows(df, *cols):
     """Sorted tuples of ``cols`` (all columns when none given)."""
     cols = cols or tuple(df.columns)

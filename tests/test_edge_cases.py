@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refnet.functions.columns import timestamp_key
+from refnet.functions.columns import timestamp_key, timestamp_text
 from refnet.operators import core, normalize
 from refnet.plans.network import STAGES, ReferenceNetwork, run_network
 from refnet.schema import FOCAL_EDGE_SCHEMA, RAW_LOG_SCHEMA
-from refnet.session import scratch_dir
+from refnet.session import work_dir
 from refnet.sources import delimited
 
 WITH_ID = T.StructType([T.StructField("event_id", T.LongType())] + list(RAW_LOG_SCHEMA.fields))
@@ -41,8 +42,8 @@ def test_all_push_actors_null_gives_no_core_and_no_error(spark):
     r = raw(spark, [(1, 9, "r", None, "PushEvent", "2016-01-01 10:00:00 UTC"), (2, 9, "r", None, "PushEvent", "2016-01-02 10:00:00 UTC")])
     log = normalize.normalize_log(r)
     assert rows(core.avg_push(log)) == [(9, None)]
-    for method in ("join", "window", "literal"):
-        assert core.core_contributors(log, method=method).count() == 0
+    assert core.core_contributors(log).count() == core.core_by_outer_join(log).count() == 0
+    assert core.core_by_window(core.push_activity(log)).count() == 0
 
 
 def test_unparseable_time_counts_as_push_but_matches_no_tenure(spark):
@@ -84,15 +85,26 @@ def test_lower_case_type_header(spark):
     assert rows(core.core_contributors(log)) == [(1, 5)]
 
 
-def test_session_zone_is_pinned(spark):
-    old = spark.conf.get("spark.sql.session.timeZone")
-    r = raw(spark, [(1, 1, "r", 5, "PushEvent", "2016-01-15 18:39:47 UTC")])
-    try:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        utc = normalize.normalize_log(r).select(F.unix_timestamp("created_at")).first()[0]
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", old)
-    assert utc == 1452883187
+def test_results_do_not_depend_on_the_session_zone(spark, zone):
+    # 02:30 on this day does not exist in New York.
+    data = [
+        (1, 1, "r", 5, "PushEvent", "2016-03-13 02:00:00 UTC"),
+        (2, 1, "r", 5, "PushEvent", "2016-03-13 03:00:00 UTC"),
+        (3, 2, "r", 5, "PullRequestEvent", "2016-03-13 02:30:00 UTC"),
+    ]
+    seen = []
+    for name in ("UTC", "America/New_York", "Asia/Kathmandu"):
+        zone(name)
+        log = normalize.normalize_log(raw(spark, data))
+        seen.append((rows(ReferenceNetwork(raw(spark, data)).focal_refs), rows(log.select(timestamp_text("created_at").alias("t")))))
+        assert spark.conf.get("spark.sql.session.timeZone") == name
+    assert seen == [([(1, 2)], [("2016-03-13 02:00:00",), ("2016-03-13 02:30:00",), ("2016-03-13 03:00:00",)])] * 3
+
+
+def test_bad_times_are_null(spark):
+    data = [(i, 1, "r", 5, "PushEvent", t) for i, t in enumerate(["2016-02-30 10:00:00 UTC", "2016-02-01", "2016-02-01T10:00:00Z", "", None, "2016-02-01 10:00:00.5 UTC"])]
+    times = [r["t"] for r in normalize.normalize_log(raw(spark, data)).select(timestamp_text("created_at").alias("t")).collect()]
+    assert sorted(t for t in times if t) == ["2016-02-01 10:00:00"] and times.count(None) == 5
 
 
 def test_empty_log_gives_empty_stages_with_schema(spark):
@@ -115,16 +127,60 @@ def test_timestamp_key(spark):
 def test_csv_log_round_trip_with_schema(spark):
     from test_golden import golden_raw
 
-    path = os.path.join(scratch_dir(), "log")
+    path = work_dir(spark, "log")
     delimited.write_dataset(golden_raw(spark), path, fmt="csv")
     back = delimited.read_activity_log(spark, path)
     assert back.schema == RAW_LOG_SCHEMA
     assert rows(back) == rows(golden_raw(spark))
 
 
+def test_csv_log_is_read_by_header(spark):
+    path = work_dir(spark, "other-order")
+    data = [("PushEvent", "2016-01-15 18:39:47 UTC", 1, "r", 7, p) for p in ("x", "y", "y")]
+    delimited.write_dataset(spark.createDataFrame(data, "type string, created_at string, repo_id long, repo_name string, actor_id long, payload string"), path, fmt="csv")
+    back = delimited.read_activity_log(spark, path)
+    assert back.columns == ["repo_id", "repo_name", "actor_id", "Type", "created_at", "payload"]
+    # The rows with payload y are copies of one; payload x is another event.
+    assert rows(core.push_counts(normalize.normalize_log(back))) == [(7, 1, 2)]
+
+
+def test_csv_log_without_a_column_is_an_error(spark):
+    path = work_dir(spark, "no-actor")
+    delimited.write_dataset(spark.createDataFrame([(1, "r", "PushEvent", "t")], "repo_id long, repo_name string, Type string, created_at string"), path, fmt="csv")
+    with pytest.raises(ValueError, match="actor_id"):
+        delimited.read_activity_log(spark, path)
+
+
+def test_work_dir_needs_a_shared_folder_beyond_one_machine(spark, monkeypatch):
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Cluster, "x")
+
+
+def test_run_network_honours_skip(spark):
+    from test_golden import golden_raw
+
+    out = work_dir(spark, "skip")
+    run_network(spark, golden_raw(spark), out, skip=("citations", "j_edges", "source_actors"))
+    assert not {"citations", "j_edges", "source_actors"} & set(os.listdir(out))
+    assert {"citation_edges", "j_counts", "actual_i_counts", "theta_pair_counts"} <= set(os.listdir(out))
+
+
 def test_inferred_and_pipe_delimited(spark):
     df = spark.createDataFrame([(1, "x|y?"), (2, "z")], "dept_id int, name string")
-    path = os.path.join(scratch_dir(), "dept")
+    path = work_dir(spark, "dept")
     delimited.write_dataset(df, path, fmt="csv", sep="|", files=1)
     back = delimited.read_pipe_delimited(spark, path)  # inference, as the original did
     assert dict(back.dtypes)["dept_id"] == "int"
@@ -134,7 +190,7 @@ def test_inferred_and_pipe_delimited(spark):
 def test_run_network_matches_lazy_network(spark):
     from test_golden import golden_raw
 
-    out = os.path.join(scratch_dir(), "run")
+    out = work_dir(spark, "run")
     written = run_network(spark, golden_raw(spark), out, fmt="csv")
     lazy = ReferenceNetwork(golden_raw(spark))
     for name in ("focal_refs", "j_edges", "actual_i_edges", "source_actors", "distinct_pull_pairs"):

@@ -5,9 +5,8 @@ from __future__ import annotations
 import pytest
 from conftest import rows
 
-from refnet.operators import cites, core, disrupt, normalize, refs
+from refnet.operators import cites, core, normalize
 from refnet.plans.network import ReferenceNetwork
-from refnet.plans.skew import NO_SALT, SkewPolicy
 from refnet.schema import RAW_LOG_SCHEMA
 
 GOLDEN = """\
@@ -40,12 +39,9 @@ def golden_raw(spark):
     return spark.createDataFrame(data, RAW_LOG_SCHEMA)
 
 
-POLICIES = [NO_SALT, SkewPolicy(hot_key_rows=1, salt_buckets=3)]
-
-
-@pytest.fixture(scope="module", params=POLICIES, ids=["plain", "all-keys-salted"])
+@pytest.fixture(scope="module", params=[1, 40], ids=["hardly-any-hot-key", "all-keys-hot"])
 def net(spark, request):
-    return ReferenceNetwork(golden_raw(spark), policy=request.param)
+    return ReferenceNetwork(golden_raw(spark), shares=request.param)
 
 
 def test_normalised_log(spark):
@@ -58,11 +54,12 @@ def test_core_contributors(net):
     assert rows(net.core_contributors, "repo_id", "actor_id") == [(1, 1), (2, 2), (3, 3), (3, 4), (4, 5)]
 
 
-def test_core_contributors_all_methods(spark):
+def test_core_contributors_all_forms(spark):
     log = normalize.normalize_log(golden_raw(spark))
     expect = [(1, 1), (2, 2), (3, 3), (3, 4), (4, 5)]
-    for method in ("join", "window", "literal"):
-        assert rows(core.core_contributors(log, method=method), "repo_id", "actor_id") == expect, method
+    assert rows(core.core_contributors(log), "repo_id", "actor_id") == expect
+    assert rows(core.core_by_outer_join(log), "repo_id", "actor_id") == expect
+    assert rows(core.core_by_window(core.push_activity(log), buckets=2), "repo_id", "actor_id") == expect
 
 
 def test_focal_refs(net):
@@ -99,18 +96,3 @@ def test_j(net):
 def test_actual_i(net):
     assert rows(net.actual_i_edges) == [(5, 4, 5)]
     assert rows(net.actual_i_counts) == [(5, 1)]
-
-
-def test_literal_forms_agree(spark):
-    log = normalize.normalize_log(golden_raw(spark))
-    net = ReferenceNetwork(golden_raw(spark))
-    tenure = core.core_tenure_literal(log)
-    assert rows(refs.focal_refs_literal(tenure, log)) == rows(net.focal_refs)
-    lit_sa = disrupt.source_actors_literal(net.core_contributors, net.citation_edges)
-    assert rows(lit_sa) == rows(net.source_actors)
-    lit_j = disrupt.j_edges_literal(lit_sa, net.reference_actors)
-    assert rows(lit_j) == rows(net.j_edges)
-    assert rows(disrupt.anti_via_null(net.citation_edges, lit_j)) == rows(net.actual_i_edges)
-    assert rows(disrupt.actual_i_edges_from(net.citation_edges, lit_j)) == rows(net.actual_i_edges)
-    theta = cites.theta_pair_counts_literal(net.core_contributors, net.citation_edges)
-    assert rows(theta) == rows(net.theta_pair_counts)
