@@ -6,9 +6,9 @@ record, so writing is distributed, committed and repeatable like any Spark outpu
 anything, and checks each payload against its digest.
 
 ``deduplicate`` reads an archive twice: headers alone are shuffled by payload digest, after partial aggregation, to find
-each payload's original (smallest id); headers are joined to the originals, and records with their fresh headers are
-written as responses, or as revisits without payload that name the original's record. Only the join that hands each
-record its header moves payloads, by record id, so copies of one payload never meet in one task.
+each payload's original (smallest id), and are joined to the originals. The decisions on the records of a file, at most
+``records_per_file``, are then joined to the file, still compressed, whose records are written with fresh headers as
+responses, or as revisits without payload that name the original's record. Copies of one payload never meet in one task.
 
 Defined results: null html is an empty payload; a null url has no WARC-Target-URI; control characters in urls are
 percent-encoded; null page ids sort last and have no Page-Id; among rows of the same smallest page_id one is the
@@ -131,11 +131,17 @@ def _unzipped(raw: bytes) -> Iterator[bytes]:
         raw = raw[used:] if z.eof else b""
 
 
-def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """All records below ``path``: FIELDS, and ``payload`` (null for revisits) if asked for."""
-    schema = FIELDS + (", payload binary" if payload else "")
-    names = [f.split()[0] for f in schema.split(", ")]
-    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+
+
+def read_archive(spark: SparkSession, path: str, payload: bool = True, revisits: DataFrame | None = None) -> DataFrame:
+    """All records below ``path``: FIELDS, file and number in it, and ``payload`` (null for revisits) if asked for.
+
+    ``revisits`` (file, copies: array<struct<number,refers_to>>) makes those records revisits on the way.
+    """
+    schema = FIELDS + ", file string, number int" + (", payload binary" if payload else "")
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     arrow = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")])
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -144,29 +150,37 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for files in batches:
-            for raw in files.column("content"):
-                for head, block in parse(_unzipped(raw.as_py())):
+            for file, raw, copies in zip(files.column("path"), files.column("content"), files.column("copies"), strict=True):
+                refers = {c["number"]: c["refers_to"] for c in copies.as_py() or ()}
+                for number, (head, block) in enumerate(parse(_unzipped(raw.as_py()))):
                     body = block[block.index(b"\r\n\r\n") + 4 :]
-                    response = head["WARC-Type"] == "response"
+                    kind, to = head["WARC-Type"], head.get("WARC-Refers-To")
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if response and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
+                    if kind == "response" and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
                         raise ValueError(f"{head['WARC-Record-ID']}: the payload isn't that of its digest")
-                    page = head.get("Page-Id")
-                    row = (head["WARC-Type"], head["WARC-Record-ID"], None if page is None else int(page), head.get("WARC-Target-URI"), digest, len(body) if response else None, head.get("WARC-Refers-To"))
+                    if number in refers:
+                        kind, to = "revisit", refers[number]
+                    page, response = head.get("Page-Id"), kind == "response"
+                    row = (kind, head["WARC-Record-ID"], None if page is None else int(page), head.get("WARC-Target-URI"), digest, len(body) if response else None, to, file.as_py(), number)
                     rows.append((*row, body if response else None) if payload else row)
-                    size += 300 + len(body) * payload
+                    size += 300 + len(body) * (payload and response)
                     if size > 4 << 20:
                         yield batch(rows)
                         rows, size = [], 0
         if rows:
             yield batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(read, schema).select(*names)
+    copies = "array<struct<number:int,refers_to:string>>"
+    files = _files(spark, path)
+    if revisits is None:
+        files = files.withColumn("copies", F.lit(None).cast(copies))
+    else:
+        files = files.join(revisits, F.col("path") == F.col("file"), "left").select("path", "content", F.col("copies").cast(copies).alias("copies"))
+    return files.mapInArrow(read, schema)
 
 
 def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(record_id, type, refers_to): of records with equal payloads of at least ``min_bytes`` that with the smallest id is
+    """(file, number, refers_to) of the revisits: of records with equal payloads of at least ``min_bytes`` that with the smallest id is
     the response, the others refer to its record."""
     order = F.struct(F.col("page_id").isNull().alias("last"), F.col("page_id"), F.col("record_id"))
     firsts = headers.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min(order).alias("first"))
@@ -174,14 +188,14 @@ def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     firsts = stored(firsts.select(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes"), F.col("first.record_id").alias("original")), "originals")
     found = headers.join(firsts, (headers["payload_digest"] == firsts["digest"]) & (headers["payload_bytes"] == firsts["bytes"]), "left")
     copy = F.col("original").isNotNull() & (F.col("original") != F.col("record_id"))
-    return found.select("record_id", F.when(copy, "revisit").otherwise("response").alias("type"), F.when(copy, F.col("original")).alias("refers_to"))
+    return found.filter(copy).select("file", "number", F.col("original").alias("refers_to"))
 
 
 def deduplicate(spark: SparkSession, source: str, target: str, min_bytes: int = 0) -> None:
     """Write the archive at ``source``, whose records are all responses, to ``target`` with copies as revisits."""
-    decided = resolve(read_archive(spark, source, payload=False), min_bytes).withColumnRenamed("record_id", "_id")
-    whole = read_archive(spark, source).drop("type", "refers_to", "payload_bytes")
-    write_archive(whole.join(decided, F.col("record_id") == F.col("_id")), target)
+    copies = resolve(read_archive(spark, source, payload=False), min_bytes)
+    by_file = copies.groupBy("file").agg(F.collect_list(F.struct("number", "refers_to")).alias("copies"))  # a file's records at most
+    write_archive(read_archive(spark, source, revisits=by_file), target)
 
 
 def read_resolved(spark: SparkSession, path: str) -> DataFrame:
