@@ -7,15 +7,18 @@ smallest and largest set size below each node, so the same sum over two nodes bo
 
 Blocks keep the trees small and dealt out: sets of similarity t or more share one of their first ``n - ceil(t n) + 1``
 hashes in any common order. The order puts frequent hashes last (counted over all documents in a table of fixed size) and
-goes by the hash elsewhere, so a passage that many documents share makes no block. Two rounds find the components:
+goes by the hash elsewhere, so a passage that many documents share makes no block. The components are found in rounds:
 
 1. Each class and the first class of its blocks, if many blocks say so, are verified against the texts' sets.
    Large groups of near copies become components by it, from a few pairs for each member.
-2. In every block whose members are still in different components, R-trees are joined with themselves; all surviving pairs
-   of different components are verified. So no link between components is lost, and pairs within one are never listed.
+2. In every block whose members are still in different components, R-trees are joined with themselves, and each class's
+   partner of the largest bound in another component is verified, a pair at most for each member of a block.
+3. At last all surviving pairs of different components are verified. So no link between components is lost, and pairs
+   within one are never listed.
 
-Sets are computed anew from the texts of the classes in question (a Bloom filter of fixed size picks them, the join
-decides), and compared hash by hash. Tables between the steps are written to the shared folder.
+A class without a class of similar size in a block leaves it. Sets are computed anew from a text of each class in question
+(a Bloom filter of fixed size picks the texts, the join decides), and compared hash by hash. Tables between the steps
+are written to the shared folder.
 
 Defined results: null text and text without words have size 0 and are their own component; a text of fewer than ``k``
 words has the whole sequence as its one n-gram, which differs from every longer n-gram; null ids are never a component's
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refnet.llm.common import pieces, stored, utf8
@@ -40,11 +43,12 @@ BUCKETS = 1 << 22  # of the count table
 OFTEN, LEAST_OFTEN = 8, 32  # a bucket is frequent with so many times the mean, and so many at least
 FILTER_BITS = 1 << 26
 LEAF = 16
+MOST_GROUPS = 1024
 
 
 def sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """The sorted set of each row, a slice of rows at a time."""
-    for part in pieces(batches, "_utf8"):
+    for part in pieces(batches, "_utf8", 1 << 20):
         words, at = word_hashes(part.column("_utf8"), NON_SPACE)
         grams = ngram_hashes(words, k)
         found = []
@@ -68,9 +72,9 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def point(own: np.ndarray) -> np.ndarray:
-    """How many hashes of a set are in each group; about four, and a power of two groups."""
+    """How many hashes of a set are in each group, about two while MOST_GROUPS are enough; groups are a power of two."""
     groups = 8
-    while groups * 4 < len(own):
+    while groups * 2 < len(own) and groups < MOST_GROUPS:
         groups *= 2
     while True:
         counts = np.bincount(((own >> np.uint64(40)) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
@@ -136,38 +140,43 @@ def bloom_positions(values: np.ndarray) -> list[np.ndarray]:
     return [((h >> np.uint64(s)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for s in (0, 26, 13)]
 
 
-def bloom(classes: DataFrame) -> np.ndarray:
-    """A filter of FILTER_BITS bits that lets every class through, and few others while they are few."""
+def bloom(values: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS bits that lets every value of the column through, and few others while they are few."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             at = np.concatenate(bloom_positions(part.column(0).to_numpy()))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
 
-    words = classes.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect()  # FILTER_BITS / 64 at most
+    words = values.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect()  # FILTER_BITS / 64 at most
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[[r["word"] for r in words]] = [r["bits"] for r in words]
     return out
 
 
-def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their whole sets."""
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    filter_ = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
+    wanted = pairs.select(F.col("a").alias("_class")).union(pairs.select("b")).distinct()
+    texts = signed.groupBy("class").agg(F.min("text_hash").alias("text_hash")).join(wanted, F.col("class") == F.col("_class"), "left_semi")
+    filter_ = docs.sparkSession.sparkContext.broadcast(bloom(texts.select("text_hash")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = filter_.value
-        for _, found in sets(batches, k):
+
+        def some() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = np.ones(batch.num_rows, bool)
+                for at in bloom_positions(batch.column("text_hash").to_numpy()):
+                    hit &= (words[at >> 6] >> (at & 63)) & 1 == 1
+                for a in range(0, batch.num_rows, 1000):
+                    yield batch.slice(a, 1000).filter(pa.array(hit[a : a + 1000]))
+
+        for _, found in sets(some(), k):
             own = {class_of(s): s for s in found if len(s)}
-            names = np.fromiter(own, np.int64, len(own))
-            hit = np.ones(len(own), bool)
-            for at in bloom_positions(names):
-                hit &= (words[at >> 6] >> (at & 63)) & 1 == 1
-            some = names[hit].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([own[c].view(np.int64) for c in some], pa.list_(pa.int64()))], names=["class", "hashes"])
-
-    texts = docs.select(utf8("text").alias("_utf8")).mapInArrow(pick, "class long, hashes array<long>").dropDuplicates(["class"])
-    own = stored(texts, "sets")
+            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64()), pa.array([s.view(np.int64) for s in own.values()], pa.list_(pa.int64()))], names=["class", "hashes"])
+
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), utf8("text").alias("_utf8"))
+    own = stored(texts.mapInArrow(pick, "class long, hashes array<long>").dropDuplicates(["class"]), "sets")
     left = own.select(F.col("class").alias("a"), F.col("hashes").alias("_left"))
     right = own.select(F.col("class").alias("b"), F.col("hashes").alias("_right"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_both", F.size(F.array_intersect("_left", "_right")).cast("long"))
@@ -193,8 +202,8 @@ class RTree:
         return own.max(axis=0), n.min(), n.max(), None, below
 
 
-def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of pairs whose bound allows the similarity; of a tree with itself, each pair once."""
+def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of pairs whose bound allows the similarity, and the bound; of a tree with itself, each pair once."""
     stack = [(left.root, right.root, same)]
     while stack:
         a, b, twin = stack.pop()
@@ -210,7 +219,7 @@ def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tup
                 good = np.triu(good, 1)
             i, j = np.nonzero(good)
             if len(i):
-                yield a[3][i], b[3][j]
+                yield a[3][i], b[3][j], most[i, j] / n[i, j]
         elif twin:
             stack += [(a[4][0], a[4][0], True), (a[4][1], a[4][1], True), (a[4][0], a[4][1], False)]
         elif b[3] is not None or a[3] is None and a[2] >= b[2]:
@@ -219,44 +228,102 @@ def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tup
             stack += [(a, x, False) for x in b[4]]
 
 
-def block_pairs(classes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of classes of one block with different labels that may be similar."""
+def block_pairs(labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members (by number) of one block with different labels that may be similar, and their bounds."""
     widths = np.fromiter(map(len, points), np.int64, len(points))
     bands = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
     trees = {w: RTree(np.frombuffer(b"".join(points[i] for i in rows), np.uint8).reshape(len(rows), w), sizes[rows]) for w, rows in bands.items()}
+    found = []
     for w, rows in bands.items():
-        found = [(rows, rows, similar(trees[w], trees[w], percent, True))]
-        for wider in bands:
-            # Similar sizes have at most neighbouring widths, unless a point had to be widened; folded, groups are the same.
-            if wider > w:
-                tree = trees[wider]
-                folded = RTree(tree.points.reshape(len(tree.points), wider // w, w).sum(axis=1, dtype=np.uint16), tree.sizes)
-                found.append((rows, bands[wider], similar(trees[w], folded, percent, False)))
-        for left, right, pairs in found:
-            for i, j in pairs:
-                a, b = left[i], right[j]
+        for wider, others in bands.items():
+            if wider < w or 100 * sizes[rows].max() < percent * sizes[others].min() or 100 * sizes[others].max() < percent * sizes[rows].min():
+                continue
+            tree = trees[wider]
+            if wider > w:  # folded, the groups are the same
+                tree = RTree(tree.points.reshape(len(tree.points), wider // w, w).sum(axis=1, dtype=np.uint16), tree.sizes)
+            for i, j, bound in similar(trees[w], tree, percent, wider == w):
+                a, b = rows[i], others[j]
                 apart = labels[a] != labels[b]
                 if apart.any():
-                    yield classes[a[apart]], classes[b[apart]]
-
-
-def candidate_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """(a, b) over all blocks (token, class, label, n, point), each block whole in one task, one after another."""
+                    found.append((a[apart], b[apart], bound[apart]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def small_pairs(token: np.ndarray, labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As block_pairs, for many blocks of LEAF members at most, which are leaves by themselves, all at once."""
+    left, right = [], []
+    for d in range(1, LEAF):
+        i = np.flatnonzero(token[:-d] == token[d:])
+        least, most = np.minimum(sizes[i], sizes[i + d]), np.maximum(sizes[i], sizes[i + d])
+        i = i[(labels[i] != labels[i + d]) & (100 * least >= percent * most)]
+        left.append(i), right.append(i + d)
+    i, j = np.concatenate(left), np.concatenate(right)
+    widths = np.fromiter(map(len, points), np.int64, len(points))
+    swap = widths[i] > widths[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    bound = np.zeros(len(i))
+    for w, wider in {*zip(widths[i].tolist(), widths[j].tolist(), strict=True)}:
+        some = np.flatnonzero((widths[i] == w) & (widths[j] == wider))
+        for a in range(0, len(some), max(1, (1 << 20) // wider)):
+            part = some[a : a + max(1, (1 << 20) // wider)]
+            x, y = (np.frombuffer(b"".join(points[m] for m in side[part].tolist()), np.uint8).reshape(len(part), -1) for side in (i, j))
+            y = y.reshape(len(part), wider // w, w).sum(axis=1, dtype=np.uint16) if wider > w else y
+            bound[part] = np.minimum(x, y).sum(axis=1, dtype=np.int64) / (sizes[i[part]] + sizes[j[part]])
+    good = bound * (100 + percent) >= percent * (1 - 1e-12)
+    return i[good], j[good], bound[good]
+
+
+def best_of(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each member's pairs that with the largest bound."""
+    member, other, bound = np.r_[a, b], np.r_[b, a], np.r_[bound, bound]
+    order = np.lexsort((other, -bound, member))
+    member, other = member[order], other[order]
+    first = np.r_[True, member[1:] != member[:-1]][: len(member)]
+    return member[first], other[first]
+
+
+def candidate_pairs(blocks: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b) over all blocks (token, class, label, n, point), each block whole in one task, one after another; only each
+    member's best partner if ``best``."""
     spread = blocks.select("token", "class", "label", "n", "point").repartition("token").sortWithinPartitions("token")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        seen: set[tuple[int, int]] = set()
 
         def pairs(rows: pa.Table) -> pa.RecordBatch:
             token = rows.column("token").to_numpy()
             classes, labels, sizes = (rows.column(c).to_numpy() for c in ("class", "label", "n"))
             points = rows.column("point").to_pylist()
             cut = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
-            found = set()
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                for x, y in block_pairs(classes[a:b], labels[a:b], sizes[a:b], points[a:b], percent):
-                    found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+            if len(seen) > 1 << 20:
+                seen.clear()  # a pair that comes again is sent again; distinct() below decides
+            new = []
+
+            def take(members: np.ndarray | slice, x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> None:
+                own = classes[members]
+                if best and len(x):
+                    names, at = np.unique(own, return_inverse=True)
+                    x, y = best_of(at[x], at[y], bound)
+                    x, y = names[x], names[y]
+                else:
+                    x, y = own[x], own[y]
+                for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True):
+                    if pair not in seen:
+                        seen.add(pair)
+                        new.append(pair)
+
+            length = np.diff(cut)
+            small = np.repeat(length <= LEAF, length)
+            if small.any():
+                at = np.flatnonzero(small)
+                take(at, *small_pairs(token[at], labels[at], sizes[at], [points[m] for m in at.tolist()], percent))
+            for c in np.flatnonzero(length > LEAF).tolist():
+                own = slice(int(cut[c]), int(cut[c + 1]))
+                take(own, *block_pairs(labels[own], sizes[own], points[own], percent))
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -277,6 +344,31 @@ def candidate_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     return spread.mapInArrow(join, "a long, b long").distinct()
 
 
+def close_in_size(percent: int) -> Column:
+    """Whether a row of a block (ordered by n) has a neighbour of similar size; if any row has one, a neighbour has."""
+    order = Window.partitionBy("token").orderBy("n", "class")
+    before, after = F.lag("n").over(order), F.lead("n").over(order)
+    return F.coalesce(100 * before >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * after, F.lit(False))
+
+
+def apart(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The rows (token, class, n, label) of blocks with more than one component."""
+    block = Window.partitionBy("token")
+    named = blocks.join(labels.withColumnRenamed("node", "_node"), F.col("class") == F.col("_node"), "left").select("token", "class", "n", F.coalesce("label", "class").alias("label"))
+    return named.withColumn("_min", F.min("label").over(block)).withColumn("_max", F.max("label").over(block)).filter("_min < _max").drop("_min", "_max")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after further links: the components of the links between labels, and each node by its label's."""
+    names = labels.withColumnRenamed("node", "_node").withColumnRenamed("label", "_label")
+    one = links.join(names, F.col("a") == F.col("_node"), "left").select(F.coalesce("_label", "a").alias("a"), "b")
+    between = one.join(names, F.col("b") == F.col("_node"), "left").select("a", F.coalesce("_label", "b").alias("b"))
+    joined = components(between, "components")
+    to = joined.select(F.col("node").alias("_from"), F.col("label").alias("_to"))
+    old = labels.join(to, F.col("label") == F.col("_from"), "left").select("node", F.coalesce("_to", "label").alias("label"))
+    return stored(old.union(joined.join(labels, "node", "left_anti")), "components")
+
+
 def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_hash) of every row of ``docs`` (doc_id, text); the last tells rows of one id apart."""
     docs = docs.select("doc_id", "text")
@@ -284,9 +376,9 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     classes = signed.filter("class is not null").dropDuplicates(["class"])
 
     tokens = classes.select("class", "n", F.explode("prefix").alias("token"))
-    block = Window.partitionBy("token")
-    first = F.min(F.struct("class", "n")).over(block)
-    shared = tokens.withColumn("_first", first).withColumn("_members", F.count("*").over(block)).filter("_members > 1")
+    near = tokens.withColumn("_near", close_in_size(percent)).filter("_near")
+    first = F.min(F.struct("class", "n")).over(Window.partitionBy("token"))
+    shared = near.withColumn("_first", first)
     blocks = stored(shared.select("token", "class", "n", F.col("_first.class").alias("first"), F.col("_first.n").alias("first_n")), "blocks")
 
     # Round 1: a class and the first of its blocks, where a quarter of its prefix says so.
@@ -294,16 +386,18 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     votes = blocks.filter(alike).groupBy("class", "first").agg(F.count("*").alias("votes"), F.max("n").alias("n"))
     likely = votes.filter(400 * F.col("votes") >= (100 - percent) * F.col("n"))
     pairs = stored(likely.select(F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b")).distinct(), "pairs")
-    links = stored(verified(docs, pairs, k, percent), "links")
-    labels = components(links)
+    links = stored(verified(docs, signed, pairs, k, percent), "links")
+    labels = components(links, "components")
 
-    # Round 2: what is still apart within a block.
-    named = blocks.join(labels.withColumnRenamed("node", "_node"), F.col("class") == F.col("_node"), "left").select("token", "class", "n", F.coalesce("label", "class").alias("label"))
-    apart = named.withColumn("_min", F.min("label").over(block)).withColumn("_max", F.max("label").over(block)).filter("_min < _max").drop("_min", "_max")
+    # Rounds 2 and 3.
     points = classes.select(F.col("class").alias("_class"), "point")
-    pairs = stored(candidate_pairs(apart.join(points, F.col("class") == F.col("_class")), percent), "pairs")
-    more = stored(verified(docs, pairs, k, percent), "links")
-    labels = components(links.union(more), "components")
+    for best in (True, False):
+        rest = apart(blocks, labels, percent).join(points, F.col("class") == F.col("_class"))
+        pairs = stored(candidate_pairs(rest, percent, best), "pairs")
+        if pairs.isEmpty():
+            break
+        more = stored(verified(docs, signed, pairs, k, percent), "links")
+        labels = labels if more.isEmpty() else merged(labels, more)
 
     # The smallest id of every component.
     ids = signed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("id"))

@@ -177,7 +177,9 @@ def test_bound_and_trees():
     sets += [np.unique(np.r_[s[3:], rng.integers(0, 2**63, 3).astype(np.uint64)]) for s in sets[:40]]
     points = [ngramjoin.point(s).tobytes() for s in sets]
     sizes = np.array([len(s) for s in sets])
-    found = {(min(a, b), max(a, b)) for x, y in ngramjoin.block_pairs(np.arange(len(sets)), np.arange(len(sets)), sizes, points, 85) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    x, y, bound = ngramjoin.block_pairs(np.arange(len(sets)), sizes, points, 85)
+    found = {(min(a, b), max(a, b)) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    assert sorted(ngramjoin.best_of(x, y, bound)[0].tolist()) == sorted({*x.tolist(), *y.tolist()})
     linked = set()
     for i in range(len(sets)):
         for j in range(i):
