@@ -11,9 +11,10 @@ goes by the hash elsewhere, so a passage that many documents share makes no bloc
 
 1. Each class and the first class of its blocks, if many blocks say so, are verified against the texts' sets.
    Large groups of near copies become components by it, from a few pairs for each member.
-2. In every block whose members are still in different components, R-trees are joined with themselves, and each class's
-   partner of the largest bound in another component is verified, a pair at most for each member of a block.
-3. At last all surviving pairs of different components are verified. So no link between components is lost, and pairs
+2. In a part of the blocks, by hash, whose members are still in different components, R-trees are joined with themselves,
+   and each class's partner of the largest bound in another component is verified, a pair at most for each member of a
+   block; then in another part. This only leaves less to round 3.
+3. Over all blocks all surviving pairs of different components are verified. So no link between components is lost, and pairs
    within one are never listed.
 
 A class without a class of similar size in a block leaves it. Sets are computed anew from a text of each class in question
@@ -44,6 +45,7 @@ OFTEN, LEAST_OFTEN = 8, 32  # a bucket is frequent with so many times the mean,
 FILTER_BITS = 1 << 26
 LEAF = 16
 MOST_GROUPS = 1024
+BEST_ROUNDS, PARTS = 3, 8
 
 
 def sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -389,13 +391,15 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     links = stored(verified(docs, signed, pairs, k, percent), "links")
     labels = components(links, "components")
 
-    # Rounds 2 and 3.
+    # Rounds 2, each over a part of the blocks, and round 3 over all.
     points = classes.select(F.col("class").alias("_class"), "point")
-    for best in (True, False):
-        rest = apart(blocks, labels, percent).join(points, F.col("class") == F.col("_class"))
+    for part in (*range(BEST_ROUNDS), None):
+        best = part is not None
+        some = blocks.filter(F.pmod(F.xxhash64("token"), F.lit(PARTS)) == part) if best else blocks
+        rest = apart(some, labels, percent).join(points, F.col("class") == F.col("_class"))
         pairs = stored(candidate_pairs(rest, percent, best), "pairs")
         if pairs.isEmpty():
-            break
+            continue
         more = stored(verified(docs, signed, pairs, k, percent), "links")
         labels = labels if more.isEmpty() else merged(labels, more)
 
