@@ -28,6 +28,7 @@ name while it has another; rows that repeat an id are documents each; other colu
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,7 +114,7 @@ def frequent_buckets(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, text_hash, n, class, prefix, point) of every document; class is null and the rest empty for an empty set."""
+    """(doc_id, text_hash, n, class, prefix, point (compressed)) of every document; class is null and the rest empty for an empty set."""
     often = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_buckets(docs, k)))
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text").alias("_utf8"))
 
@@ -127,7 +128,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     continue
                 last = frequent[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
                 first = np.r_[own[~last], own[last]][: prefix_size(len(own), percent)]
-                classes.append(class_of(own)), prefixes.append(first.view(np.int64)), points.append(point(own).tobytes())
+                classes.append(class_of(own)), prefixes.append(first.view(np.int64)), points.append(zlib.compress(point(own).tobytes(), 1))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in found], pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary())],
                 names=["doc_id", "text_hash", "n", "class", "prefix", "point"],
@@ -298,7 +299,7 @@ def candidate_pairs(blocks: DataFrame, percent: int, best: bool) -> DataFrame:
         def pairs(rows: pa.Table) -> pa.RecordBatch:
             token = rows.column("token").to_numpy()
             classes, labels, sizes = (rows.column(c).to_numpy() for c in ("class", "label", "n"))
-            points = rows.column("point").to_pylist()
+            points = [zlib.decompress(p) for p in rows.column("point").to_pylist()]
             cut = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
             if len(seen) > 1 << 20:
                 seen.clear()  # a pair that comes again is sent again; distinct() below decides
