@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and judges its own input alone. All but the last return the columns of documents:
 
 * language_id drops documents without any letter, and those that resemble no learned language at all;
-* near_duplicates keeps one document of each group of near copies, that with the smallest id;
+* near_duplicates keeps one document of each group of near copies (five-word Jaccard of 0.8 or more), that with the
+  smallest id;
 * decontamination drops documents a twentieth of whose words are benchmark passages;
 * secrets keeps every document and replaces what is secret in its text;
 * packing cuts what is left into full training sequences.
@@ -21,6 +22,7 @@ from refnet.llm import decontam, language, ngramjoin, packing, secrets
 from refnet.llm.common import ship, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_K, NEAR_PERCENT = 5, 80  # op4's query has its own, 4 and 85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each component of linked documents stays: the row whose id is the component's name."""
     ship(spark)
     docs = docs.select(*COLUMNS)
-    found = ngramjoin.join_components(docs)
+    found = ngramjoin.join_components(docs, k=NEAR_K, percent=NEAR_PERCENT)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     hashed = docs.withColumn("_text", F.xxhash64("text"))
     kept = hashed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")

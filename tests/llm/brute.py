@@ -44,9 +44,9 @@ def shingles(text, k=4):
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-def near_components(docs, percent=85):
+def near_components(docs, percent=85, k=4):
     """docs: [(id, text)] -> [(id, n, component)] row by row, all pairs compared."""
-    sets = [shingles(t) for _, t in docs]
+    sets = [shingles(t, k) for _, t in docs]
     group = list(range(len(docs)))
 
     def find(x):

@@ -95,6 +95,19 @@ def test_language_of_held_out_documents(spark, documents):
     assert len(held) > 40 and sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.9 * len(held)
 
 
+def test_near_duplicates_stage_links_from_four_fifths_of_five_words(spark):
+    """Copies with 18 to 25 % appended, and with single words changed, go; a copy below 0.8 stays."""
+    docs, n = [], 200
+    for i, more in enumerate((36, 44, 48, 60)):
+        own = [f"d{i}w{j}" for j in range(n)]
+        docs += [(10 * i, " ".join(own)), (10 * i + 1, " ".join(own + [f"d{i}x{j}" for j in range(more)]))]
+    own = [f"e{j}" for j in range(n)]
+    docs += [(90, " ".join(own)), (91, " ".join(f"changed{j}" if j in (20, 70, 120, 170) else w for j, w in enumerate(own)))]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, SF_SMALL).collect()}
+    assert kept == {0, 10, 20, 30, 31, 90} == {d for d, _, c in brute.near_components(docs, percent=80, k=5) if d == c}
+
+
 def test_pipeline(spark, con, documents):
     """Each stage against brute force on its own input."""
     docs, before = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), None
