@@ -5,7 +5,7 @@ classes are compared. A class's point counts the hashes of its set by group (bit
 the sum, over the groups, of the smaller count. An R-tree over points keeps the largest count of each group and the
 smallest and largest set size below each node, so the same sum over two nodes bounds the overlap of all pairs below them.
 
-Blocks keep the trees small and dealt out: sets of similarity t or more share one of their first ``n - ceil(t n) + 1``
+Blocks keep the trees small and dealt out (a large one by pairs of its parts): sets of similarity t or more share one of their first ``n - ceil(t n) + 1``
 hashes in any common order. The order puts frequent hashes last (counted over all documents in a table of fixed size) and
 goes by the hash elsewhere, so a passage that many documents share makes no block. The components are found in rounds:
 
@@ -47,6 +47,8 @@ FILTER_BITS = 1 << 26
 LEAF = 16
 MOST_GROUPS = 1024
 BEST_ROUNDS, PARTS = 3, 8
+CHUNK = 1024  # members of a block that one side of a cell holds
+BUFFER = 1 << 16  # pairs that a task holds before they leave
 
 
 def sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -187,30 +189,38 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, k: int, perce
 
 
 class RTree:
-    """Points of one width, packed by halving the widest coordinate; nodes as (largest counts, least n, most n, below)."""
+    """Points of one width, packed by halving the widest coordinate; nodes as (largest counts, least n, most n, below,
+    least label, largest label)."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+        self.points, self.sizes, self.labels = points, sizes, labels
         self.root = self._pack(np.arange(len(points)))
 
     def _pack(self, rows: np.ndarray) -> tuple:
-        own, n = self.points[rows], self.sizes[rows]
+        own, n, label = self.points[rows], self.sizes[rows], self.labels[rows]
         if len(rows) <= LEAF:
-            return own.max(axis=0), n.min(), n.max(), rows, None
+            return own.max(axis=0), n.min(), n.max(), rows, None, label.min(), label.max()
         # Set sizes count as a coordinate, by the share of their range that can be similar.
         spread = own.max(axis=0).astype(np.int64) - own.min(axis=0)
         by = n if n.max() * 85 > n.min() * 100 else own[:, spread.argmax()]
         order = np.argsort(by, kind="stable")
         below = [self._pack(rows[half]) for half in np.array_split(order, 2)]
-        return own.max(axis=0), n.min(), n.max(), None, below
+        return own.max(axis=0), n.min(), n.max(), None, below, label.min(), label.max()
+
+    def folded(self, width: int) -> RTree:
+        """The tree of the same sets in fewer groups."""
+        if self.points.shape[1] == width:
+            return self
+        return RTree(self.points.reshape(len(self.points), -1, width).sum(axis=1, dtype=np.uint16), self.sizes, self.labels)
 
 
 def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of pairs whose bound allows the similarity, and the bound; of a tree with itself, each pair once."""
+    """Rows of pairs with different labels whose bound allows the similarity, and the bound; of a tree with itself, each
+    pair once."""
     stack = [(left.root, right.root, same)]
     while stack:
         a, b, twin = stack.pop()
-        if 100 * a[2] < percent * b[1] or 100 * b[2] < percent * a[1]:
+        if 100 * a[2] < percent * b[1] or 100 * b[2] < percent * a[1] or a[5] == a[6] == b[5] == b[6]:
             continue
         if not twin and np.minimum(a[0], b[0]).sum(dtype=np.int64) * (100 + percent) < percent * (a[1] + b[1]):
             continue
@@ -218,6 +228,7 @@ def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tup
             n = left.sizes[a[3]][:, None] + right.sizes[b[3]][None, :]
             most = np.minimum(left.points[a[3]][:, None, :], right.points[b[3]][None, :, :]).sum(axis=2, dtype=np.int64)
             good = most * (100 + percent) >= percent * n
+            good &= left.labels[a[3]][:, None] != right.labels[b[3]][None, :]
             if twin:
                 good = np.triu(good, 1)
             i, j = np.nonzero(good)
@@ -231,24 +242,30 @@ def similar(left: RTree, right: RTree, percent: int, same: bool) -> Iterator[tup
             stack += [(a, x, False) for x in b[4]]
 
 
-def block_pairs(labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of members (by number) of one block with different labels that may be similar, and their bounds."""
-    widths = np.fromiter(map(len, points), np.int64, len(points))
-    bands = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
-    trees = {w: RTree(np.frombuffer(b"".join(points[i] for i in rows), np.uint8).reshape(len(rows), w), sizes[rows]) for w, rows in bands.items()}
-    found = []
-    for w, rows in bands.items():
-        for wider, others in bands.items():
-            if wider < w or 100 * sizes[rows].max() < percent * sizes[others].min() or 100 * sizes[others].max() < percent * sizes[rows].min():
+def bands_of(rows: np.ndarray, labels: np.ndarray, sizes: np.ndarray, points: list[bytes]) -> dict[int, tuple[np.ndarray, RTree]]:
+    """Of some members (by number), those of each width of points and their tree."""
+    widths = np.array([len(points[i]) for i in rows.tolist()], np.int64)
+    bands = {int(w): rows[widths == w] for w in np.unique(widths)}
+    return {w: (own, RTree(np.frombuffer(b"".join(points[i] for i in own.tolist()), np.uint8).reshape(len(own), w), sizes[own], labels[own])) for w, own in bands.items()}
+
+
+def cell_pairs(left: np.ndarray, right: np.ndarray | None, labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Some pairs after others of members (by number) of ``left`` and ``right`` (of ``left`` with itself if None) with
+    different labels that may be similar, and their bounds."""
+    one = bands_of(left, labels, sizes, points)
+    two = one if right is None else bands_of(right, labels, sizes, points)
+    for w, (rows, tree) in one.items():
+        for v, (others, other) in two.items():
+            if right is None and v < w or 100 * sizes[rows].max() < percent * sizes[others].min() or 100 * sizes[others].max() < percent * sizes[rows].min():
                 continue
-            tree = trees[wider]
-            if wider > w:  # folded, the groups are the same
-                tree = RTree(tree.points.reshape(len(tree.points), wider // w, w).sum(axis=1, dtype=np.uint16), tree.sizes)
-            for i, j, bound in similar(trees[w], tree, percent, wider == w):
-                a, b = rows[i], others[j]
-                apart = labels[a] != labels[b]
-                if apart.any():
-                    found.append((a[apart], b[apart], bound[apart]))
+            # Folded to the smaller width, the groups are the same.
+            for i, j, bound in similar(tree.folded(min(w, v)), other.folded(min(w, v)), percent, right is None and v == w):
+                yield rows[i], others[j], bound
+
+
+def block_pairs(labels: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All of cell_pairs of one block with itself."""
+    found = list(cell_pairs(np.arange(len(points)), None, labels, sizes, points, percent))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -278,75 +295,125 @@ def small_pairs(token: np.ndarray, labels: np.ndarray, sizes: np.ndarray, points
     return i[good], j[good], bound[good]
 
 
-def best_of(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each member's pairs that with the largest bound."""
+def best_of(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each member's pairs that with the largest bound, and the bound."""
     member, other, bound = np.r_[a, b], np.r_[b, a], np.r_[bound, bound]
     order = np.lexsort((other, -bound, member))
-    member, other = member[order], other[order]
+    member, other, bound = member[order], other[order], bound[order]
     first = np.r_[True, member[1:] != member[:-1]][: len(member)]
-    return member[first], other[first]
-
-
-def candidate_pairs(blocks: DataFrame, percent: int, best: bool) -> DataFrame:
-    """(a, b) over all blocks (token, class, label, n, point), each block whole in one task, one after another; only each
-    member's best partner if ``best``."""
-    spread = blocks.select("token", "class", "label", "n", "point").repartition("token").sortWithinPartitions("token")
+    return member[first], other[first], bound[first]
+
+
+def in_parts(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], best: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs and bounds in parts of about BUFFER; if ``best`` those of best_of alone, at the end."""
+    held, n = [], 0
+    for part in found:
+        held.append(part)
+        n += len(part[0])
+        if n >= BUFFER:
+            whole = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n = [], 0
+            if best:
+                held = [best_of(*whole)]
+            else:
+                yield whole
+    if held:
+        whole = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+        yield best_of(*whole) if best else whole
+
+
+def dealt(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The rows of blocks (with ``_rank``, ``_from``, ``_same`` and ``_count`` of apart) by cell (token, i, j): members of a
+    block stand in chunks by rank, and a cell has the members of two chunks, or of one (i = j). So every pair of members
+    is in one cell, but for pairs of chunks that hold one known component alone, which are left out."""
+    of = lambda rank: F.floor(rank / F.lit(chunk)).cast("int")
+    last = of(F.col("_count") - 1)
+    # The chunks from _low to before _high hold the row's component alone.
+    rows = blocks.withColumns(
+        {"_chunk": of(F.col("_rank")), "_last": last, "_low": of(F.col("_from") + chunk - 1), "_high": F.when(F.col("_from") + F.col("_same") == F.col("_count"), last + 1).otherwise(of(F.col("_from") + F.col("_same")))}
+    )
+    inside = (F.col("_chunk") >= F.col("_low")) & (F.col("_chunk") < F.col("_high"))
+    others = F.filter(F.sequence(F.lit(0), F.col("_last")), lambda c: ~(inside & (c >= F.col("_low")) & (c < F.col("_high"))))
+    cells = rows.withColumn("_other", F.explode(F.when(F.col("_last") == 0, F.array(F.lit(0))).otherwise(others)))
+    return cells.select(
+        "token", F.least("_chunk", "_other").alias("i"), F.greatest("_chunk", "_other").alias("j"), (F.col("_chunk") > F.col("_other")).alias("second"), "class", "label", "n", "point"
+    )
+
+
+def candidate_pairs(blocks: DataFrame, percent: int, best: bool, chunk: int = CHUNK) -> DataFrame:
+    """(a, b) over all blocks (those of apart with their points), each cell of ``dealt`` in one task, one after another;
+    only each member's best partner in the cell if ``best``."""
+    spread = dealt(blocks, chunk).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         seen: set[tuple[int, int]] = set()
 
-        def pairs(rows: pa.Table) -> pa.RecordBatch:
-            token = rows.column("token").to_numpy()
+        def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            cut = np.flatnonzero(np.r_[True, changes(rows), True])
             classes, labels, sizes = (rows.column(c).to_numpy() for c in ("class", "label", "n"))
+            second = rows.column("second").to_numpy()
             points = [zlib.decompress(p) for p in rows.column("point").to_pylist()]
-            cut = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
-            if len(seen) > 1 << 20:
-                seen.clear()  # a pair that comes again is sent again; distinct() below decides
-            new = []
-
-            def take(members: np.ndarray | slice, x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> None:
-                own = classes[members]
-                if best and len(x):
-                    names, at = np.unique(own, return_inverse=True)
-                    x, y = best_of(at[x], at[y], bound)
-                    x, y = names[x], names[y]
-                else:
-                    x, y = own[x], own[y]
-                for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True):
-                    if pair not in seen:
-                        seen.add(pair)
-                        new.append(pair)
-
             length = np.diff(cut)
-            small = np.repeat(length <= LEAF, length)
-            if small.any():
-                at = np.flatnonzero(small)
-                take(at, *small_pairs(token[at], labels[at], sizes[at], [points[m] for m in at.tolist()], percent))
-            for c in np.flatnonzero(length > LEAF).tolist():
-                own = slice(int(cut[c]), int(cut[c + 1]))
-                take(own, *block_pairs(labels[own], sizes[own], points[own], percent))
+            numbers = np.repeat(np.arange(len(length)), length)
+            mixed = np.add.reduceat(second, cut[:-1], dtype=np.int64) > 0  # a cell of two chunks
+            few = (length <= LEAF) & ~mixed
+
+            def small() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+                at = np.flatnonzero(few[numbers])
+                if len(at):
+                    x, y, bound = small_pairs(numbers[at], labels[at], sizes[at], [points[m] for m in at.tolist()], percent)
+                    yield at[x], at[y], bound
+
+            def large(c: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+                own = np.arange(cut[c], cut[c + 1])
+                one, two = own[~second[own]], own[second[own]]
+                if len(one):
+                    yield from cell_pairs(one, two if mixed[c] else None, labels, sizes, points, percent)
+
+            def named(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+                return ((classes[x], classes[y], bound) for x, y, bound in found)
+
+            new: list[tuple[int, int]] = []
+            for found in (small(), *(large(c) for c in np.flatnonzero(~few).tolist())):
+                for x, y, _ in in_parts(named(found), best):
+                    if len(seen) > 1 << 20:
+                        seen.clear()  # a pair that comes again is sent again; distinct() below decides
+                    for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True):
+                        if pair not in seen:
+                            seen.add(pair)
+                            new.append(pair)
+                    if len(new) >= BUFFER:
+                        yield sent(new)
+                        new = []
+            yield sent(new)
+
+        def sent(new: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token = batch.column("token").to_numpy()
-            # All but the last block are complete.
-            last = int(np.searchsorted(token, token[-1])) if token[0] != token[-1] else 0
-            if last:
-                yield pairs(pa.Table.from_batches([*held, batch.slice(0, last)]))
+            if held and changes(pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)]))[0]:
+                yield from pairs(pa.Table.from_batches(held))
                 held = []
-            elif held and held[-1].column("token")[-1].as_py() != token[0]:
-                yield pairs(pa.Table.from_batches(held))
+            # All but the last cell are complete.
+            last = int(np.flatnonzero(np.r_[True, changes(pa.Table.from_batches([batch]))])[-1])
+            if last:
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, last)]))
                 held = []
             held.append(batch.slice(last))
         if held:
-            yield pairs(pa.Table.from_batches(held))
+            yield from pairs(pa.Table.from_batches(held))
 
     return spread.mapInArrow(join, "a long, b long").distinct()
 
 
+def changes(rows: pa.Table) -> np.ndarray:
+    """Whether each row but the first is in another cell than the row before."""
+    return np.logical_or.reduce([np.diff(rows.column(c).to_numpy()) != 0 for c in ("token", "i", "j")])
+
+
 def close_in_size(percent: int) -> Column:
     """Whether a row of a block (ordered by n) has a neighbour of similar size; if any row has one, a neighbour has."""
     order = Window.partitionBy("token").orderBy("n", "class")
@@ -355,10 +422,13 @@ def close_in_size(percent: int) -> Column:
 
 
 def apart(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The rows (token, class, n, label) of blocks with more than one component."""
-    block = Window.partitionBy("token")
+    """The rows (token, class, n, label) of blocks with more than one component, with their rank by label in the block, the
+    first rank of their label, and how many rows their label and the block have."""
+    block, alike, order = Window.partitionBy("token"), Window.partitionBy("token", "label"), Window.partitionBy("token").orderBy("label", "class")
     named = blocks.join(labels.withColumnRenamed("node", "_node"), F.col("class") == F.col("_node"), "left").select("token", "class", "n", F.coalesce("label", "class").alias("label"))
-    return named.withColumn("_min", F.min("label").over(block)).withColumn("_max", F.max("label").over(block)).filter("_min < _max").drop("_min", "_max")
+    counted = named.withColumn("_rank", F.row_number().over(order) - 1).withColumn("_same", F.count("*").over(alike)).withColumn("_count", F.count("*").over(block))
+    first = F.rank().over(Window.partitionBy("token").orderBy("label")) - 1
+    return counted.withColumn("_from", first).filter("_same < _count")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:

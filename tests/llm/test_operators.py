@@ -189,6 +189,46 @@ def test_bound_and_trees():
     assert linked and linked <= found and len(found) < 0.2 * len(sets) ** 2 / 2
 
 
+def test_large_blocks_are_dealt_in_cells(spark):
+    """No task has more than two chunks of a block at a time; every pair of different components is met once."""
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 2**63, 55).astype(np.uint64)
+    sets = [np.unique(np.r_[common, rng.integers(0, 2**63, 5).astype(np.uint64)]) for _ in range(150)]
+    sets += [rng.integers(0, 2**63, n).astype(np.uint64) for n in (20, 90, 200)]
+    rows = [(7, i, len(s), zlib.compress(ngramjoin.point(s).tobytes())) for i, s in enumerate(sets)] + [(8, i, len(sets[i]), zlib.compress(ngramjoin.point(sets[i]).tobytes())) for i in (0, 140, 151)]
+    blocks = spark.createDataFrame(rows, "token long, class long, n long, point binary")
+    named = {i: 5 for i in range(5, 100)}  # a large known component, and members apart on both sides of it
+    labels = spark.createDataFrame(list(named.items()), "node long, label long")
+    label = [named.get(i, i) for i in range(len(sets))]
+    rest = ngramjoin.apart(blocks, labels, 85).join(blocks.select(F.col("class").alias("_class"), "point").dropDuplicates(["_class"]), F.col("class") == F.col("_class"))
+    cells = {}
+    for r in ngramjoin.dealt(rest, 16).collect():
+        cells.setdefault((r["token"], r["i"], r["j"]), [[], []])[r["second"]].append(r["class"])
+    assert max(len(a) + len(b) for a, b in cells.values()) <= 32 and len({k for k in cells if k[0] == 8}) == 1
+    met = [(min(x, y), max(x, y)) for (t, i, j), (a, b) in cells.items() if t == 7 for x in a for y in (b if i < j else [z for z in a if z > x])]
+    apart = {(x, y) for y in range(len(sets)) for x in range(y) if label[x] != label[y]}
+    assert len(met) == len(set(met)) and apart <= set(met)
+    assert len(met) < len(sets) * (len(sets) - 1) / 2 - 70 * 70 / 2  # the known component isn't met with itself
+    whole = ngramjoin.block_pairs(np.array(label), np.array([len(s) for s in sets]), [ngramjoin.point(s).tobytes() for s in sets], 85)
+    expected = {(min(a, b), max(a, b)) for a, b in zip(whole[0].tolist(), whole[1].tolist(), strict=True)}
+    assert len(expected) > 1000
+    for chunk in (16, 1000):
+        found = [tuple(r) for r in ngramjoin.candidate_pairs(rest, 85, False, chunk).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
+        best = {tuple(r) for r in ngramjoin.candidate_pairs(rest, 85, True, chunk).collect()}
+        assert best <= expected and {x for p in best for x in p} == {x for p in expected for x in p}
+
+
+def test_pairs_leave_in_parts(monkeypatch):
+    monkeypatch.setattr(ngramjoin, "BUFFER", 10)
+    found = lambda: ((np.arange(4) + i, np.arange(4) + 100, np.full(4, i / 10.0)) for i in range(9))
+    parts = list(ngramjoin.in_parts(found(), False))
+    assert max(len(p[0]) for p in parts) <= 13 and sum(len(p[0]) for p in parts) == 36
+    whole = ngramjoin.best_of(*(np.concatenate(x) for x in zip(*found(), strict=True)))
+    (best,) = ngramjoin.in_parts(found(), True)
+    assert all((x == y).all() for x, y in zip(best, whole, strict=True))
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(100, 140)]
     star = [(70, i) for i in range(50, 95)]
