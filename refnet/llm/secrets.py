@@ -7,13 +7,21 @@ encoding is the smallest alphabet that holds it. Three tests ask whether it is u
 
 * chi-squared of the symbol counts against equal counts, upper tail;
 * the runs test (Wald-Wolfowitz) of symbols in the upper and the lower half of the alphabet;
-* the serial correlation of neighbouring symbols' values.
+* the serial correlation of neighbouring symbols' values, and how often a step between neighbours comes twice in a row
+  (``1234567890123456`` is even, and too short for the correlation).
 
-A candidate that fails one of them at ``battery_level`` isn't random. For the others the p-value says how likely a run of
-ordinary text of the same length looks as random: the lower tail of chi-squared under the letter coincidence rate of
-text, and the upper tail of changes between lower case, upper case, digits and symbols, joined by Fisher's method.
-False discoveries are controlled by Benjamini and Hochberg's rule at ``rate`` within classes of length, over all
-candidates of all rows: one pass counts p-values in bins (a table of fixed size), the next applies the thresholds.
+False discoveries are controlled twice by Benjamini and Hochberg's rule within classes of length, over all candidates of
+all rows:
+
+1. Three times the smallest of the three p-values is a p-value of "uniformly random", however the tests depend on each
+   other. What the rule rejects at ``battery_level`` isn't random.
+2. One more test asks how likely a run of ordinary text of the same length looks as random: the lower tail of chi-squared
+   under the letter coincidence rate of text, the lower tail of common pairs of letters, and the upper tail of changes
+   between lower case, upper case, digits and symbols, joined by Fisher's method. What is left of step 1 and rejected at
+   ``rate`` is a secret; what step 1 rejected counts as null cases. Text says nothing on digits alone: a run of them is a
+   secret if step 1 leaves it.
+
+One pass counts p-values in bins (a table of fixed size), the next applies the thresholds.
 
 Defined results: null text is empty; offsets are code points, ends exclusive; spans of different kinds may overlap;
 each row has its own result. ``redact`` replaces the union of all spans.
@@ -44,6 +52,8 @@ _NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 MIN_RUN = 16
 LENGTHS = (16, 20, 24, 32, 48, 64)  # where classes of length begin
 BINS, PER_DECADE = 400, 10  # of -log10 p
+BATTERY_BINS = 100
+REJECTED, DIGITS = -1, -2  # in place of a bin of the text test
 _RUN = np.array([chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_-") for b in range(256)])
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = tuple(
@@ -63,6 +73,14 @@ ENCODINGS = tuple(
 )
 # Of letters of ordinary text: that two are the same, that three are, and that neighbours differ in kind.
 SAME_TWO, SAME_THREE, CHANGE = 0.066, 0.006, 0.1
+# Pairs of letters that make up at least COMMON of those in words of English, German, French or Spanish.
+PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma "
+    "si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo "
+    "ow pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke ui ei ck au sc ze zu ru eh hr lt ft rd "
+    "eu nk nn tt qu ue da do".split()
+)
+COMMON = 0.7
 
 
 def _tail(z: float) -> float:
@@ -104,7 +122,9 @@ def battery(run: str) -> dict[str, float]:
     centre = sum(values) / n
     spread = sum((v - centre) ** 2 for v in values)
     serial = sum((a - centre) * (b - centre) for a, b in zip(values, values[1:], strict=False)) / spread if spread else 1.0
-    serial_p = 2 * _tail(abs(serial + 1 / n) * math.sqrt(n))
+    steps = [(b - a) % m for a, b in zip(values, values[1:], strict=False)]
+    steps_p = _binomial_tail(sum(a == b for a, b in zip(steps, steps[1:], strict=False)), n - 2, 1 / m)
+    serial_p = min(1.0, 2 * min(2 * _tail(abs(serial + 1 / n) * math.sqrt(n)), steps_p))
     # Under text: coincident pairs are many.
     pairs, triples = n * (n - 1) / 2, n * (n - 1) * (n - 2) / 6
     have = (square - n) / 2
@@ -112,8 +132,14 @@ def battery(run: str) -> dict[str, float]:
     text_same = _tail((pairs * SAME_TWO - have) / sd)
     kinds = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in run]
     text_change = _binomial_tail(sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)), n - 1, CHANGE)
-    x = -math.log(max(text_same, 1e-300)) - math.log(max(text_change, 1e-300))
-    return {"chi": chi, "runs": runs_p, "serial": serial_p, "text": min(1.0, math.exp(-x) * (1 + x))}
+    low = run.lower()
+    letters = [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()]
+    text_pairs = _binomial_tail(sum(p not in PAIRS for p in letters), len(letters), 1 - COMMON) if letters else 1.0
+    parts = [text_same, *([text_change] if len(set(kinds)) > 1 else []), *([text_pairs] if letters else [])]  # what can speak
+    x = -sum(math.log(max(p, 1e-300)) for p in parts)
+    random = min(1.0, 3 * min(chi, runs_p, serial_p))
+    fisher = math.exp(-x) * sum(x**i / math.factorial(i) for i in range(len(parts)))
+    return {"chi": chi, "runs": runs_p, "serial": serial_p, "random": random, "text": min(1.0, fisher)}
 
 
 def length_class(n: int) -> int:
@@ -125,12 +151,11 @@ def p_bin(p: float) -> int:
     return min(BINS - 1, int(-math.log10(max(p, 1e-300)) * PER_DECADE))
 
 
-def candidates(text: str, level: float) -> Iterator[tuple[int, int, int, int | None]]:
-    """(start, end, class of length, bin of the p-value or None if the battery fails) of runs in an ASCII-offset text."""
+def candidates(text: str) -> Iterator[tuple[int, int, int, int, int]]:
+    """(start, end, class of length, bin of the battery's p-value, bin of the text test's or DIGITS) of runs in a text."""
     for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", text):
         found = battery(m[0])
-        random = min(found["chi"], found["runs"], found["serial"]) >= level
-        yield m.start(), m.end(), length_class(m.end() - m.start()), p_bin(found["text"]) if random else None
+        yield m.start(), m.end(), length_class(m.end() - m.start()), min(BATTERY_BINS - 1, p_bin(found["random"])), DIGITS if m[0].isdigit() else p_bin(found["text"])
 
 
 def base_spans(text: str, named: bool, run: bool) -> list[tuple[int, int, int]]:
@@ -162,18 +187,18 @@ def _texts(part: pa.RecordBatch, column: str) -> Iterator[tuple[str | None, bool
         yield (raw.decode("utf-8", "replace") if named or run else None), named, run
 
 
-def _histogram(docs: DataFrame, level: float) -> DataFrame:
+def _histogram(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for part in pieces(batches, "_utf8"):
             for text, _, run in _texts(part, "_utf8"):
                 if run:
-                    total.update((c, -1 if b is None else b) for _, _, c, b in candidates(text, level))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["class", "bin", "n"]
-        )
+                    total.update(c[2:] for c in candidates(text))
+        columns = [pa.array([k[i] for k in total], pa.int32()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(list(total.values()), pa.int64())], names=["class", "battery", "bin", "n"])
 
-    return docs.select(utf8("text").alias("_utf8")).mapInArrow(count, "class int, bin int, n long").groupBy("class", "bin").agg(F.sum("n").alias("n"))
+    found = docs.select(utf8("text").alias("_utf8")).mapInArrow(count, "class int, battery int, bin int, n long")
+    return found.groupBy("class", "battery", "bin").agg(F.sum("n").alias("n"))
 
 
 def thresholds(histogram: dict[tuple[int, int], int], rate: float) -> list[int]:
@@ -193,17 +218,36 @@ def thresholds(histogram: dict[tuple[int, int], int], rate: float) -> list[int]:
     return out
 
 
-def learn_thresholds(docs: DataFrame, rate: float = 0.01, battery_level: float = 0.001) -> list[int]:
-    """Over all rows; at most ``len(LENGTHS) * (BINS + 1)`` counts go to the driver."""
-    return thresholds({(r["class"], r["bin"]): r["n"] for r in _histogram(docs, battery_level).collect()}, rate)
+def both_thresholds(histogram: dict[tuple[int, int, int], int], rate: float, level: float) -> list[tuple[int, int]]:
+    """For each class of length the smallest bin that the battery rejects and the smallest that the text test does, from
+    numbers by (class, bin of the battery, bin of the text test or DIGITS)."""
+    battery_, text = Counter(), Counter()
+    for (c, b, _), n in histogram.items():
+        battery_[c, b] += n
+    out = thresholds(battery_, level)
+    for (c, b, t), n in histogram.items():
+        if b >= out[c]:
+            text[c, REJECTED] += n
+        elif t != DIGITS:
+            text[c, t] += n
+    return list(zip(out, thresholds(text, rate), strict=True))
+
+
+def discovered(least: tuple[int, int], battery_bin: int, text_bin: int) -> bool:
+    return battery_bin < least[0] and (text_bin == DIGITS or text_bin >= least[1])
+
+
+def learn_thresholds(docs: DataFrame, rate: float = 0.01, battery_level: float = 0.001) -> list[tuple[int, int]]:
+    """Over all rows; at most ``len(LENGTHS) * BATTERY_BINS * (BINS + 1)`` counts go to the driver."""
+    return both_thresholds({(r["class"], r["battery"], r["bin"]): r["n"] for r in _histogram(docs).collect()}, rate, battery_level)
 
 
-def _spans(text: str | None, named: bool, run: bool, least: list[int], level: float) -> list[tuple[int, int, int]]:
+def _spans(text: str | None, named: bool, run: bool, least: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     if text is None:
         return []
     spans = base_spans(text, named, run)
     if run:
-        spans += [(a, 3, b) for a, b, c, p in candidates(text, level) if p is not None and p >= least[c]]
+        spans += [(a, 3, b) for a, b, c, p, t in candidates(text) if discovered(least[c], p, t)]
     return sorted(spans)
 
 
@@ -215,7 +259,7 @@ def find_secrets(docs: DataFrame, keep: list[str], rate: float = 0.01, battery_l
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "_utf8"):
-            found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in _spans(*t, least, battery_level)] for t in _texts(part, "_utf8")]
+            found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in _spans(*t, least)] for t in _texts(part, "_utf8")]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found, kind)], names=[*keep, "spans"])
 
     return docs.select(*keep, utf8("text").alias("_utf8")).mapInArrow(find, schema)
@@ -231,7 +275,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, battery_
         for part in pieces(batches, "_utf8"):
             texts = []
             for raw, null, t in zip(part.column("_utf8").to_pylist(), part.column("_null").to_pylist(), _texts(part, "_utf8"), strict=True):
-                spans = _spans(*t, least, battery_level)
+                spans = _spans(*t, least)
                 if not spans:
                     texts.append(None if null else raw.decode("utf-8", "replace"))
                     continue

@@ -127,6 +127,29 @@ def test_randomness_battery():
     assert sum(map(found, random_)) >= 0.9 * len(random_) and not any(map(found, text))
 
 
+def test_secrets_of_one_kind_of_symbols(spark):
+    """Digits alone and letters of a single case are found where one run in a hundred is a secret, and words aren't."""
+    rng = random.Random(7)
+    parts = "inter nation al iz ation under stand ing counter revolution ary mis represent er trans form geschwindig keits begrenz ung verantwort lich auf merk sam keit electro magnet ic".split()
+    words_ = [w for w in ("".join(rng.choices(parts, k=rng.randint(4, 14))) for _ in range(9000)) if len(w) >= 16] + ["1234567890123456789", "0000000000000000", "-" * 40] * 20
+    digits = ["".join(rng.choices("0123456789", k=rng.randint(16, 31))) for _ in range(25)]
+    letters = ["".join(rng.choices(a, k=n)) for a in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for n in (32, 40, 48, 64) for _ in range(8)]
+    runs = words_ + digits + letters
+    frame = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").repartition(4)
+    found = {runs[r["doc_id"]] for r in secrets.find_secrets(frame, ["doc_id"]).collect() if any(s["kind"] == "random" for s in r["spans"])}
+    assert len(digits + letters) < 0.02 * len(runs)
+    assert len(found & set(digits)) >= 0.9 * len(digits) and len(found & set(letters)) >= 0.9 * len(letters)
+    assert len(found - set(digits + letters)) <= 0.02 * len(found)
+
+
+def test_false_discoveries_of_the_battery():
+    """The battery's step follows the share of random runs, not a fixed level."""
+    many = secrets.both_thresholds({(0, 25, 0): 10, (0, 0, 300): 10_000}, 0.01, 0.001)
+    few = secrets.both_thresholds({(0, 25, 0): 10, (0, 99, 0): 10_000, (0, 34, 300): 10_000}, 0.01, 0.001)
+    assert not secrets.discovered(few[0], 34, 300) and secrets.discovered(few[0], 0, secrets.DIGITS)
+    assert secrets.discovered(many[0], 0, 300) and not secrets.discovered(many[0], 0, 0) and many[0][0] > 25
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, " ".join(f"W{i}" for i in range(20, 40))), (2, "one"), (10, "one"), (3, None), (4, ""), (None, "quick brown fox"), (5, "jumps over the lazy dog while many small words follow one after another until")]
     bench = spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, n_words int")
