@@ -10,7 +10,7 @@ Each stage takes (spark, docs, sf_dir) and judges its own input alone. All but t
 * packing cuts what is left into full training sequences.
 
 Defined results: of equal rows one remains after near_duplicates; rows of a null doc_id go if they are near copies of one
-with an id, else they stay; other columns than those of documents are left behind; empty tables give empty tables.
+with an id, and of near copies that all have none one stays; other columns than those of documents are left behind; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -34,11 +34,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked documents stays: the row whose id is the component's name."""
+    """One document of each component of linked documents stays: that with the smallest id (null ids last), then the smallest
+    hash of its text. Documents without words are components of their own; of those with one id and text one stays."""
     ship(spark)
     docs = docs.select(*COLUMNS)
     found = ngramjoin.join_components(docs, k=NEAR_K, percent=NEAR_PERCENT)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    linked = found.filter("label is not null").groupBy("label").agg(least.alias("_least")).select("_least._id", "_least._hash")
+    stay = linked.union(found.filter("label is null").select("doc_id", "text_hash"))
     hashed = docs.withColumn("_text", F.xxhash64("text"))
     kept = hashed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_text"]).select(*COLUMNS)

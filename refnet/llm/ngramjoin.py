@@ -443,7 +443,8 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, text_hash) of every row of ``docs`` (doc_id, text); the last tells rows of one id apart."""
+    """(doc_id, n_shingles, component_id, text_hash, label) of every row of ``docs`` (doc_id, text); text_hash tells rows of
+    one id apart, label components whose ids don't (null for an empty set)."""
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, k, percent), "signatures")
     classes = signed.filter("class is not null").dropDuplicates(["class"])
@@ -478,6 +479,6 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     ids = signed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("id"))
     ids = ids.join(labels, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("label", "class").alias("label"))
     least = ids.groupBy("label").agg(F.min("id").alias("component_id"))
-    of = stored(ids.join(least, "label").select(F.col("class").alias("_class"), "component_id"), "classes")
+    of = stored(ids.join(least, "label").select(F.col("class").alias("_class"), "component_id", "label"), "classes")
     found = signed.select("doc_id", "text_hash", "n", "class").join(of, F.col("class") == F.col("_class"), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "label")

@@ -34,7 +34,7 @@ def op3_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramjoin.join_components(table(spark, sf_dir, "documents")).drop("text_hash")
+    return ngramjoin.join_components(table(spark, sf_dir, "documents")).drop("text_hash", "label")
 
 
 def op5_warc_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,17 @@ def test_near_duplicates_stage_links_from_four_fifths_of_five_words(spark):
     assert kept == {0, 10, 20, 30, 31, 90} == {d for d, _, c in brute.near_components(docs, percent=80, k=5) if d == c}
 
 
+def test_near_duplicates_stage_keeps_one_of_repeated_and_null_ids(spark):
+    own = {x: [f"{x}{j}" for j in range(100)] for x in "abc"}
+    near = {x: " ".join([*w, "more"]) for x, w in own.items()}
+    text = {x: " ".join(w) for x, w in own.items()}
+    docs = [(1, text["a"]), (1, near["a"]), (2, near["a"]), (None, text["b"]), (None, near["b"]), (None, text["c"]), (3, near["c"]), (1, "other words"), (None, None), (None, ""), (None, ""), (4, " ")]
+    frame = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, frame, SF_SMALL).collect()]
+    assert len(kept) == 7 and {(1, "other words"), (3, near["c"]), (None, None), (None, ""), (4, " ")} <= set(kept)
+    assert len({(1, text["a"]), (1, near["a"])} & set(kept)) == 1 == len({(None, text["b"]), (None, near["b"])} & set(kept))
+
+
 def test_pipeline(spark, con, documents):
     """Each stage against brute force on its own input."""
     docs, before = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), None
