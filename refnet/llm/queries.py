@@ -30,7 +30,9 @@ def op2_license_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents").select("text")))
+    sums = lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents").select("text")))
+    # The share of documents within each length: the first length that has a share is its quantile.
+    return sums.withColumn("quantile_share", (F.col("total_docs") - F.col("docs_over")) / F.col("total_docs"))
 
 
 def op4_ngram_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:

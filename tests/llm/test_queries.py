@@ -11,7 +11,7 @@ from oracle_check import compare, duck
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from refnet.llm import packing, secrets
+from refnet.llm import lengths, packing, secrets
 from refnet.llm.queries import ORACLES, QUERIES
 from refnet.llm.tokens import Encoder, tokenizer_path
 
@@ -80,6 +80,16 @@ def test_lengths(spark, documents):
     assert got == {n: (sizes.count(n), sum(s > n for s in sizes), sum(min(s, n) for s in sizes), sum(sizes)) for n in sizes}
 
 
+def test_token_length_quantiles(spark):
+    rows = sorted((r["length"], r["n_docs"], r["quantile_share"]) for r in query(spark, "op3"))
+    total, within = sum(n for _, n, _ in rows), 0
+    for _, n, share in rows:
+        within += n
+        assert share == within / total
+    asked = lengths.quantiles(QUERIES["op3_token_length_histogram"](spark, SF_SMALL), [0.5, 0.9, 0.99, 1.0]).collect()
+    assert len(asked) == 4 and all(r["length"] == next(x for x, _, share in rows if share >= r["share"]) for r in asked)
+
+
 def test_secrets(spark, documents):
     got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in query(spark, "op6")}
     assert got == {d: brute.secrets(t) for d, t, _ in documents}
