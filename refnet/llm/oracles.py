@@ -77,10 +77,54 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT * FROM r WHERE rank <= 20
 """
 
+# CRC-32 of the decimal id, bit by bit.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))"""
+
+OP11 = f"""
+WITH t AS MATERIALIZED (
+  SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn, strlen(coalesce(text, '')) AS bytes,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 5 AS base, xor({_CRC}, 4294967295) % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.turn, t.bytes FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.turn, t.bytes FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(turn, '') OVER w AS node, coalesce(string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS parent, bytes
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM c),
+n AS MATERIALIZED (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY node),
+e AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM p GROUP BY conv_id) GROUP BY node),
+k AS MATERIALIZED (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+s AS (
+  SELECT a.node, count(*) FILTER (k.node IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.bytes) AS saved
+  FROM n a JOIN n b ON b.depth >= a.depth AND starts_with(b.node, a.node) LEFT JOIN k ON k.node = b.node GROUP BY a.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN n u ON u.node = n.parent LEFT JOIN k ON k.node = n.node LEFT JOIN e ON e.node = n.node
+"""
+
+OP12 = f"""
+WITH w AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, {_ALNUM.format(c="text")} AS words FROM documents),
+z AS MATERIALIZED (SELECT count(*) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM w WHERE len(words) > 0),
+f AS MATERIALIZED (SELECT d, doc_id, len(words) AS n, term, count(*) AS tf FROM (SELECT d, doc_id, words, unnest(words) AS term FROM w) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, text, unnest({_ALNUM.format(c="text")}) AS term FROM benchmark),
+df AS MATERIALIZED (SELECT term, count(*) AS df, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, z WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+g AS MATERIALIZED (SELECT d, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS part FROM f JOIN df USING (term), z),
+s AS (SELECT item_id, text, d, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN g USING (term) GROUP BY item_id, text, d, doc_id HAVING sum(part) > 0),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)
+SELECT * FROM r WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard_rtree": OP4,
     "op5_warc_revisit_resolution": OP5,
     "op7_decontamination_suffix_arrays": OP7,
     "op8_chat_prefix_targets": OP8,
     "op10_cover_tree_top_k": OP10,
+    "op11_prefix_trie_collapse": OP11,
+    "op12_pair_bound_maxscore": OP12,
 }

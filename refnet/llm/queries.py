@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refnet.llm import chat, covertree, decontam, language, lengths, licenses, ngramjoin, oracles, packing, secrets, warc
+from refnet.llm import chat, covertree, decontam, language, lengths, lexical, licenses, ngramjoin, oracles, packing, prefixtrie, secrets, simhash, warc
 from refnet.llm.common import ship, table
 
 
@@ -85,6 +85,20 @@ def op10_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(data, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_prefix_trie_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"), base, heads, 8).drop("node")
+
+
+def op12_pair_bound_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item")
+
+
+def op13_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
