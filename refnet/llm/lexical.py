@@ -6,14 +6,15 @@ have a term, they have L terms in all, this one has n, and df documents hold the
 
 1. ``postings`` cuts the documents into shards of bounded size and inverts each in one task, all terms of all documents.
 2. ``weights`` adds up df, N and L over all shards.
-3. ``impact_index`` stores each wanted term's scored list by shard, with its largest score, and for pairs of terms that
-   queries hold together (neighbours in a query's text, and in its order of weights) the list of documents with both, their
-   joint scores and the largest joint score.
+3. ``impact_index`` stores each wanted term's list of impacts by shard, with its largest score, and for pairs of terms that
+   queries hold together (neighbours in a query's text, and in its order of weights) the list of documents with both, the
+   largest joint score and the k-th best one.
 4. ``search`` takes a query's terms apart into pairs, first those whose list lowers the bound most. A pair adds no more than
    the largest of its joint score and its two single ones, less than the sum of the single ones that plain MaxScore allows.
    From the pair or term with the largest bound on, scores are added up; once the bounds of the rest together fall below
-   the k-th best score, no further document can enter, and the rest is looked up for the remaining candidates alone, fewer
-   after each step. The k-th best joint score of a list, and that of the task's earlier shards, are where the bar starts.
+   the k-th best score, no further document can enter. Each remaining candidate then gets a bound of its own: of a pair, the
+   joint maximum if the pair's list has it, else the larger single one. The rest is looked up for the candidates alone,
+   fewer after each step. The k-th best joint score of a list, and that of the task's earlier shards, are where the bar starts.
 
 Queries go to the shards as rows, in blocks of bounded size, through a shuffle; nothing of them passes the driver. A task
 holds one shard and one block.
@@ -44,7 +45,7 @@ BLOCK = 256  # queries of a block, about
 QUERY_TERMS = 1 << 16  # terms of one row of queries; a longer text is cut into rows that share its number
 
 POSTINGS = "shard long, term long, df long, docs binary, tfs binary, n_docs long, n_words long"
-INDEX = "shard long, kind int, term long, other long, docs binary, scores binary, most long"
+INDEX = "shard long, kind int, term long, other long, w long, docs binary, impacts binary, most long, kth long"
 
 
 def cut_binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -181,8 +182,9 @@ def array_of(value: pa.Scalar, kind: type) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
-def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int, length: int) -> DataFrame:
-    """The scored lists of the weighed terms (kind 1) and of the pairs of terms that queries of ``blocks`` hold (kind 2)."""
+def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int, length: int, k: int) -> DataFrame:
+    """The lists of the weighed terms (kind 1) and of the pairs of terms that queries of ``blocks`` hold (kind 2), each with
+    its largest score and its ``k``-th best (0: it has fewer)."""
     heads = found.filter("term is null").select("shard", F.lit(0).alias("kind"), "tfs")
     lists = found.filter("term is not null").join(weighed, "term").select("shard", F.lit(1).alias("kind"), "tfs", "term", "w", "docs")
     rows = by_shard(heads.unionByName(lists, allowMissingColumns=True), blocks, heads)
@@ -196,16 +198,19 @@ def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int
         done: set[tuple[int, int]] = set()
 
         def sent() -> pa.RecordBatch:
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
             columns = zip(*out, strict=True) if out else [()] * len(types)
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["shard", "kind", "term", "other", "docs", "scores", "most"])
+            names = ["shard", "kind", "term", "other", "w", "docs", "impacts", "most", "kth"]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
             out.clear()
             return batch
 
-        def put(kind: int, term: int, other: int | None, docs: np.ndarray, scores: np.ndarray) -> None:
+        def put(kind: int, term: int, other: int | None, w: int | None, docs: np.ndarray, impacts: np.ndarray | None, scores: np.ndarray) -> None:
             nonlocal size
-            out.append((shard, kind, term, other, docs.astype(np.uint16).tobytes(), scores.tobytes(), int(scores.max())))
-            size += 10 * len(docs)
+            kth = int(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else 0
+            held = None if impacts is None else impacts.astype(np.int32).tobytes()  # an impact is a million at most
+            out.append((shard, kind, term, other, w, docs.astype(np.uint16).tobytes(), held, int(scores.max(initial=0)), kth))
+            size += 100 + 6 * len(docs)
 
         for row in rows_of(batches):
             if row["shard"].as_py() != shard:
@@ -216,9 +221,9 @@ def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int
                 m = 50 + 50 * array_of(row["tfs"], np.int32).astype(np.int64) * n // length if length else m
             elif kind == 1:
                 docs, tf = array_of(row["docs"], np.uint16).astype(np.int64), array_of(row["tfs"], np.int32).astype(np.int64)
-                scores = row["w"].as_py() * (1_000_000_000 * tf // (1000 * tf + 20 * m[docs]))
-                lists[row["term"].as_py()] = docs, scores
-                put(1, row["term"].as_py(), None, docs, scores)
+                impacts, w = 1_000_000_000 * tf // (1000 * tf + 20 * m[docs]), row["w"].as_py()
+                lists[row["term"].as_py()] = docs, w * impacts
+                put(1, row["term"].as_py(), None, w, docs, impacts, w * impacts)
             elif lists:
                 wanted = {p for q in row["queries"].as_py() for p in term_pairs(q["terms"], q["weights"])} - done
                 done |= wanted
@@ -232,10 +237,7 @@ def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int
                     others, more = lists[b]
                     at = place[others]
                     both = at >= 0
-                    if both.any():
-                        put(2, a, b, others[both], scores[at[both]] + more[both])
-                    else:
-                        out.append((shard, 2, a, b, b"", b"", 0))
+                    put(2, a, b, None, others[both], None, scores[at[both]] + more[both])
                     if size > 4 << 20:
                         yield sent()
                         size = 0
@@ -253,8 +255,8 @@ class Shard:
     def __init__(self, size: int, order: np.ndarray):
         self.size = size
         self.order = order  # the rank of each document's id
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
-        self.pairs: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray, int, int]] = {}  # documents, scores, the largest, the k-th best
+        self.pairs: dict[tuple[int, int], tuple[np.ndarray, int, int]] = {}  # documents with both, their largest score, the k-th best
         self._scratch = np.zeros(size, np.int64)
 
     def groups(self, terms: list[int], weights: list[int]) -> list[tuple[int, tuple[int, ...]]]:
@@ -273,9 +275,19 @@ class Shard:
                 free -= {a, b}
         return sorted(groups + [(single[t], (t,)) for t in free], reverse=True)
 
+    def bounds(self, group: tuple[int, ...], docs: np.ndarray) -> np.ndarray | int:
+        """What a group can add to each of some documents."""
+        if len(group) == 1:
+            return self.lists[group[0]][2]
+        both, joint, _ = self.pairs[group]
+        self._scratch[both] = 1
+        inside = self._scratch[docs] == 1
+        self._scratch[both] = 0
+        return np.where(inside, joint, max(self.lists[t][2] for t in group))
+
     def scores_of(self, term: int, docs: np.ndarray) -> np.ndarray:
         """What the term adds to some documents."""
-        have, scores, _ = self.lists[term]
+        have, scores, *_ = self.lists[term]
         if len(docs) * 16 < len(have):
             at = np.searchsorted(have, docs)
             at[at == len(have)] = 0
@@ -289,16 +301,14 @@ class Shard:
         """Documents and scores of the k best of at least ``bar`` and above 0, fewer if there are fewer."""
         groups = self.groups(terms, weights)
         bar = max(bar, 1)
-        for _, group in groups:
-            joint = self.pairs[min(group), max(group)][0] if len(group) == 2 else self.lists[group[0]][1]
-            if len(joint) >= k:  # so many documents have that much at least
-                bar = max(bar, int(np.partition(joint, len(joint) - k)[len(joint) - k]))
+        for _, group in groups:  # k documents have that much at least
+            bar = max(bar, self.pairs[group][2] if len(group) == 2 else 0, *(self.lists[t][3] for t in group))
         rest = sum(bound for bound, _ in groups)
         total = np.zeros(self.size, np.int64)
         at = 0
         while at < len(groups) and rest >= bar:
             for t in groups[at][1]:
-                docs, scores, _ = self.lists[t]
+                docs, scores, *_ = self.lists[t]
                 total[docs] += scores
             rest -= groups[at][0]
             at += 1
@@ -306,14 +316,16 @@ class Shard:
                 bar = max(bar, int(np.partition(total, self.size - k)[self.size - k]))
         docs = np.flatnonzero(total + rest >= bar)
         sums = total[docs]
-        for bound, group in groups[at:]:
+        own = [self.bounds(group, docs) for _, group in groups[at:]]
+        rests = sum(own, np.zeros(len(docs), np.int64))
+        for n, (_, group) in enumerate(groups[at:]):
+            left = sums + rests >= bar
+            docs, sums, rests, own = docs[left], sums[left], rests[left], [b if isinstance(b, int) else b[left] for b in own]
             for t in group:
                 sums = sums + self.scores_of(t, docs)
-            rest -= bound
+            rests = rests - own[n]
             if len(docs) > k:
                 bar = max(bar, int(np.partition(sums, len(docs) - k)[len(docs) - k]))
-            left = sums + rest >= bar
-            docs, sums = docs[left], sums[left]
         left = sums >= bar
         docs, sums = docs[left], sums[left]
         best = np.lexsort((self.order[docs], -sums))[:k]
@@ -339,9 +351,10 @@ def search(found: DataFrame, index: DataFrame, blocks: DataFrame, k: int) -> Dat
                 order[pc.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))
                 own = Shard(len(ids), order)
             elif kind == 1:
-                own.lists[row["term"].as_py()] = array_of(row["docs"], np.uint16).astype(np.int64), array_of(row["scores"], np.int64), row["most"].as_py()
+                docs, scores = array_of(row["docs"], np.uint16).astype(np.int64), row["w"].as_py() * array_of(row["impacts"], np.int32).astype(np.int64)
+                own.lists[row["term"].as_py()] = docs, scores, row["most"].as_py(), row["kth"].as_py()
             elif kind == 2:
-                own.pairs[row["term"].as_py(), row["other"].as_py()] = array_of(row["scores"], np.int64), row["most"].as_py()
+                own.pairs[row["term"].as_py(), row["other"].as_py()] = array_of(row["docs"], np.uint16).astype(np.int64), row["most"].as_py(), row["kth"].as_py()
             elif own.lists:
                 items, docs, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for q in row["queries"].as_py():
@@ -364,7 +377,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     weighed, n, length = weights(found, terms.select(F.explode("terms").alias("term")).distinct())
     weighed = stored(weighed.filter("w > 0"), "weights")
     blocks = stored(query_blocks(terms, weighed), "query-blocks")
-    index = stored(impact_index(found, weighed, blocks, n, length), "impacts")
+    index = stored(impact_index(found, weighed, blocks, n, length, k), "impacts")
     hits = search(found, index, blocks, k)
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     top = hits.withColumn("rank", rank).filter(F.col("rank") <= k)

@@ -173,20 +173,21 @@ def test_ranking_over_many_shards_and_blocks(spark, searched, monkeypatch):
 def test_a_pair_lowers_the_bound_and_keeps_the_ranking():
     """Two terms that never meet: the pair's bound is the larger of the two, not their sum."""
     rng = np.random.default_rng(3)
-    shard = lexical.Shard(400, np.arange(400))
+    shard, kth = lexical.Shard(400, np.arange(400)), lambda s: int(np.sort(s)[-10]) if len(s) >= 10 else 0
     for t in range(12):
         docs = np.flatnonzero(rng.random(400) < 0.3)
         scores = rng.integers(1, 1000, len(docs))
-        shard.lists[t] = docs, scores, int(scores.max())
+        shard.lists[t] = docs, scores, int(scores.max()), kth(scores)
     terms, weights = list(range(12)), [12 - t for t in range(12)]
     plain = sum(b for b, _ in shard.groups(terms, weights))
     for a, b in lexical.term_pairs(terms, weights):
-        one, two = dict(zip(*map(np.ndarray.tolist, shard.lists[a][:2]))), dict(zip(*map(np.ndarray.tolist, shard.lists[b][:2])))
-        joint = np.array([one[d] + two[d] for d in one if d in two], np.int64)
-        shard.pairs[a, b] = joint, int(joint.max(initial=0))
+        one, two = (dict(zip(*map(np.ndarray.tolist, shard.lists[t][:2]), strict=True)) for t in (a, b))
+        both = np.array([d for d in one if d in two], np.int64)
+        joint = np.array([one[d] + two[d] for d in both.tolist()], np.int64)
+        shard.pairs[a, b] = both, int(joint.max(initial=0)), kth(joint)
     assert sum(b for b, _ in shard.groups(terms, weights)) < plain
     total = np.zeros(400, np.int64)
-    for docs, scores, _ in shard.lists.values():
+    for docs, scores, *_ in shard.lists.values():
         total[docs] += scores
     order = np.lexsort((np.arange(400), -total))[:10]
     for bar in (0, int(total[order[-1]])):
