@@ -18,8 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from refnet.functions.columns import timestamp_key, timestamp_text  # noqa: E402
 from refnet.operators import cites, core, normalize, refs, relational  # noqa: E402
-from refnet.plans.network import ReferenceNetwork  # noqa: E402
-from refnet.plans.views import register_views, sql_focal_counts  # noqa: E402
+from refnet.plans.network import ReferenceNetwork, stage_counts  # noqa: E402
+from refnet.plans.views import register_functions, register_views, sql_focal_counts, sql_repo_profile  # noqa: E402
 from refnet.schema import CORE_SCHEMA, FOCAL_EDGE_SCHEMA  # noqa: E402
 from refnet.session import work_dir  # noqa: E402
 from refnet.sources import delimited, fixture  # noqa: E402
@@ -79,9 +79,31 @@ def _scan_pipe_csv(spark, sf_dir):
     return delimited.read_pipe_delimited(spark, path, schema=customer.schema)
 
 
-def _roundtrip_edges(spark, sf_dir, files=None):
+def _drifting_csv(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The log in files of two headers, every seventh event's row once more without its last field, every eleventh's with a
+    word for its actor, and a file without actors."""
+    path, raw = work_dir(spark, "drifting-csv"), _raw(spark, sf_dir)
+    named = raw.withColumn("actor_id", F.col("actor_id").cast("string"))
+    named = named.unionByName(named.filter("event_id % 11 = 0").withColumn("actor_id", F.concat(F.lit("user "), "actor_id")))
+    delimited.write_dataset(named.filter("event_id % 2 = 0").select("Type", "created_at", "event_id", "actor_id", "repo_name", "repo_id"), f"{path}/a", fmt="csv")
+    columns = ["repo_id", "REPO_NAME", "actor_id", "type", "created_at", "event_id"]
+    lines = named.filter("event_id % 2 = 1").select(F.concat_ws(",", *columns).alias(",".join(columns)))
+    short = raw.filter("event_id % 7 = 0").select(F.concat_ws(",", *columns[:-1]).alias(",".join(columns)))
+    delimited.write_dataset(lines.union(short), f"{path}/b", fmt="csv", sep="\x01")
+    delimited.write_dataset(raw.filter("event_id % 13 = 0").select("event_id", "repo_id"), f"{path}/c", fmt="csv")
+    log, quarantine = delimited.read_drifting_log(spark, [f"{path}/a", f"{path}/b", f"{path}/c"])
+    return log.withColumn("event_id", F.col("event_id").cast("long")), quarantine.drop("file")
+
+
+def _sql_functions(spark, sf_dir):
+    net = _net(spark, sf_dir)
+    register_functions(spark, {name: getattr(net, name) for name in ("focal_refs", "citation_edges", "actual_i_edges")})
+    return sql_repo_profile(spark)
+
+
+def _roundtrip_edges(spark, sf_dir, few_files=False):
     path = work_dir(spark, "focal-edges")
-    delimited.write_dataset(_net(spark, sf_dir).focal_edges, path, fmt="csv", files=files)
+    delimited.write_dataset(_net(spark, sf_dir).focal_edges, path, fmt="csv", few_files=few_files)
     return delimited.read_edges(spark, path, fmt="csv", schema=FOCAL_EDGE_SCHEMA)
 
 
@@ -90,10 +112,6 @@ def _sql_surface(spark, sf_dir):
     return sql_focal_counts(spark, "refnet_focal_refs")
 
 
-def _citations_broadcast(net: ReferenceNetwork) -> DataFrame:
-    return cites.citations_plain(net.core_contributors, net.distinct_pull_pairs)
-
-
 def _anti_via_null(net: ReferenceNetwork) -> DataFrame:
     """Actual I by the outer join and null test over J."""
     j = net.j_edges.select("source_repo_citing_focal_repo")
@@ -116,18 +134,6 @@ def _case_label(spark, sf_dir):
     return labelled.select("repo_id", "actor_id", "Type", "kind")
 
 
-def _stage_counts(spark, sf_dir):
-    net = _net(spark, sf_dir)
-    return relational.stage_counts(
-        {
-            "normalized_log": net.log,
-            "core_contributors": net.core_contributors,
-            "focal_refs": net.focal_refs,
-            "distinct_pull_pairs": net.distinct_pull_pairs,
-        }
-    )
-
-
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_raw": lambda s, d: normalize.dedup_raw(_raw(s, d)),
     "normalized_log": lambda s, d: _ts_text(_log(s, d), "created_at"),
@@ -148,7 +154,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_focal": lambda s, d: refs.top_focal(_net(s, d).focal_counts, 20),
     "distinct_pull_pairs": _stage("distinct_pull_pairs"),
     "citations": _stage("citations"),
-    "citations_broadcast": lambda s, d: _citations_broadcast(_net(s, d)),
+    "citations_broadcast": _stage("citations_broadcast"),
     "citation_edges": _stage("citation_edges"),
     "citation_counts": _stage("citation_counts"),
     "source_actors": _stage("source_actors"),
@@ -160,13 +166,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anti_via_null": lambda s, d: _anti_via_null(_net(s, d)),
     "left_anti": _left_anti,
     "theta_pair_counts": _stage("theta_pair_counts"),
-    "stage_counts": _stage_counts,
+    "theta_reference_counts": lambda s, d: _net(s, d).theta_reference_counts.withColumn("row_count", F.col("row_count").cast("long")),
+    "stage_counts": lambda s, d: stage_counts(ReferenceNetwork(_raw(s, d), count_log=True)),
     "sql_surface": _sql_surface,
     "scan_log_csv": _scan_log_csv,
+    "scan_drifting_csv": lambda s, d: _drifting_csv(s, d)[0],
+    "quarantine_csv": lambda s, d: _drifting_csv(s, d)[1],
+    "sql_functions": _sql_functions,
     "scan_schema_csv": _scan_schema_csv,
     "scan_pipe_csv": _scan_pipe_csv,
     "roundtrip_edges": _roundtrip_edges,
-    "few_files_csv": lambda s, d: _roundtrip_edges(s, d, files=1),
+    "few_files_csv": lambda s, d: _roundtrip_edges(s, d, few_files=True),
     "to_width": lambda s, d: relational.to_width(_net(s, d).distinct_pull_pairs, 12, "actor_id"),
 }
 
@@ -259,12 +269,24 @@ _FINAL = {
     "actual_i_counts": "SELECT focal AS focal_repo_id, count(*) AS \"count\" FROM outside GROUP BY focal",
     "anti_via_null": _OUTSIDE,
     "theta_pair_counts": "SELECT c.focal AS focal_repo_id, count(*) AS pair_count FROM citing c, member m WHERE m.repo_id <> c.source GROUP BY c.focal",
+    "theta_reference_counts": """SELECT m.repo_id AS focal_repo_id, CAST(sum(c.n * t.n) AS BIGINT) AS row_count
+        FROM member m JOIN (SELECT source, count(*) AS n FROM citing GROUP BY source) c ON c.source <> m.repo_id
+        JOIN (SELECT p.actor_id, count(*) AS n FROM reference r JOIN puller p ON p.repo_id = r.destination GROUP BY p.actor_id) t ON t.actor_id = m.actor_id
+        GROUP BY m.repo_id""",
     "stage_counts": """SELECT 'normalized_log' AS stage, (SELECT count(*) FROM log) AS "rows"
         UNION ALL SELECT 'core_contributors', (SELECT count(*) FROM member)
         UNION ALL SELECT 'focal_refs', (SELECT count(*) FROM reference)
         UNION ALL SELECT 'distinct_pull_pairs', (SELECT count(*) FROM puller)""",
     "sql_surface": _REFERENCE_COUNTS,
     "scan_log_csv": "FROM raw",
+    "scan_drifting_csv": "FROM raw",
+    "quarantine_csv": """SELECT 'actor_id' AS reason, CASE WHEN event_id % 2 = 0 THEN concat_ws(',', "Type", created_at, event_id, 'user ' || actor_id, repo_name, repo_id)
+          ELSE concat_ws(',', repo_id, repo_name, 'user ' || actor_id, "Type", created_at, event_id) END AS record FROM raw WHERE event_id % 11 = 0
+        UNION ALL SELECT 'fields', concat_ws(',', repo_id, repo_name, actor_id, "Type", created_at) FROM raw WHERE event_id % 7 = 0
+        UNION ALL SELECT 'no repo_name', concat_ws(',', event_id, repo_id) FROM raw WHERE event_id % 13 = 0""",
+    "sql_functions": """SELECT r.focal AS focal_repo_id, count(*) AS "references",
+          (SELECT count(DISTINCT source) FROM citing c WHERE c.focal = r.focal) AS citing_sources, (SELECT count(*) FROM outside o WHERE o.focal = r.focal) AS outside
+        FROM reference r GROUP BY r.focal""",
     "scan_schema_csv": "SELECT repo_id AS cc_repo_id, actor_id FROM member",
     "roundtrip_edges": _EDGES,
     "few_files_csv": _EDGES,

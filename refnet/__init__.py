@@ -1,7 +1,7 @@
 """refnet: a repository-to-repository reference network built from a code-hosting activity log.
 
-Operators take DataFrames and return a DataFrame; none runs an action or touches storage. ``refnet.plans.network`` decides
-what is kept or written.
+Operators take DataFrames and return a DataFrame and touch no storage. Given a list of hot keys they run no action either;
+without one, a balanced join counts its keys first. ``refnet.plans.network`` decides what is kept or written.
 
 Layout
 ------
@@ -10,7 +10,7 @@ Layout
 ``refnet.functions``   column expressions (timestamp parsing, timestamp key, safe ratio, case label)
 ``refnet.sources``     delimited / parquet readers and writers, the log derived from ``events``
 ``refnet.operators``   normalise, core contributors, references, citations, J and actual I
-``refnet.plans``       balanced joins, the whole run, SQL view registration
+``refnet.plans``       balanced joins, handed-on tables, the whole run, SQL views and functions
 ``refnet.llm``         training-data operators; nothing outside uses them
 """
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from refnet.functions.columns import safe_ratio
 from refnet.operators.normalize import push_events
-from refnet.operators.relational import left_join_filter
+from refnet.operators.relational import lookup_filter
 from refnet.plans.skew import balanced_join
 
 N = "NO_OF_PUSH_EVENT"
@@ -85,7 +85,7 @@ def core_contributors(log: DataFrame) -> DataFrame:
 def core_by_outer_join(log: DataFrame) -> DataFrame:
     """The core-contributor set by the general outer join and filter (survey C1)."""
     activity = push_activity(log).select("repo_id", "actor_id", N)
-    return left_join_filter(activity, repo_means(activity), "repo_id", F.col(N) >= F.col(AVG)).select("repo_id", "actor_id")
+    return lookup_filter(activity, repo_means(activity), "repo_id", F.col(N) >= F.col(AVG)).select("repo_id", "actor_id")
 
 
 def tenure_of(core: DataFrame) -> DataFrame:

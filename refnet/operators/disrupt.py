@@ -8,7 +8,9 @@
 
 J and actual I only use the reference actors' (D, a) columns, so they are planned on semi-joins: the destinations
 reduce the pull pairs, the citing sources reduce the core set, and the sources that make it into J are found without
-building J. Only :func:`j_edges` itself forms (S, D) pairs, and it emits them de-duplicated. Right sides of semi- and
+building J. Counts need no pairs either: repositories are coded as bits of 64-bit words, an actor's set is a few words, and a
+repository's count is the number of bits of its actors' words joined by "or" (:func:`word_sets`, :func:`union_counts`); the
+words of popular repositories, which occur together, fill up and are combined before they are shuffled. Only :func:`j_edges` itself forms (S, D) pairs, and it emits them de-duplicated. Right sides of semi- and
 anti-joins are sets, and a hot key's left rows are dealt over several tasks.
 """
 
@@ -95,16 +97,61 @@ def j_sources(src_actors: DataFrame, dest_pullers: DataFrame, hot: DataFrame | N
 
 
 def actual_i_edges(core: DataFrame, pull_pairs: DataFrame, in_j: DataFrame, hot_actors: DataFrame | None = None, hot_repos: DataFrame | None = None) -> DataFrame:
-    """(focal_repo_id, source_repo_citing_focal_repo, destination_focal_repo): citation edges whose source is not in J.
+    """(focal_repo_id, source_repo_citing_focal_repo, destination_focal_repo): citation edges whose source is not in J
+    (``in_j`` holds J's sources in ``repo_id``)."""
+    return actual_i_edges_of(outside_core(core, in_j, hot_repos), pull_pairs, hot_actors)
 
-    The anti-join runs first, on the core set (``in_j`` holds J's sources in ``repo_id``), so only citations of the
-    remaining sources are formed; they are de-duplicated to (F, S, F).
-    """
-    gone = in_j.select(F.col("repo_id").alias("cc_repo_id"))
-    left = balanced_join(core_rows(core), gone, ["cc_repo_id"], "left_anti", hot=_named(hot_repos, "cc_repo_id"))
-    return citation_edges(citations(left, pull_pairs, hot_actors)).distinct()
+
+def actual_i_edges_of(outside: DataFrame, pull_pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """:func:`actual_i_edges` from :func:`outside_core`: only citations of the remaining sources are formed, and de-duplicated
+    to (F, S, F)."""
+    return citation_edges(citations(outside, pull_pairs, hot)).distinct()
 
 
 def actual_i_counts(ai: DataFrame) -> DataFrame:
     """(focal_repo_id, count)."""
     return ai.groupBy("focal_repo_id").agg(F.count(F.lit(1)).alias("count"))
+
+
+def repo_codes(members: DataFrame, key: str) -> DataFrame:
+    """(key, code): a number for each repository of ``members`` (key, actor_id), those with the most actors first, without
+    long gaps. Write the result before it is used: numbers follow the order of a run."""
+    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.orderBy(F.desc("_n"), key).select(key, F.monotonically_increasing_id().alias("code"))
+
+
+def word_sets(members: DataFrame, codes: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """(actor_id, word, bits): the repositories ``key`` of each actor of ``members`` (key, actor_id), a bit for each code."""
+    coded = balanced_join(members.select(key, "actor_id").dropna(), codes, [key], "left", left_salt=["actor_id"], hot=_named(hot, key)).filter("code is not null")
+    bit = F.expr("shiftleft(1L, CAST(code & 63 AS INT))")
+    return coded.groupBy("actor_id", F.shiftright("code", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def union_counts(rows: DataFrame, key: str, words: DataFrame, name: str, hot: DataFrame | None = None) -> DataFrame:
+    """(key, name): for each ``key`` of ``rows`` (key, actor_id) the size of the union of its actors' sets."""
+    met = balanced_join(rows.select(key, "actor_id").dropna(), words, ["actor_id"], left_salt=[key], right_salt=["word"], hot=hot)
+    unions = met.groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
+    return unions.groupBy(key).agg(F.sum(F.bit_count("bits").cast("long")).alias(name))
+
+
+def j_counts_by_words(src_actors: DataFrame, words: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, J_Count): J's destinations per source as the union of its actors' words of destinations."""
+    rows = src_actors.select(F.col("source_repo_citing_focal_repo").alias("focal_repo_id"), "actor_id")
+    return union_counts(rows, "focal_repo_id", words, "J_Count", hot)
+
+
+def outside_core(core: DataFrame, in_j: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(cc_repo_id, actor_id): core rows of the repositories that are no source in J."""
+    gone = in_j.select(F.col("repo_id").alias("cc_repo_id"))
+    return balanced_join(core_rows(core), gone, ["cc_repo_id"], "left_anti", hot=_named(hot, "cc_repo_id"))
+
+
+def actual_i_counts_by_words(outside: DataFrame, pull_pairs: DataFrame, words: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, count): sources outside J per focal repository, from ``outside`` (:func:`outside_core`) and its words of
+    sources; a repository that one of its own core actors pulled in is among them and doesn't count."""
+    pairs = pull_pairs.dropna().select(F.col("repo_id").alias("focal_repo_id"), "actor_id")
+    unions = union_counts(pairs, "focal_repo_id", words, "_all", hot)
+    itself = outside.dropna().select(F.col("cc_repo_id").alias("focal_repo_id"), "actor_id").join(pairs, ["focal_repo_id", "actor_id"], "left_semi")
+    own = itself.select("focal_repo_id").distinct().withColumn("_own", F.lit(1))
+    counts = unions.join(own, "focal_repo_id", "left").select("focal_repo_id", (F.col("_all") - F.coalesce("_own", F.lit(0))).alias("count"))
+    return counts.filter(F.col("count") > 0)

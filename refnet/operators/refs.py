@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refnet.operators.activity import first_from
 from refnet.operators.core import core_tenure
 from refnet.operators.normalize import pull_events
 from refnet.plans.skew import balanced_join
@@ -34,6 +35,29 @@ def focal_refs_from(tenure: DataFrame, pulls: DataFrame, hot: DataFrame | None =
     return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id")).distinct()
 
 
+def tenure_matches(tenure: DataFrame, spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, repo_id, actor_id): each core tenure and other repository in which its actor opened a pull request within
+    the tenure; from a core tenure table and ``activity.pull_spans``.
+
+    An actor's tenures meet the sorted times of each repository, not the single events. A tenure finds the one span that
+    holds the first time from its start on (after the span before, and up to its own last), searches it there, and matches
+    if that time is within it too. So one row for a tenure and repository leaves the join, however many events there are.
+    """
+
+    def within():
+        here = (F.col("min_d") <= F.col("last")) & (F.col("before").isNull() | (F.col("before") < F.col("min_d"))) & (F.col("first") <= F.col("max_d"))
+        at = F.when(F.col("first") >= F.col("min_d"), F.col("first")).otherwise(first_from(F.col("times"), F.col("min_d")))
+        return (F.col("focal_repo_id") != F.col("pr_repo_id")) & here & (at <= F.col("max_d"))
+
+    joined = balanced_join(spans, tenure, ["actor_id"], condition=within, left_salt=["pr_repo_id", "first"], right_salt=["focal_repo_id"], hot=hot)
+    return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id"), "actor_id")
+
+
+def focal_refs_by_times(tenure: DataFrame, spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, repo_id): the focal-reference set, of :func:`tenure_matches`."""
+    return tenure_matches(tenure, spans, hot).select("focal_repo_id", "repo_id").distinct()
+
+
 def focal_refs(log: DataFrame, pull_log: DataFrame | None = None) -> DataFrame:
     """(focal_repo_id, repo_id): the focal-reference set. ``pull_log`` may be the log without de-duplication."""
     return focal_refs_from(core_tenure(log), pull_times(log if pull_log is None else pull_log))

@@ -1,13 +1,14 @@
-"""General relational operators (survey C1, B9/C9, C10, B10, D8, F4, A10)."""
+"""General relational operators (survey C1, B9/C9, C10, B10, A10)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refnet.functions.columns import case_label, timestamp_key
+from refnet.functions.columns import case_label
+from refnet.plans.skew import balanced_join
 
 
 def _on(on: str | Sequence[str]) -> list[str]:
@@ -19,21 +20,22 @@ def left_anti(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Dat
     return left.join(right.select(*_on(on)).distinct(), on=_on(on), how="left_anti")
 
 
-def left_semi(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``left`` with a match in ``right`` (``EXISTS``), each once."""
-    return left.join(right.select(*_on(on)).distinct(), on=_on(on), how="left_semi")
-
-
 def left_join_filter(left: DataFrame, right: DataFrame, on: str | Sequence[str], keep: Column) -> DataFrame:
     """Left outer join, then a filter that may look at the right side (survey C1)."""
     return left.join(right, on=_on(on), how="left").filter(keep)
 
 
+def lookup_filter(left: DataFrame, right: DataFrame, on: str | Sequence[str], keep: Column) -> DataFrame:
+    """:func:`left_join_filter` with a right side of unique keys and other column names: a key with very many left rows is
+    dealt over several tasks."""
+    return balanced_join(left, right, _on(on), "left").filter(keep)
+
+
 def unmatched(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose outer-join partner is null (survey B9, C9). The right side is reduced to its distinct keys, so
-    each left row meets one right row at most."""
+    each left row meets one right row at most, and a key with very many left rows is dealt over several tasks."""
     keys = right.select(*_on(on)).distinct().withColumn("_matched", F.lit(True))
-    return left.join(keys, on=_on(on), how="left").filter(F.col("_matched").isNull()).drop("_matched")
+    return balanced_join(left, keys, _on(on), "left").filter(F.col("_matched").isNull()).select(*left.columns)
 
 
 def with_case_label(df: DataFrame, name: str, cases: Sequence[tuple[Column, Column | str | int]], otherwise=None) -> DataFrame:
@@ -41,20 +43,6 @@ def with_case_label(df: DataFrame, name: str, cases: Sequence[tuple[Column, Colu
     return df.withColumn(name, case_label(cases, otherwise))
 
 
-def with_timestamp_key(df: DataFrame, source: str = "created_at", name: str = "ts_key") -> DataFrame:
-    """Adds the ``date_time`` key of a ``date time zone`` text column (survey F4), as a native expression."""
-    return df.withColumn(name, timestamp_key(source))
-
-
 def to_width(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """``df`` in ``n`` partitions, dealt by ``keys`` if given (survey A10)."""
     return df.repartition(n, *keys)
-
-
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """(stage, rows): one global count per stage, as one small table (survey D8)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows") for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -1,25 +1,30 @@
 """The whole run: log -> core contributors -> focal references -> citations -> J -> actual I.
 
-:class:`ReferenceNetwork` wires the operators lazily: each stage is a DataFrame built on first access. Nothing runs until an
-action. With ``keep`` the two tables that most stages start from, core activity and pull pairs, are marked to be kept on
-first use (memory and disk of the executors; a lost part is computed again), so a query over many stages builds them once.
+:class:`ReferenceNetwork` has every stage as a DataFrame, built on first access. The raw log is read once, by the first stage
+that needs it: :func:`refnet.operators.activity.activity` adds it up by repository and actor, and that table, the core, the
+pulls of core actors and a few more that stages share are written once (:class:`refnet.plans.handoff.Store`) and read from
+there. What a caller asks for itself stays lazy.
 
-:func:`run_network` executes every stage once, writing it to ``out_dir`` and reading the reused ones back: lineage is cut,
-no stage is computed twice, and a lost executor costs only the tasks of the current stage.
+:func:`run_network` executes every stage once into ``out_dir``. Shared tables are bucketed by actor, lineage is cut at each,
+rows are counted while they are written, and a run that was killed goes on where it stopped.
 """
 
 from __future__ import annotations
 
-import os
+import hashlib
+import json
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from refnet.operators import cites, core, disrupt, refs
-from refnet.operators.normalize import normalize_log, pull_events, push_events
+from refnet.operators import activity, cites, core, disrupt, refs
+from refnet.operators.normalize import normalize_log
+from refnet.plans.handoff import Store
+from refnet.plans.reduce import reduced
 from refnet.plans.skew import hot_keys
-from refnet.sources.delimited import write_dataset
+from refnet.session import work_dir
 
 STAGES = (
     "core_contributors",
@@ -32,6 +37,7 @@ STAGES = (
     "citation_edges",
     "citation_counts",
     "theta_pair_counts",
+    "theta_reference_counts",
     "source_actors",
     "reference_actors",
     "j_edges",
@@ -40,66 +46,127 @@ STAGES = (
     "actual_i_counts",
 )
 
+BROADCAST_BYTES = 64 << 20  # of the core side of citations_broadcast
+CORE_ROW_BYTES = 32  # two ids and a hash table's overhead
+
 
 class ReferenceNetwork:
-    """Every stage of one run over a raw log, built lazily.
+    """Every stage of one run over a raw log.
 
-    Push events go through full-row de-duplication (their counts are a bag); pull events feed only set-valued
-    stages, so they skip it. ``overrides`` replaces stages by tables that exist already (see :func:`run_network`).
+    ``shares`` as in ``refnet.plans.skew``; ``dedup_keys`` are columns that identify an event, if there are any; ``store`` is
+    where shared tables go (a fresh folder under ``spark.checkpoint.dir``); ``count_log`` also counts the normalised log.
     """
 
-    def __init__(self, raw: DataFrame, shares: int | None = None, dedup_keys: list[str] | None = None, keep: bool = False, **overrides: DataFrame):
+    def __init__(self, raw: DataFrame, shares: int | None = None, dedup_keys: list[str] | None = None, store: Store | None = None, count_log: bool = False):
         self.raw = raw
         self.shares = shares
         self.dedup_keys = dedup_keys
-        self.keep = keep
-        self.__dict__.update(overrides)  # cached_property reads the instance dict first
+        self.count_log = count_log
+        self._store = store
+
+    @property
+    def store(self) -> Store:
+        if self._store is None:
+            self._store = Store(self.raw.sparkSession, work_dir(self.raw.sparkSession, "network"))
+        return self._store
 
-    def _kept(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
+    @property
+    def counts(self) -> dict[str, int]:
+        """Rows of the tables written so far."""
+        return self.store.counts
 
     @cached_property
     def log(self) -> DataFrame:
         return normalize_log(self.raw, dedup_keys=self.dedup_keys)
 
+    # Shared tables, each written when a stage first needs it -------------------------------------------------
+    @cached_property
+    def activity(self) -> DataFrame:
+        """With ``count_log`` its count, ``activity``, is that of the normalised log, else its number of rows."""
+        build = lambda: activity.activity(self.raw, self.dedup_keys, self.count_log)
+        return self.store.keep("activity", build, counted="n" if self.count_log else None)
+
+    @cached_property
+    def core_table(self) -> DataFrame:
+        """(repo_id, actor_id, min_d, max_d) of the core."""
+        return self.store.keep("core_table", lambda: self._core, by="actor_id")
+
+    @cached_property
+    def core_pulls(self) -> DataFrame:
+        """The pull pairs of core actors, all that joins with the core can use."""
+        build = lambda: self._of_core(activity.pull_pairs(self.activity).dropna(), ["repo_id"])
+        return self.store.keep("core_pulls", build, by="actor_id")
+
+    @cached_property
+    def focal_refs(self) -> DataFrame:
+        return self.store.keep("focal_refs", lambda: self._focal_refs)
+
+    @cached_property
+    def source_actors_table(self) -> DataFrame:
+        return self.store.keep("source_actors_table", lambda: self._source_actors, by="actor_id")
+
+    @cached_property
+    def destination_pullers(self) -> DataFrame:
+        build = lambda: disrupt.destination_pullers(self.focal_edges, self.core_pulls, self.hot_repos)
+        return self.store.keep("destination_pullers", build, by="actor_id")
+
+    @cached_property
+    def destination_codes(self) -> DataFrame:
+        return self.store.keep("destination_codes", lambda: disrupt.repo_codes(self.destination_pullers, "destination_repo_id"))
+
+    @cached_property
+    def j_sources(self) -> DataFrame:
+        build = lambda: disrupt.j_sources(self.source_actors_table, self.destination_pullers, self.hot_actors)
+        return self.store.keep("j_sources", build)
+
     @cached_property
-    def pull_log(self) -> DataFrame:
-        return normalize_log(self.raw, dedup=False)
+    def outside_core(self) -> DataFrame:
+        return self.store.keep("outside_core", lambda: disrupt.outside_core(self.core_table, self.j_sources, self.hot_repos), by="actor_id")
 
-    # Hot keys, counted on who pushed and who pulled where. Every join below has a part of these rows on its sides.
     @cached_property
-    def pushed_pairs(self) -> DataFrame:
-        return push_events(self.raw).select("repo_id", "actor_id").distinct()
+    def source_codes(self) -> DataFrame:
+        return self.store.keep("source_codes", lambda: disrupt.repo_codes(self.outside_core.dropna(), "cc_repo_id"))
 
+    # Hot keys, counted on the pairs of core rows and core pulls that every join below has a part of -------------
     @cached_property
     def hot_actors(self) -> DataFrame:
-        return hot_keys(self.distinct_pull_pairs, self.pushed_pairs, ["actor_id"], self.shares)
+        return hot_keys(self.core_pulls, self.core_table, ["actor_id"], self.shares)
 
     @cached_property
     def hot_repos(self) -> DataFrame:
-        return hot_keys(self.distinct_pull_pairs.union(self.pushed_pairs), None, ["repo_id"], self.shares)
+        return hot_keys(self.core_pulls.select("repo_id").unionAll(self.core_table.select("repo_id")), None, ["repo_id"], self.shares)
+
+    @cached_property
+    def hot_pullers(self) -> DataFrame:
+        return hot_keys(activity.pull_rows(self.activity), None, ["actor_id"], self.shares)
+
+    def _of_core(self, pulls: DataFrame, salt: list[str]) -> DataFrame:
+        """Rows of pull requests by core actors, taken out before any join by pairs."""
+        actors = self.core_table.select("actor_id").dropna().distinct()
+        return reduced(pulls, actors, "actor_id", self.counts["core_table"], salt, lambda: self.hot_pullers)
 
     # core ---------------------------------------------------------------------------------------------------
     @cached_property
-    def core_activity(self) -> DataFrame:
-        return self._kept(core.core_of(core.push_activity(self.log), self.hot_repos).select("repo_id", "actor_id", "min_d", "max_d"))
+    def _core(self) -> DataFrame:
+        return core.core_by_window(activity.pushes(self.activity)).select("repo_id", "actor_id", "min_d", "max_d")
 
     @cached_property
     def core_contributors(self) -> DataFrame:
-        return self.core_activity.select("repo_id", "actor_id")
+        return self.__dict__.get("core_table", self._core).select("repo_id", "actor_id")
 
     @cached_property
     def core_tenure(self) -> DataFrame:
-        return core.tenure_of(self.core_activity)
+        return core.tenure_of(self.__dict__.get("core_table", self._core))
 
     # references ---------------------------------------------------------------------------------------------
     @cached_property
-    def pull_times(self) -> DataFrame:
-        return refs.pull_times(self.pull_log)
+    def pull_spans(self) -> DataFrame:
+        own = activity.pull_rows(self.activity)
+        return activity.pull_spans(self._of_core(own, ["repo_id", "first"]))
 
     @cached_property
-    def focal_refs(self) -> DataFrame:
-        return refs.focal_refs_from(self.core_tenure, self.pull_times, self.hot_actors)
+    def _focal_refs(self) -> DataFrame:
+        return refs.focal_refs_by_times(core.tenure_of(self.core_table), self.pull_spans, self.hot_actors)
 
     @cached_property
     def focal_edges(self) -> DataFrame:
@@ -112,11 +179,17 @@ class ReferenceNetwork:
     # citations ----------------------------------------------------------------------------------------------
     @cached_property
     def distinct_pull_pairs(self) -> DataFrame:
-        return self._kept(cites.distinct_pull_pairs(self.pull_log))
+        return activity.pull_pairs(self.activity)
 
     @cached_property
     def citations(self) -> DataFrame:
-        return cites.citations(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
+        return cites.citations(self.core_table, self.core_pulls, self.hot_actors)
+
+    @cached_property
+    def citations_broadcast(self) -> DataFrame:
+        """The citations with the core broadcast, if its counted rows are few enough."""
+        table = self.core_table
+        return cites.citations_within(table, self.core_pulls, CORE_ROW_BYTES * self.counts["core_table"], BROADCAST_BYTES, self.hot_actors)
 
     @cached_property
     def citation_edges(self) -> DataFrame:
@@ -124,53 +197,58 @@ class ReferenceNetwork:
 
     @cached_property
     def citation_counts(self) -> DataFrame:
-        return cites.citation_counts(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
+        return cites.citation_counts(self.core_table, self.core_pulls, self.hot_actors)
 
     @cached_property
     def theta_pair_counts(self) -> DataFrame:
-        return cites.theta_pair_counts(self.core_contributors, self.distinct_pull_pairs, self.hot_actors, self.hot_repos)
+        return cites.theta_pair_counts(self.core_table, self.core_pulls, self.hot_actors, self.hot_repos)
+
+    @cached_property
+    def theta_reference_counts(self) -> DataFrame:
+        return cites.theta_reference_counts(self.core_table, self.core_pulls, self.focal_refs, self.hot_actors, self.hot_repos)
 
     # J and actual I -----------------------------------------------------------------------------------------
     @cached_property
-    def citing_sources(self) -> DataFrame:
-        return disrupt.citing_sources(self.core_contributors, self.distinct_pull_pairs, self.hot_actors)
+    def _source_actors(self) -> DataFrame:
+        sources = disrupt.citing_sources(self.core_table, self.core_pulls, self.hot_actors)
+        return disrupt.source_actors(self.core_table, sources, self.hot_repos)
 
     @cached_property
     def source_actors(self) -> DataFrame:
-        return disrupt.source_actors(self.core_contributors, self.citing_sources, self.hot_repos)
+        return self.__dict__.get("source_actors_table", self._source_actors)
 
     @cached_property
     def reference_actors(self) -> DataFrame:
         return disrupt.reference_actors(self.focal_edges, self.distinct_pull_pairs)
 
-    @cached_property
-    def destination_pullers(self) -> DataFrame:
-        return disrupt.destination_pullers(self.focal_edges, self.distinct_pull_pairs, self.hot_repos)
-
     @cached_property
     def j_edges(self) -> DataFrame:
-        return disrupt.j_edges(self.source_actors, self.destination_pullers, self.hot_actors)
+        return disrupt.j_edges(self.source_actors_table, self.destination_pullers, self.hot_actors)
 
     @cached_property
     def j_counts(self) -> DataFrame:
-        return disrupt.j_counts(self.j_edges)
-
-    @cached_property
-    def j_sources(self) -> DataFrame:
-        return disrupt.j_sources(self.source_actors, self.destination_pullers, self.hot_actors)
+        words = disrupt.word_sets(self.destination_pullers, self.destination_codes, "destination_repo_id", self.hot_repos)
+        return disrupt.j_counts_by_words(self.source_actors_table, words, self.hot_actors)
 
     @cached_property
     def actual_i_edges(self) -> DataFrame:
-        return disrupt.actual_i_edges(self.core_contributors, self.distinct_pull_pairs, self.j_sources, self.hot_actors, self.hot_repos)
+        return disrupt.actual_i_edges_of(self.outside_core, self.core_pulls, self.hot_actors)
 
     @cached_property
     def actual_i_counts(self) -> DataFrame:
-        return disrupt.actual_i_counts(self.actual_i_edges)
+        words = disrupt.word_sets(self.outside_core, self.source_codes, "cc_repo_id", self.hot_repos)
+        return disrupt.actual_i_counts_by_words(self.outside_core, self.core_pulls, words, self.hot_actors)
 
     def stages(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in STAGES}
 
 
+def run_signature(raw: DataFrame, **settings) -> str:
+    """Tells runs apart: the log's files and columns, and the settings."""
+    files = hashlib.sha256("\n".join(sorted(raw.inputFiles())).encode()).hexdigest()
+    return hashlib.sha256(json.dumps([files, raw.schema.jsonValue(), settings], sort_keys=True).encode()).hexdigest()
+
+
 def run_network(
     spark: SparkSession,
     raw: DataFrame,
@@ -179,53 +257,37 @@ def run_network(
     shares: int | None = None,
     dedup_keys: list[str] | None = None,
     skip: tuple[str, ...] = (),
+    resume: bool = False,
+    count_log: bool = False,
+    buckets: int | None = None,
+    after: Callable[[str], None] | None = None,
 ) -> ReferenceNetwork:
-    """Execute the run stage by stage into ``out_dir`` (one sub-folder per stage); returns the network on the
-    written tables.
+    """Execute the run stage by stage into ``out_dir`` (one sub-folder per stage); returns the network, whose ``counts`` has
+    the rows of all it has written.
 
-    The log is scanned three times, by column: for push events (the only full de-duplication), and for pull events with and without their times; everything else
-    starts from tables this run has written. Reused stages are kept as Parquet under ``_handoff``, so types survive any
-    ``fmt``. ``skip`` leaves out outputs; a skipped stage that later stages need is still computed, but not published.
+    The log is read once. Reused tables are Parquet, bucketed by actor (into ``buckets``, the number of
+    shuffle partitions unless given), so types survive any ``fmt``. ``skip`` leaves out outputs. With ``resume`` whole tables and
+    outputs of an earlier run over the same log into the same folder are taken as they are. ``after`` is called with the name
+    of each table or output (``out-`` before it) when it is whole.
     """
-    net = ReferenceNetwork(raw, shares, dedup_keys)
-
-    def publish(name: str) -> None:
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    signature = run_signature(raw, fmt=fmt, shares=shares, dedup_keys=dedup_keys, count_log=count_log)
+    store = Store(spark, out_dir, buckets=buckets, resume=resume, signature=signature, after=after)
+    net = ReferenceNetwork(raw, shares, dedup_keys, store, count_log)
+    _ = net.core_table  # written before the stages that are parts of it
+    for name in STAGES:
         if name not in skip:
-            write_dataset(getattr(net, name), os.path.join(out_dir, name), fmt=fmt)
-
-    def handoff(name: str) -> None:
-        path = os.path.join(out_dir, "_handoff", name)
-        write_dataset(getattr(net, name), path, fmt="parquet")
-        net.__dict__[name] = spark.read.parquet(path)
-        if name in STAGES:
-            publish(name)
-
-    handoff("distinct_pull_pairs")
-    handoff("pushed_pairs")
-    handoff("hot_actors")
-    handoff("hot_repos")
-    handoff("core_activity")
-    publish("core_contributors")
-    publish("core_tenure")
-    handoff("pull_times")
-    handoff("focal_refs")
-    publish("focal_edges")
-    publish("focal_counts")
-    if {"citations", "citation_edges"} - set(skip):
-        handoff("citations")
-    publish("citation_edges")
-    publish("citation_counts")
-    publish("theta_pair_counts")
-    handoff("source_actors")
-    handoff("destination_pullers")
-    publish("reference_actors")
-    if {"j_edges", "j_counts"} - set(skip):
-        handoff("j_edges")
-    publish("j_counts")
-    handoff("j_sources")
-    if {"actual_i_edges", "actual_i_counts"} - set(skip):
-        handoff("actual_i_edges")
-    publish("actual_i_counts")
+            if name == "source_actors":
+                _ = net.source_actors_table
+            store.publish(name, lambda name=name: getattr(net, name), fmt)
     return net
 
 
+def stage_counts(net: ReferenceNetwork) -> DataFrame:
+    """(stage, rows) of the four stages that the survey counts (D8), observed while the run's tables were written: the
+    normalised log (of a network with ``count_log``), the core, the focal references and the pull pairs."""
+    _ = net.activity, net.core_table, net.focal_refs
+    pairs = net.store.keep("pull_pairs", lambda: net.distinct_pull_pairs)
+    names = {"normalized_log": "activity", "core_contributors": "core_table", "focal_refs": "focal_refs", "distinct_pull_pairs": "pull_pairs"}
+    lines = F.array(*(F.struct(F.lit(stage).alias("stage"), F.lit(net.counts[table]).cast("long").alias("rows")) for stage, table in names.items()))
+    return pairs.sparkSession.range(1).select(F.inline(lines))

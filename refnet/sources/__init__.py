@@ -3,6 +3,7 @@
 from refnet.sources.delimited import (  # noqa: F401
     read_activity_log,
     read_delimited,
+    read_drifting_log,
     read_edges,
     read_pipe_delimited,
     read_with_schema,
@@ -15,6 +16,7 @@ __all__ = [
     "raw_log",
     "read_activity_log",
     "read_delimited",
+    "read_drifting_log",
     "read_edges",
     "read_pipe_delimited",
     "read_table",

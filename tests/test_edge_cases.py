@@ -181,7 +181,7 @@ def test_run_network_honours_skip(spark):
 def test_inferred_and_pipe_delimited(spark):
     df = spark.createDataFrame([(1, "x|y?"), (2, "z")], "dept_id int, name string")
     path = work_dir(spark, "dept")
-    delimited.write_dataset(df, path, fmt="csv", sep="|", files=1)
+    delimited.write_dataset(df, path, fmt="csv", sep="|", few_files=True)
     back = delimited.read_pipe_delimited(spark, path)  # inference, as the original did
     assert dict(back.dtypes)["dept_id"] == "int"
     assert rows(back) == rows(df)
@@ -199,3 +199,38 @@ def test_run_network_matches_lazy_network(spark):
     assert rows(edges) == rows(lazy.focal_edges)
     counts = spark.read.option("header", "true").option("inferSchema", "true").csv(os.path.join(out, "actual_i_counts"))
     assert rows(counts) == [(5, 1)]
+
+
+def test_files_of_different_headers_and_broken_rows(spark):
+    path = work_dir(spark, "drift")
+    header = "repo_id,repo_name,actor_id,Type,created_at"
+    texts = {
+        "a": [header, "1,r,5,PushEvent,2016-01-01 10:00:00 UTC", '2,"a, b",6,PushEvent,never', "3,r,,PushEvent,t", "x,r,5,PushEvent,t", "4,r,5,PushEvent", "5,r,5,PushEvent,t,more"],
+        "b": ["payload,TYPE,Created_At,actor_id,Repo_Name,repo_id", "p,PushEvent,t,7,r,8", "p,PushEvent,t,7,r,9.5"],
+        "c": ["repo_id,actor_id", "1,2"],
+        "d": [header],
+    }
+    for name, lines in texts.items():
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{path}/{name}")
+    spark.createDataFrame([("",)], "value string").limit(0).write.text(f"{path}/e")
+    log, broken = delimited.read_drifting_log(spark, [f"{path}/{n}" for n in "abcde"])
+    assert log.columns == [f.name for f in RAW_LOG_SCHEMA] + ["payload"] and log.schema[:5] == RAW_LOG_SCHEMA[:5]
+    assert rows(log, "repo_id", "repo_name", "actor_id", "created_at", "payload") == [(1, "r", 5, "2016-01-01 10:00:00 UTC", None), (2, "a, b", 6, "never", None), (3, "r", None, "t", None), (8, "r", 7, "t", "p")]
+    assert rows(broken, "reason", "record") == sorted([("fields", "4,r,5,PushEvent"), ("fields", "5,r,5,PushEvent,t,more"), ("no repo_name", "1,2"), ("repo_id", "p,PushEvent,t,7,r,9.5"), ("repo_id", "x,r,5,PushEvent,t")])
+    assert all(any(f"/{n}/" in r["file"] for n in "abc") for r in broken.collect())
+    assert [df.count() for df in delimited.read_drifting_log(spark, f"{path}/e")] == [0, 0]
+
+
+def test_few_files_without_one_task(spark):
+    df = spark.range(0, 300_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    files = lambda path: [f for f in os.listdir(path) if f.startswith("part-")]
+    small, large, bounded = (work_dir(spark, n) for n in ("small", "large", "bounded"))
+    delimited.write_dataset(df.limit(1000), small, few_files=True)
+    delimited.write_dataset(df, bounded, few_files=True, records_per_file=50_000)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        delimited.write_dataset(df, large, few_files=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(small)) == 1 and len(files(large)) >= 3 and len(files(bounded)) >= 6
+    assert spark.read.parquet(large).count() == spark.read.parquet(bounded).count() == 300_000
