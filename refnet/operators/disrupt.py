@@ -127,17 +127,43 @@ def word_sets(members: DataFrame, codes: DataFrame, key: str, hot: DataFrame | N
     return coded.groupBy("actor_id", F.shiftright("code", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
+def unions(rows: DataFrame, key: str, words: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(key, word, bits): for each ``key`` of ``rows`` (key, actor_id) the union of its actors' sets."""
+    met = balanced_join(rows.select(key, "actor_id").dropna(), words, ["actor_id"], left_salt=[key], right_salt=["word"], hot=hot)
+    return met.groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def union_sizes(united: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name): the sizes of :func:`unions`."""
+    return united.groupBy(key).agg(F.sum(F.bit_count("bits").cast("long")).alias(name))
+
+
 def union_counts(rows: DataFrame, key: str, words: DataFrame, name: str, hot: DataFrame | None = None) -> DataFrame:
     """(key, name): for each ``key`` of ``rows`` (key, actor_id) the size of the union of its actors' sets."""
-    met = balanced_join(rows.select(key, "actor_id").dropna(), words, ["actor_id"], left_salt=[key], right_salt=["word"], hot=hot)
-    unions = met.groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
-    return unions.groupBy(key).agg(F.sum(F.bit_count("bits").cast("long")).alias(name))
+    return union_sizes(unions(rows, key, words, hot), key, name)
+
+
+def spelled(united: DataFrame, codes: DataFrame, key: str, member: str, hot: DataFrame | None = None) -> DataFrame:
+    """(key, member): the members of :func:`unions`, each pair once. ``hot`` are words that very many unions have."""
+    names = codes.groupBy(F.shiftright("code", 6).alias("word")).agg(F.collect_list(F.struct(F.expr("CAST(code & 63 AS INT)").alias("bit"), F.col(member).alias("name"))).alias("_names"))
+    met = balanced_join(united, names, ["word"], "left", left_salt=[key], hot=hot)
+    inside = F.expr("transform(filter(_names, m -> shiftright(bits, m.bit) & 1 = 1), m -> m.name)")
+    return met.select(key, F.explode(inside).alias(member))
+
+
+def source_rows(src_actors: DataFrame) -> DataFrame:
+    return src_actors.select(F.col("source_repo_citing_focal_repo").alias("focal_repo_id"), "actor_id")
 
 
 def j_counts_by_words(src_actors: DataFrame, words: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(focal_repo_id, J_Count): J's destinations per source as the union of its actors' words of destinations."""
-    rows = src_actors.select(F.col("source_repo_citing_focal_repo").alias("focal_repo_id"), "actor_id")
-    return union_counts(rows, "focal_repo_id", words, "J_Count", hot)
+    return union_counts(source_rows(src_actors), "focal_repo_id", words, "J_Count", hot)
+
+
+def j_edges_by_words(united: DataFrame, codes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """J from the :func:`unions` of its sources' words."""
+    pairs = spelled(united, codes, "focal_repo_id", "destination_repo_id", hot)
+    return pairs.select("focal_repo_id", F.col("focal_repo_id").alias("source_repo_citing_focal_repo"), "destination_repo_id")
 
 
 def outside_core(core: DataFrame, in_j: DataFrame, hot: DataFrame | None = None) -> DataFrame:

@@ -221,14 +221,28 @@ class ReferenceNetwork:
     def reference_actors(self) -> DataFrame:
         return disrupt.reference_actors(self.focal_edges, self.distinct_pull_pairs)
 
+    @cached_property
+    def destination_words(self) -> DataFrame:
+        """The destinations that each actor pulled in, as words; a table of its own where tables are bucketed."""
+        build = lambda: disrupt.word_sets(self.destination_pullers, self.destination_codes, "destination_repo_id", self.hot_repos)
+        return self.store.keep("destination_words", build, by="actor_id") if self.store.buckets else build()
+
+    @cached_property
+    def _j_words(self) -> DataFrame:
+        return disrupt.unions(disrupt.source_rows(self.source_actors_table), "focal_repo_id", self.destination_words, self.hot_actors)
+
+    @cached_property
+    def j_words(self) -> DataFrame:
+        """J as words of destinations by source."""
+        return self.store.keep("j_words", lambda: self._j_words)
+
     @cached_property
     def j_edges(self) -> DataFrame:
-        return disrupt.j_edges(self.source_actors_table, self.destination_pullers, self.hot_actors)
+        return disrupt.j_edges_by_words(self.j_words, self.destination_codes, hot_keys(self.j_words, None, ["word"], self.shares))
 
     @cached_property
     def j_counts(self) -> DataFrame:
-        words = disrupt.word_sets(self.destination_pullers, self.destination_codes, "destination_repo_id", self.hot_repos)
-        return disrupt.j_counts_by_words(self.source_actors_table, words, self.hot_actors)
+        return disrupt.union_sizes(self.__dict__.get("j_words", self._j_words), "focal_repo_id", "J_Count")
 
     @cached_property
     def actual_i_edges(self) -> DataFrame:

@@ -121,7 +121,9 @@ def test_binary_search(spark, n):
 @pytest.mark.parametrize("shares", [1, 50_000])
 def test_word_counts_equal_counts_over_pairs(spark, written_log, shares):
     net = ReferenceNetwork(written_log, shares=shares)
-    assert rows(net.j_counts) == rows(disrupt.j_counts(net.j_edges)) != []
+    pairs = disrupt.j_edges(net.source_actors, net.destination_pullers, net.hot_actors)
+    assert rows(net.j_counts) == rows(disrupt.j_counts(pairs)) != []
+    assert rows(net.j_edges) == rows(pairs)
     assert rows(net.actual_i_counts) == rows(disrupt.actual_i_counts(net.actual_i_edges)) != []
 
 
@@ -137,12 +139,14 @@ def test_words_hold_many_repositories(spark):
 
 
 def test_counts_build_no_pairs(spark, written_log):
-    net = ReferenceNetwork(written_log)
-    plans = {name: getattr(net, name)._jdf.queryExecution().optimizedPlan().toString() for name in ("j_counts", "actual_i_counts", "j_edges")}
+    net = ReferenceNetwork(written_log, shares=1)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     distinct_pairs = re.compile(r"Aggregate \[[^\]]*(destination_repo_id|source_repo_citing_focal_repo)#")
-    assert distinct_pairs.search(plans["j_edges"]) and "bit_or" not in plans["j_edges"]
+    assert distinct_pairs.search(plan(disrupt.j_edges(net.source_actors, net.destination_pullers, net.hot_actors)))
+    assert "bit_or" in plan(net._j_words) and not distinct_pairs.search(plan(net._j_words)) and not distinct_pairs.search(plan(net.j_edges))
     for name in ("j_counts", "actual_i_counts"):
-        assert "bit_or" in plans[name] and not distinct_pairs.search(plans[name]) and "Distinct" not in plans[name]
+        found = plan(getattr(net, name))
+        assert "bit_count" in found and not distinct_pairs.search(found) and "Distinct" not in found
 
 
 def test_second_theta_step(spark, written_log):
@@ -195,8 +199,7 @@ def test_pulls_meet_the_filter_before_their_join(spark, written_log, no_broadcas
 def test_bucketed_tables_are_not_shuffled_again(spark, written_log, no_broadcast):
     net = run_network(spark, written_log, work_dir(spark, "bucketed"), shares=1, skip=STAGES)
     assert net.hot_actors.isEmpty()  # nobody holds all pairs
-    _ = net.source_actors_table, net.destination_pullers
-    for name in ("j_edges", "citations"):
+    for name in ("_j_words", "citations"):
         plan = final_plan(getattr(net, name))
         assert "Bucketed: true" in plan and "hashpartitioning(actor_id" not in plan, name
     assert rows(net.j_edges) == rows(ReferenceNetwork(written_log).j_edges)
