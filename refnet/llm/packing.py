@@ -3,7 +3,7 @@
 Each document is encoded and ends with id ``end_id``. Full windows of a long document are sequences of their own. What is
 left of each document goes to a shard: the table is range-partitioned by a lexical signature (min-hash of the ids) and the
 row, so documents of like words meet, partitions are even, and copies of one document spread over as many as they need.
-A partition is packed in shards of bounded size. Each has a BM25 inverted index of its documents' ids, weighted by the
+A partition is packed in shards of bounded size, in ids and in documents. Each has a BM25 inverted index of its documents' ids, weighted by the
 document frequencies of the whole corpus. The next unused document is the seed of a window and asks the index, with its
 ``query_terms`` heaviest terms, for unused neighbours, best first, which fill the window greedily; the last one is cut to
 fit and what is left of it seeds the next window. A window still open at a shard's end goes on in the next one. What a
@@ -37,6 +37,7 @@ WINDOW = 2048
 END_ID = 1
 PART_TOKENS = 4_000_000  # of a partition
 SHARD_TOKENS = 2_000_000
+SHARD_DOCS = 1 << 16
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -110,24 +111,33 @@ class Document(NamedTuple):
 Window = list[tuple[Document, int, int]]  # (document, start within its rest, length)
 
 
+def best_first(scores: np.ndarray, unused: np.ndarray, most: int) -> list[int]:
+    """The ``most`` unused documents with the largest scores above 0, best first and the first of equal ones."""
+    some = np.flatnonzero(unused & (scores > 0))
+    own = scores[some]
+    if len(some) > most:
+        least = np.partition(own, len(own) - most)[len(own) - most]
+        above, equal = np.flatnonzero(own > least), np.flatnonzero(own == least)
+        chosen = np.r_[above, equal[: most - len(above)]]
+        some, own = some[chosen], own[chosen]
+    return some[np.lexsort((some, -own))].tolist()
+
+
 def fill(docs: list[Document], idf: np.ndarray, mean: float, window: int, query_terms: int, open_: Window) -> Iterator[Window]:
     """All windows of one shard, of which the first goes on with ``open_``; the last one may not be full."""
     index = Index([d.ids for d in docs], idf, mean, query_terms)
     start, left = np.zeros(len(docs), np.int64), np.fromiter((len(d.ids) for d in docs), np.int64, len(docs))
     unused, remaining, following = np.ones(len(docs), bool), len(docs), 0
     parts, space = open_, window - sum(n for _, _, n in open_)
-    scores, cut = None, None
+    near: Iterator[int] | None = None  # the seed's neighbours; each takes one id at least, so ``space`` are enough
+    cut = None
     while remaining:
-        chosen = None
-        if scores is not None:
-            chosen = int(np.where(unused, scores, -1.0).argmax())
-            if not unused[chosen] or scores[chosen] <= 0:
-                chosen = None
+        chosen = next((d for d in near if unused[d]), None) if near is not None else None
         if chosen is None:  # a new seed: what the last cut has left, or the next document
             while not unused[following]:
                 following += 1
             chosen = following if cut is None else cut
-            scores, cut = index.neighbours(chosen), None
+            near, cut = iter(best_first(index.neighbours(chosen), unused, space)), None
         n = int(min(space, left[chosen]))
         parts.append((docs[chosen], int(start[chosen]), n))
         start[chosen] += n
@@ -139,7 +149,7 @@ def fill(docs: list[Document], idf: np.ndarray, mean: float, window: int, query_
         if not space:
             yield parts
             cut = chosen if left[chosen] else None
-            parts, space, scores = [], window, None
+            parts, space, near = [], window, None
     if parts:
         yield parts
 
@@ -160,7 +170,7 @@ def pack_partition(docs: Iterator[Document], idf: np.ndarray, mean: float, windo
     for doc in docs:
         shard.append(doc)
         tokens += len(doc.ids)
-        if tokens >= SHARD_TOKENS:
+        if tokens >= SHARD_TOKENS or len(shard) >= SHARD_DOCS:
             yield from pack_shard()
             shard, tokens = [], 0
     if shard:

@@ -430,3 +430,20 @@ def test_cover_tree_invariants():
         if len(centres) == covertree.FANOUT:  # separation: as far apart as the radius they leave
             apart = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2)) + np.eye(len(centres)) * 1e9
             assert apart.min() >= max(tree.radii[c] for c in tree.children[node]) * 0.999
+
+
+def test_packing_many_one_id_documents():
+    """Linear: 400,000 documents of one id each, which all score alike, in a few seconds."""
+    import time
+
+    began = time.perf_counter()
+    sequences = list(packing.pack_partition((packing.Document({}, 1, 0, np.array([1], "<u2")) for _ in range(400_000)), np.full(2, 0.01), 1.0, 2048, 24))
+    assert time.perf_counter() - began < 30
+    assert sum(n for parts in sequences for _, _, n in parts) == 400_000 and all(len(parts) == 2048 for parts in sequences[: 400_000 // 2048])
+
+
+def test_packing_takes_the_best_first():
+    scores = np.array([0.5, 0.0, 2.0, 2.0, 0.5, 1.0, 3.0])
+    unused = np.array([True, True, True, True, True, True, False])
+    for most in range(1, 8):
+        assert packing.best_first(scores, unused, most) == [2, 3, 5, 0, 4][:most]
