@@ -5,6 +5,10 @@ sequence by the words that follow, as deep as a window. Every suffix of every be
 up by binary search; the places of an interval are its occurrences. Occurrences of neighbouring suffixes at
 neighbouring places are merged into the longest verbatim matches, with their places in text and item.
 
+Windows that several items share are searched once: a *passage* is a run of windows that the same items have one after
+another, wherever it lies in each of them. A match names its passage by the first item that has it, and counts the others;
+all items of a text's passages are in its ``item_ids``. So a prompt that a thousand items begin with costs as much as one.
+
 Only words of the benchmark can be part of a match, so a suffix counts in the array only if the words of the shortest
 window all occur in some item; words are numbered by that vocabulary. Nothing is shuffled. The benchmark is read in
 blocks of about ``block_bytes``, each sent to all tasks; each block is one more pass over the same rows.
@@ -24,15 +28,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refnet.llm.common import carried, extended, pieces, utf8
-from refnet.llm.words import ALNUM, word_hashes
+from refnet.llm.words import ALNUM, mix, word_hashes
 
 WINDOW = 13
-MATCH = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32())])
-MATCHES = "array<struct<start:int,length:int,item_id:string,item_start:int>>"
+MATCH = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32()), ("items", pa.int32())])
+MATCHES = "array<struct<start:int,length:int,item_id:string,item_start:int,items:int>>"
 
 
 class Suffixes:
-    """All suffixes of some items, cut to a window, as keys over the items' own vocabulary."""
+    """All distinct suffixes of some items, cut to a window, as keys over the items' own vocabulary, and their passages.
+
+    ``passage`` and ``place`` say of each suffix which passage it is part of and where; ``holders`` lists each passage's
+    items and where it begins in them.
+    """
 
     def __init__(self, item_ids: list[str], texts: list[bytes], window: int):
         hashes, at = word_hashes(pa.array(texts, pa.binary()), ALNUM)
@@ -42,16 +50,45 @@ class Suffixes:
         self.few[(self.vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
         sizes = np.diff(at)
         each = np.where(sizes >= window, sizes - window + 1, np.minimum(sizes, 1))  # windows of each item
-        self.item = np.repeat(np.arange(len(texts)), each)
-        self.offset = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        self.length = np.minimum(sizes, window)[self.item]
-        self.shortest = int(self.length.min()) if len(self.length) else 0
+        item = np.repeat(np.arange(len(texts)), each)
+        offset = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        length = np.minimum(sizes, window)[item]
+        self.shortest = int(length.min()) if len(length) else 0
         self.bits = max(1, len(self.vocabulary).bit_length())
         padded = np.r_[number + 1, np.zeros(window, np.int64)].astype(np.uint64)
-        inside = np.arange(window)[None, :] < self.length[:, None]
-        words = np.where(inside, padded[(at[:-1][self.item] + self.offset)[:, None] + np.arange(window)], np.uint64(0))
+        inside = np.arange(window)[None, :] < length[:, None]
+        words = np.where(inside, padded[(at[:-1][item] + offset)[:, None] + np.arange(window)], np.uint64(0))
+        # Equal suffixes are one, with all its (item, offset) in order.
+        keys = self.keys(words.T)
+        order = np.lexsort((offset, item, *keys[::-1]))
+        new = np.ones(len(order), bool)
+        if len(order) > 1:
+            new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+        cut = np.r_[np.flatnonzero(new), len(order)]
+        first = order[cut[:-1]]
+        self.length = length[first]
         top = np.uint64((1 << self.bits) - 1)
-        self.low, self.high = self.keys(words.T), self.keys(np.where(inside, words, top).T)
+        self.low, self.high = [k[first] for k in keys], self.keys(np.where(inside[first], words[first], top).T)
+        self._passages(item[order], offset[order], cut)
+
+    def _passages(self, item: np.ndarray, offset: np.ndarray, cut: np.ndarray) -> None:
+        """Suffixes with the same items, each as far behind in all of them, are of one passage."""
+        n = len(cut) - 1
+        count = np.diff(cut)
+        begin = offset[cut[:-1]] if n else np.zeros(0, np.int64)
+        behind = offset - np.repeat(begin, count)
+        # A hash of (item, how far behind the first) of all holders; the first item's own place is the place in the passage.
+        with np.errstate(over="ignore"):
+            each = mix(mix(item.astype(np.uint64) + np.uint64(1)) ^ (behind.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            names = np.add.reduceat(each, cut[:-1]) if n else np.zeros(0, np.uint64)
+        _, some, self.passage = np.unique(names, return_index=True, return_inverse=True)
+        self.place = begin
+        self.holders = [(item[cut[x] : cut[x + 1]], behind[cut[x] : cut[x + 1]]) for x in some.tolist()]
+
+    def ids_of(self, passages: tuple[int, ...]) -> list[str]:
+        """The ids of all items that hold any of the passages, sorted."""
+        held = np.unique(np.concatenate([self.holders[p][0] for p in passages]))
+        return sorted({self.item_ids[i] for i in held.tolist()})
 
     def keys(self, words) -> list[np.ndarray]:
         """Words of each depth packed into as few 64-bit keys as hold them, first words first."""
@@ -92,9 +129,9 @@ def _bound(keys: list[np.ndarray], wanted: list[np.ndarray], upper: bool) -> np.
 
 
 def shard_matches(hashes: np.ndarray, at: np.ndarray, tests: Suffixes) -> tuple[np.ndarray, ...]:
-    """(text, start, length, item, item_start) of the longest matches in the texts whose words lie at ``at``."""
+    """(text, start, length, passage, place in it) of the longest matches in the texts whose words lie at ``at``."""
     none = (np.zeros(0, np.int64),) * 5
-    if not len(hashes) or not len(tests.item):
+    if not len(hashes) or not len(tests.length):
         return none
     number = tests.numbers(hashes)
     # How many words from each place on are known ones of the same text.
@@ -119,34 +156,44 @@ def shard_matches(hashes: np.ndarray, at: np.ndarray, tests: Suffixes) -> tuple[
     which = np.repeat(np.arange(len(count)), count)
     start = suffix_array[np.repeat(first - (total - count), count) + np.arange(total[-1])]
     text = np.searchsorted(at, start, side="right") - 1
-    item, offset, length = tests.item[which], tests.offset[which], tests.length[which]
-    # Neighbouring suffixes of an item at neighbouring places lie on one diagonal.
-    line = np.lexsort((start, start - offset, item, text))
-    text, start, item, offset, length = (x[line] for x in (text, start, item, offset, length))
-    new = np.r_[True, (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(start - offset) != 0) | (np.diff(start) != 1)]
+    passage, offset, length = tests.passage[which], tests.place[which], tests.length[which]
+    # Neighbouring suffixes of a passage at neighbouring places lie on one diagonal.
+    line = np.lexsort((start, start - offset, passage, text))
+    text, start, passage, offset, length = (x[line] for x in (text, start, passage, offset, length))
+    new = np.r_[True, (np.diff(text) != 0) | (np.diff(passage) != 0) | (np.diff(start - offset) != 0) | (np.diff(start) != 1)]
     begin = np.flatnonzero(new)
     end = np.r_[begin[1:], len(new)] - 1
-    return text[begin], start[begin] - at[text[begin]], start[end] + length[end] - start[begin], item[begin], offset[begin]
+    return text[begin], start[begin] - at[text[begin]], start[end] + length[end] - start[begin], passage[begin], offset[begin]
 
 
 def _scan(docs: DataFrame, keep: list[str], tests: Suffixes) -> DataFrame:
-    """Adds the block's matches to those of earlier blocks in ``_matches`` and sets ``_words``."""
+    """Adds the block's matches and items to those of earlier blocks in ``_matches`` and ``_items`` and sets ``_words``."""
     sent = docs.sparkSession.sparkContext.broadcast(tests)
-    schema = extended(docs, [*keep, "_utf8"], f"_words long, _matches {MATCHES}")
+    schema = extended(docs, [*keep, "_utf8"], f"_words long, _matches {MATCHES}, _items array<string>")
+    lists = {"_matches": pa.list_(MATCH), "_items": pa.list_(pa.string())}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = sent.value
         for part in pieces(batches, "_utf8"):
             hashes, at = word_hashes(part.column("_utf8"), ALNUM)
-            text, start, length, item, item_start = shard_matches(hashes, at, tests)
-            found = pa.StructArray.from_arrays(
-                [pa.array(start, pa.int32()), pa.array(length, pa.int32()), pa.array([tests.item_ids[i] for i in item.tolist()], pa.string()), pa.array(item_start, pa.int32())],
-                fields=list(MATCH),
-            )
-            matches = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32()), found)
-            if "_matches" in part.schema.names:
-                matches = pa.array([a + b for a, b in zip(part.column("_matches").to_pylist(), matches.to_pylist(), strict=True)], pa.list_(MATCH))
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in [*keep, "_utf8"]] + [pa.array(np.diff(at), pa.int64()), matches], names=[*keep, "_utf8", "_words", "_matches"])
+            text, start, length, passage, place = shard_matches(hashes, at, tests)
+            first = {p: tests.holders[p] for p in np.unique(passage).tolist()}
+            names = [tests.item_ids[first[p][0][0]] for p in passage.tolist()]
+            held = [len(first[p][0]) for p in passage.tolist()]
+            columns = [pa.array(start, pa.int32()), pa.array(length, pa.int32()), pa.array(names, pa.string()), pa.array(place, pa.int32()), pa.array(held, pa.int32())]
+            cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
+            # Texts of the same passages have the same items; their list is made once.
+            groups = [tuple(sorted(set(passage[a:b].tolist()))) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            ids = {g: tests.ids_of(g) if g else [] for g in set(groups)}
+            order = {g: n for n, g in enumerate(ids)}
+            found = {
+                "_matches": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(MATCH))),
+                "_items": pa.array(list(ids.values()), lists["_items"]).take(pa.array([order[g] for g in groups], pa.int64())),
+            }
+            for name in found:
+                if name in part.schema.names:
+                    found[name] = pa.array([a + b for a, b in zip(part.column(name).to_pylist(), found[name].to_pylist(), strict=True)], lists[name])
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in [*keep, "_utf8"]] + [pa.array(np.diff(at), pa.int64()), *found.values()], names=[*keep, "_utf8", "_words", *found])
 
     return docs.mapInArrow(scan, schema)
 
@@ -165,7 +212,7 @@ def covered(matches: Column) -> Column:
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, block_bytes: int = 16 << 20) -> DataFrame:
     """``keep`` columns of every document plus n_words, n_hit, item_ids (sorted strings) and matches."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), utf8("text").alias("text"))
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), utf8("text").alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     found = docs.select(*keep, utf8("text").alias("_utf8"))
@@ -176,7 +223,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], window:
         *keep,
         F.col("_words").alias("n_words"),
         covered(F.col("_matches")).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform("_matches", lambda m: m["item_id"]))).alias("item_ids"),
+        F.array_sort(F.array_distinct("_items")).alias("item_ids"),
         F.col("_matches").alias("matches"),
     )
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+import tracemalloc
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from refnet.llm import chat, covertree, decontam, language, lengths, licenses, n
 from refnet.llm.common import ship, workspace
 from refnet.llm.components import components
 from refnet.llm.tokens import Encoder, tokenizer_path
+from refnet.llm.words import ALNUM, word_hashes
 
 BASE = "the quick brown fox jumps over the lazy dog while many small words follow one after another until a longer text has come to be"
 TEXTS = [
@@ -434,8 +438,6 @@ def test_cover_tree_invariants():
 
 def test_packing_many_one_id_documents():
     """Linear: 400,000 documents of one id each, which all score alike, in a few seconds."""
-    import time
-
     began = time.perf_counter()
     sequences = list(packing.pack_partition((packing.Document({}, 1, 0, np.array([1], "<u2")) for _ in range(400_000)), np.full(2, 0.01), 1.0, 2048, 24))
     assert time.perf_counter() - began < 30
@@ -447,3 +449,24 @@ def test_packing_takes_the_best_first():
     unused = np.array([True, True, True, True, True, True, False])
     for most in range(1, 8):
         assert packing.best_first(scores, unused, most) == [2, 3, 5, 0, 4][:most]
+
+
+def test_decontamination_of_a_shared_prompt(spark):
+    """A prompt that 800 items begin with is one passage: a match for each text, not for each text and item."""
+    prompt = " ".join(f"p{i}" for i in range(30))
+    items = [(i, f"{prompt} " + " ".join(f"own{i}x{j}" for j in range(15))) for i in range(800)] + [(900, f"before {prompt}")]
+    tests = decontam.Suffixes([str(i) for i, _ in items], [t.encode() for _, t in items], 13)
+    hashes, at = word_hashes(pa.array([f"x{i} {prompt} y{i}".encode() for i in range(3000)], pa.binary()), ALNUM)
+    tracemalloc.start()
+    text, start, length, passage, place = decontam.shard_matches(hashes, at, tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and len(text) == 3000 and set(length.tolist()) == {30} and set(start.tolist()) == {1} and set(place.tolist()) == {0}
+    docs = [(1, f"a {prompt} b"), (2, f"a {prompt} own5x0 own5x1"), (3, " ".join(prompt.split()[1:14])), (4, f"before {prompt}"), (5, items[7][1]), (6, None)]
+    bench = spark.createDataFrame([*items, items[3], items[4]], "item_id long, text string")
+    for block in (1 << 24, 20_000):
+        found = decontam.find_matches(spark.createDataFrame(docs, "doc_id long, text string"), bench, ["doc_id"], block_bytes=block)
+        got = [(r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"], r["bad"]) for r in found.withColumn("bad", decontam.contaminated()).collect()]
+        assert ordered(got) == ordered(brute.decontaminated(docs, items))
+    most = {r["doc_id"]: [(m["start"], m["length"], m["items"]) for m in r["matches"]] for r in decontam.find_matches(spark.createDataFrame(docs, "doc_id long, text string"), bench, ["doc_id"]).collect()}
+    assert most[1] == [(1, 30, 801)] and most[3] == [(0, 13, 801)] and most[6] == []
