@@ -18,8 +18,12 @@ all rows:
 2. One more test asks how likely a run of ordinary text of the same length looks as random: the lower tail of chi-squared
    under the letter coincidence rate of text, the lower tail of common pairs of letters, and the upper tail of changes
    between lower case, upper case, digits and symbols, joined by Fisher's method. What is left of step 1 and rejected at
-   ``rate`` is a secret; what step 1 rejected counts as null cases. Text says nothing on digits alone: a run of them is a
-   secret if step 1 leaves it.
+   ``rate`` is a secret; what step 1 rejected counts as null cases.
+
+Letters say nothing on runs of digits alone. There the numbers with a shape, card numbers (an issuer's prefix and a right check
+digit) and dates, stand for the ordinary ones: as many plain ordinary numbers are expected in a class as shaped ones beyond
+those that chance makes. The class's plain runs that step 1 leaves are secrets if that is at most ``rate`` of them; shaped
+ones never are. So digits are found in a class of length where hardly any card or account numbers are, and not among them.
 
 One pass counts p-values in bins (a table of fixed size), the next applies the thresholds.
 
@@ -53,7 +57,11 @@ MIN_RUN = 16
 LENGTHS = (16, 20, 24, 32, 48, 64)  # where classes of length begin
 BINS, PER_DECADE = 400, 10  # of -log10 p
 BATTERY_BINS = 100
-REJECTED, DIGITS = -1, -2  # in place of a bin of the text test
+REJECTED, DIGITS, SHAPED = -1, -2, -3  # in place of a bin of the text test
+# Digits that card numbers begin with, and the part of random runs that have such a prefix and a right check digit.
+ISSUERS = re.compile(r"4|5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720|6011|65|64[4-9]|35|3[0689]")
+SHAPED_BY_CHANCE = 0.03
+DATED = re.compile(r"(19|20)\d\d(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])")
 _RUN = np.array([chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_-") for b in range(256)])
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = tuple(
@@ -88,12 +96,36 @@ def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _binomial_sum(k: int, n: int, p: float, step: int) -> float:
+    """The terms from k of n on, upwards or downwards, away from the mean, as far as they count."""
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+    total, odds = 0.0, p / (1 - p)
+    while term > 1e-18 * total:
+        total += term
+        if not 0 <= k + step <= n:
+            break
+        term *= (n - k) / (k + 1) * odds if step > 0 else k / (n - k + 1) / odds
+        k += step
+    return total
+
+
 def _binomial_tail(k: int, n: int, p: float) -> float:
     """At least k of n."""
-    if k <= n * p:
+    if k <= 0:
         return 1.0
-    terms = (math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k, min(n, k + 60) + 1))
-    return min(1.0, sum(terms))
+    if k > n:
+        return 0.0
+    return min(1.0, _binomial_sum(k, n, p, 1) if k > n * p else max(0.0, 1 - _binomial_sum(k - 1, n, p, -1)))
+
+
+def shaped(digits: str) -> bool:
+    """Whether a run of digits looks like a card number or begins with a date."""
+    if DATED.match(digits) and len(digits) <= 20:
+        return True
+    if len(digits) > 19 or not ISSUERS.match(digits):
+        return False
+    twice = [int(c) if i % 2 == 0 else 2 * int(c) - 9 * (c > "4") for i, c in enumerate(reversed(digits))]
+    return sum(twice) % 10 == 0
 
 
 def encoding(run: str) -> tuple[str, dict[str, int]]:
@@ -151,11 +183,15 @@ def p_bin(p: float) -> int:
     return min(BINS - 1, int(-math.log10(max(p, 1e-300)) * PER_DECADE))
 
 
+def digits_of(run: str) -> int:
+    return SHAPED if shaped(run) else DIGITS
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, int, int, int]]:
-    """(start, end, class of length, bin of the battery's p-value, bin of the text test's or DIGITS) of runs in a text."""
+    """(start, end, class of length, bin of the battery's p-value, bin of the text test's, DIGITS or SHAPED) of runs in a text."""
     for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", text):
         found = battery(m[0])
-        yield m.start(), m.end(), length_class(m.end() - m.start()), min(BATTERY_BINS - 1, p_bin(found["random"])), DIGITS if m[0].isdigit() else p_bin(found["text"])
+        yield m.start(), m.end(), length_class(m.end() - m.start()), min(BATTERY_BINS - 1, p_bin(found["random"])), digits_of(m[0]) if m[0].isdigit() else p_bin(found["text"])
 
 
 def base_spans(text: str, named: bool, run: bool) -> list[tuple[int, int, int]]:
@@ -218,31 +254,43 @@ def thresholds(histogram: dict[tuple[int, int], int], rate: float) -> list[int]:
     return out
 
 
-def both_thresholds(histogram: dict[tuple[int, int, int], int], rate: float, level: float) -> list[tuple[int, int]]:
-    """For each class of length the smallest bin that the battery rejects and the smallest that the text test does, from
-    numbers by (class, bin of the battery, bin of the text test or DIGITS)."""
-    battery_, text = Counter(), Counter()
+def digits_found(plain: int, shapes: int, rate: float) -> bool:
+    """Whether a class's plain runs of digits are secrets: shaped ones beyond those that chance makes (two standard deviations
+    more than their mean) are ``rate`` of them at most."""
+    chance = SHAPED_BY_CHANCE * (plain + shapes)
+    return shapes - chance - 2 * math.sqrt(chance) <= rate * plain
+
+
+def both_thresholds(histogram: dict[tuple[int, int, int], int], rate: float, level: float) -> list[tuple[int, int, bool]]:
+    """For each class of length the smallest bin that the battery rejects, the smallest that the text test does, and whether
+    plain digits are found, from numbers by (class, bin of the battery, bin of the text test, DIGITS or SHAPED)."""
+    battery_, text, digits = Counter(), Counter(), Counter()
     for (c, b, _), n in histogram.items():
         battery_[c, b] += n
     out = thresholds(battery_, level)
     for (c, b, t), n in histogram.items():
         if b >= out[c]:
             text[c, REJECTED] += n
-        elif t != DIGITS:
+        elif t in (DIGITS, SHAPED):
+            digits[c, t] += n
+        else:
             text[c, t] += n
-    return list(zip(out, thresholds(text, rate), strict=True))
+    found = [digits_found(digits[c, DIGITS], digits[c, SHAPED], rate) for c in range(len(LENGTHS))]
+    return list(zip(out, thresholds(text, rate), found, strict=True))
 
 
-def discovered(least: tuple[int, int], battery_bin: int, text_bin: int) -> bool:
-    return battery_bin < least[0] and (text_bin == DIGITS or text_bin >= least[1])
+def discovered(least: tuple[int, int, bool], battery_bin: int, text_bin: int) -> bool:
+    if battery_bin >= least[0] or text_bin == SHAPED:
+        return False
+    return least[2] if text_bin == DIGITS else text_bin >= least[1]
 
 
-def learn_thresholds(docs: DataFrame, rate: float = 0.01, battery_level: float = 0.001) -> list[tuple[int, int]]:
-    """Over all rows; at most ``len(LENGTHS) * BATTERY_BINS * (BINS + 1)`` counts go to the driver."""
+def learn_thresholds(docs: DataFrame, rate: float = 0.01, battery_level: float = 0.001) -> list[tuple[int, int, bool]]:
+    """Over all rows; at most ``len(LENGTHS) * BATTERY_BINS * (BINS + 2)`` counts go to the driver."""
     return both_thresholds({(r["class"], r["battery"], r["bin"]): r["n"] for r in _histogram(docs).collect()}, rate, battery_level)
 
 
-def _spans(text: str | None, named: bool, run: bool, least: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+def _spans(text: str | None, named: bool, run: bool, least: list[tuple[int, int, bool]]) -> list[tuple[int, int, int]]:
     if text is None:
         return []
     spans = base_spans(text, named, run)

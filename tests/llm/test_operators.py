@@ -470,3 +470,37 @@ def test_decontamination_of_a_shared_prompt(spark):
         assert ordered(got) == ordered(brute.decontaminated(docs, items))
     most = {r["doc_id"]: [(m["start"], m["length"], m["items"]) for m in r["matches"]] for r in decontam.find_matches(spark.createDataFrame(docs, "doc_id long, text string"), bench, ["doc_id"]).collect()}
     assert most[1] == [(1, 30, 801)] and most[3] == [(0, 13, 801)] and most[6] == []
+
+
+def test_binomial_tail_is_exact():
+    """Against the whole sum, for runs of 64 to a million characters."""
+    for n in (64, 1000, 40_000, 1_000_000):
+        for p in (0.1, 1 / 16, 0.3):
+            lgamma = np.cumsum(np.r_[0.0, np.log(np.arange(1, n + 1))])
+            i = np.arange(n + 1)
+            terms = np.exp(lgamma[n] - lgamma[i] - lgamma[n - i] + i * np.log(p) + (n - i) * np.log1p(-p))
+            tails = np.cumsum(terms[::-1])[::-1]
+            sd = (n * p * (1 - p)) ** 0.5
+            for k in {0, 1, *(int(n * p + z * sd) for z in (-3, -1, -0.1, 0, 0.01, 0.1, 1, 3, 8)), n}:
+                if 0 <= k <= n:
+                    assert abs(secrets._binomial_tail(k, n, p) - tails[k]) < 1e-6, (n, p, k)
+
+
+def test_digits_among_cards_and_account_numbers(spark):
+    """Secrets of digits alone are found by length, and the rate holds where most runs are ordinary numbers."""
+    rng = random.Random(11)
+
+    def card():
+        body = rng.choice(["4", "51", "37", "6011"]) + "".join(rng.choices("0123456789", k=14))
+        body = body[:15]
+        return next(body + c for c in "0123456789" if secrets.shaped(body + c)) if body[0] != "3" else card()
+
+    cards = [card() for _ in range(1500)]
+    accounts = ["".join(rng.choices("0123456789", k=rng.randint(16, 18))) for _ in range(300)]
+    dates = [f"20{rng.randrange(10, 25)}{rng.randrange(1, 13):02d}{rng.randrange(1, 29):02d}{rng.randrange(10**8):08d}" for _ in range(300)]
+    planted = ["".join(rng.choices("0123456789", k=rng.randint(24, 31))) for _ in range(40)]
+    runs = cards + accounts + dates + planted
+    frame = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").repartition(4)
+    found = {runs[r["doc_id"]] for r in secrets.find_secrets(frame, ["doc_id"]).collect() if r["spans"]}
+    assert len(found & set(planted)) >= 0.9 * len(planted) and len(found - set(planted)) <= 0.01 * len(found)
+    assert not any(map(secrets.shaped, ["1234567890123456", "4111111111111112"])) and secrets.shaped("4111111111111111") and secrets.shaped("2023123112000000")
