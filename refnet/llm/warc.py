@@ -2,7 +2,7 @@ r"""WARC archives: write, read, and resolve revisits by payload digest.
 
 ``write_archive`` writes one record per row as Spark text files whose lines end in the blank lines that end a WARC
 record, so writing is distributed, committed and repeatable like any Spark output; files are gzip streams of at most
-``records_per_file`` records. ``read_archive`` parses them record by record through Content-Length, so payloads may hold
+``records_per_file`` records, or of one long record, so their bytes are bounded. ``read_archive`` parses them record by record through Content-Length, so payloads may hold
 anything, and checks each payload against its digest.
 
 ``deduplicate`` reads an archive twice: headers alone are shuffled by payload digest, after partial aggregation, to find
@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refnet.llm.common import stored, utf8, workspace
+from refnet.plans.skew import balanced_join
 
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
+LARGE = 256 << 10  # bytes of a record with a file of its own
 FIELDS = "type string, record_id string, page_id long, target_uri string, payload_digest string, payload_bytes long, refers_to string"
 
 
@@ -68,8 +70,12 @@ def records(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(rows: DataFrame, path: str, records_per_file: int = 1000) -> None:
-    """Rows of (type, record_id, page_id, target_uri, payload_digest, refers_to, payload); revisits leave the payload out."""
+def write_archive(rows: DataFrame, path: str, records_per_file: int = 1000, large: int = LARGE) -> None:
+    """Rows of (type, record_id, page_id, target_uri, payload_digest, refers_to, payload); revisits leave the payload out.
+
+    A file has ``records_per_file`` records of ``large`` bytes at most; a longer one has a folder and file of its own. So the
+    bytes of a file are bounded, and a reader may hold one.
+    """
     is_response = F.col("type") == "response"
     block = F.concat(F.lit(HTTP), F.when(is_response, F.col("payload").cast("string")).otherwise(F.lit("")))
     head = F.concat(
@@ -86,7 +92,9 @@ def write_archive(rows: DataFrame, path: str, records_per_file: int = 1000) -> N
         _field("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
-    writer = rows.select(F.concat(head, block).alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file)
+    alone = F.pmod(F.xxhash64("record_id"), F.lit((1 << 62) - 1)) + 1
+    own = rows.select(F.concat(head, block).alias("value"), F.when(F.octet_length(block) > large, alone).otherwise(0).alias("alone"))
+    writer = own.write.partitionBy("alone").option("lineSep", END).option("maxRecordsPerFile", records_per_file)
     writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
@@ -200,13 +208,15 @@ def deduplicate(spark: SparkSession, source: str, target: str, min_bytes: int =
 
 def read_resolved(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record: a revisit has its original's size and page."""
-    rows = read_archive(spark, path, payload=False)
-    originals = rows.filter(F.col("type") == "response").select(F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"))
-    found = rows.join(originals, F.col("refers_to") == F.col("_id"), "left")
-    revisit = F.col("type") == "revisit"
-    return found.select(
-        "page_id", F.when(revisit, F.col("_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"), F.when(revisit, F.col("_page")).alias("refers_to")
-    )
+    rows = stored(read_archive(spark, path, payload=False), "headers")
+    responses = rows.filter(F.col("type") != "revisit")
+    originals = rows.filter(F.col("type") == "response").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"))
+    # Revisits alone are joined, those of a payload of very many copies in several tasks.
+    revisits = rows.filter(F.col("type") == "revisit").select("page_id", "payload_digest", "refers_to", "file", "number")
+    found = balanced_join(revisits, originals, ["refers_to"], "left", left_salt=["file", "number"])
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    one = responses.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    return one.unionByName(found.select("page_id", F.col("_bytes").alias("payload_bytes"), "payload_digest", F.lit("revisit").alias("record_type"), F.col("_page").alias("refers_to"))).select(*names)
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
