@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refnet.llm.common import pieces, utf8
+from refnet.llm.common import pieces, stored, utf8
 from refnet.llm.tokens import TOKENIZER, Encoder, tokenizer_path
 
 BLOCK = 1024
@@ -33,7 +33,8 @@ def histogram(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
             total.update(np.diff(at).tolist())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["length", "n"])
 
-    return docs.select(utf8("text").alias("_utf8")).mapInArrow(count, "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
+    found = docs.select(utf8("text").alias("_utf8")).mapInArrow(count, "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
+    return stored(found, "histogram")  # texts are encoded once, whatever is asked of it
 
 
 def suffix_sums(hist: DataFrame) -> DataFrame:

@@ -504,3 +504,22 @@ def test_digits_among_cards_and_account_numbers(spark):
     found = {runs[r["doc_id"]] for r in secrets.find_secrets(frame, ["doc_id"]).collect() if r["spans"]}
     assert len(found & set(planted)) >= 0.9 * len(planted) and len(found - set(planted)) <= 0.01 * len(found)
     assert not any(map(secrets.shaped, ["1234567890123456", "4111111111111112"])) and secrets.shaped("4111111111111111") and secrets.shaped("2023123112000000")
+
+
+def test_long_records_have_files_of_their_own(spark):
+    texts = ["x" * 5000, "y" * 5000, "x" * 5000, *(f"page {i % 3}" for i in range(40)), None, ""]
+    pages = [(i, f"http://h/{i}", t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = workspace(spark, "long")
+    warc.write_archive(warc.records(frame), path, large=2000)
+    files = {}
+    for r in warc.read_archive(spark, path).collect():
+        files.setdefault(r["file"], []).append(bytes(r["payload"]).decode())
+    assert sorted(len(v) for v in files.values()) == [1, 1, 1, 42] and all(len(v) == 1 for v in files.values() if len(v[0]) == 5000)
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(frame).collect()]
+    assert ordered(got) == ordered(brute.warc([(p, h) for p, _, h in pages]))
+
+
+def test_texts_are_encoded_once(docs):
+    hist = lengths.histogram(docs)
+    assert "MapInArrow" not in lengths.suffix_sums(hist)._jdf.queryExecution().optimizedPlan().toString()
