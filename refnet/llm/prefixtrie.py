@@ -162,7 +162,7 @@ def prefix_trie(turns: DataFrame, base: Column, heads: Column, most: int) -> Dat
 
     children = nodes.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children"))
     digests = end_digests(rows.filter("last").select("node", "conv_id"))
-    known = nodes.join(saved, "node", "left").join(children, "node", "left").join(digests, "node", "left")
+    known = stored(nodes.join(saved, "node", "left").join(children, "node", "left").join(digests, "node", "left"), "known-nodes")
     parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     full = balanced_join(known, parents, ["parent"], "left", left_salt=["node"])
     return full.select(

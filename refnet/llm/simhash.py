@@ -319,7 +319,7 @@ def near_components(docs: DataFrame, k: int = K, radius: int = RADIUS, shares: i
     ids = stored(signed.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
     found = stored(links(dealt(blocks(ids.select("fp"), radius), shares), radius), "links")
     labels = components(found, "components")
-    named = ids.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "id", F.coalesce("label", "fp").alias("label"))
+    named = stored(ids.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "id", F.coalesce("label", "fp").alias("label")), "named")
     least = named.groupBy("label").agg(F.min("id").alias("component_id"))
     of = stored(balanced_join(named, least, ["label"], "left", left_salt=["fp"]).select("fp", "component_id"), "classes")
     out = balanced_join(signed, of, ["fp"], "left", left_salt=["doc_id"])
