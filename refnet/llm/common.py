@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +61,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Shard numbers that one task may give: a shard is its task times this, plus a running number.
+SHARDS_PER_TASK = 1 << 20
+
+
+def by_shard(rows: DataFrame, blocks: DataFrame, shards: DataFrame) -> DataFrame:
+    """``rows`` (shard, kind, ...) in one task a shard, in order of kind, and after each shard's rows every block of queries
+    (kind 9). Blocks reach the shards as rows of a shuffle; a block of a shard number that no shard has stands alone."""
+    last = shards.agg(F.max(F.expr(f"shard div {SHARDS_PER_TASK}")).alias("task"), F.max(F.col("shard") % SHARDS_PER_TASK).alias("n")).first()
+    names = f"flatten(transform(sequence(0L, {last['task'] or 0}L), t -> transform(sequence(0L, {last['n'] or 0}L), n -> t * {SHARDS_PER_TASK} + n)))"
+    asked = blocks.withColumn("shard", F.explode(F.expr(names))).withColumn("kind", F.lit(9))
+    return rows.unionByName(asked, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "kind")
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
+    """One row after another."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(j)[i] for j, c in enumerate(batch.schema.names)}
+
+
+def array_of(value: pa.Scalar, kind: type) -> np.ndarray:
+    """The numbers of a binary value, without a copy."""
+    return np.frombuffer(value.as_buffer(), kind)
+
+
 def extended(df: DataFrame, keep: list[str], ddl: str) -> StructType:
     """The schema of the ``keep`` columns and further fields."""
     return StructType(df.select(*keep).schema.fields + StructType.fromDDL(ddl).fields)

@@ -7,9 +7,11 @@ node (centre c, radius s) no inner product of their points exceeds ``<p,c> + |p|
 bound is below the worst k-th score of the node's queries is dropped, at every level of the query tree, and what is left is
 searched best bound first for each group of queries.
 
-The data is never shuffled: each task builds trees over shards of ``shard_rows`` of its rows and returns, for each query,
-its best k of the shard. Queries go to the tasks in blocks of ``block_rows``, each block one pass over the data. Each
-query starts from its k-th score within ``sample_rows`` rows (smallest hashes), which only prunes: results are exact.
+Data is packed into shards of ``shard_rows`` rows and queries into blocks of ``block_rows``, both stored tables; a row of each
+block goes to each shard through a shuffle, and nothing of the queries passes the driver. A task builds a shard's tree once
+and searches block after block in it; the trees of the last blocks, and each query's k-th score so far, are kept for the
+task's next shards. Each query starts from its k-th score within ``sample_rows`` rows (smallest hashes). Both only prune:
+results are exact.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component, and rows with a null id, take no part;
 shorter vectors are padded with zeros; of rows that repeat a query's id none is its candidate, and of queries that share an
@@ -19,14 +21,19 @@ id the smallest vector counts; other rows that repeat an id are candidates each.
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from refnet.llm.common import SHARDS_PER_TASK, array_of, by_shard, rows_of, stored
+
+BLOCKS_KEPT = 8  # of queries, with their trees, in a task
 FANOUT, LEAF = 16, 256
 SCORED = 1024  # rows of data that a group of queries is scored against at a time
 
@@ -211,55 +218,100 @@ def _least(queries: DataFrame, sample: tuple[np.ndarray, np.ndarray], k: int) ->
     return queries.mapInArrow(run, "vec_id long, v array<long>, least double")
 
 
+def packed(rows: DataFrame, by: str | None, size: int, names: str) -> DataFrame:
+    """Rows of (vec_id, v[, least]) in rows of about ``size`` vectors each, as binary: by the column ``by``, or as they lie."""
+
+    def row(name: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        mats = [matrix(p.column("v")) for p in parts]
+        width = max(m.shape[1] for m in mats)
+        points, ids = np.concatenate([_padded(m, width) for m in mats]), np.concatenate([p.column("vec_id").to_numpy() for p in parts])
+        order = np.argsort(ids, kind="stable")
+        columns = [pa.array([name]), pa.array([ids[order].tobytes()], pa.binary()), pa.array([points[order].tobytes()], pa.binary())]
+        if "least" in parts[0].schema.names:
+            least = np.concatenate([p.column("least").fill_null(-math.inf).to_numpy() for p in parts])
+            columns.append(pa.array([least[order].tobytes()], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in names.split(", ")])
+
+    def as_they_lie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held, count = TaskContext.get().partitionId() * SHARDS_PER_TASK, [], 0
+        for batch in batches:
+            for a in range(0, batch.num_rows, size):
+                part = batch.slice(a, size)
+                if held and count + part.num_rows > size:
+                    yield row(name, held)
+                    name, held, count = name + 1, [], 0
+                held.append(part)
+                count += part.num_rows
+        if held:
+            yield row(name, held)
+
+    def group(part: pa.Table) -> pa.Table:
+        batches = part.drop_columns([by]).combine_chunks().to_batches()
+        return pa.Table.from_batches([row(part.column(by)[0].as_py(), batches)])
+
+    return rows.mapInArrow(as_they_lie, names) if by is None else rows.groupBy(by).applyInArrow(group, names)
+
+
 def top_k(data: DataFrame, is_query: Column, k: int, block_rows: int = 8192, shard_rows: int = 16384, sample_rows: int = 16384) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``data`` (vec_id, v) for which ``is_query`` holds, against all others."""
-    spark = data.sparkSession
     # TakeOrdered of a fixed number of rows.
     head = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
     width = max((len(r["v"]) for r in head), default=0)
     sample = (np.array([r["vec_id"] for r in head], np.int64), np.array([list(r["v"]) + [0] * (width - len(r["v"])) for r in head], np.int64).reshape(len(head), width))
-    queries = _least(data.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), sample, k)
-    blocks = max(1, math.ceil(data.filter(is_query).count() / block_rows))
-    found = None
-    for b in range(blocks):
-        # By hash, so a block is about block_rows.
-        rows = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
-        part = _search_block(data, rows, k, shard_rows)
-        found = part if found is None else found.unionByName(part)
+    queries = stored(_least(data.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), sample, k), "queries")
+    # By hash, so a block is about block_rows.
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, math.ceil(queries.count() / block_rows)))).alias("block")
+    blocks = stored(packed(queries.select("*", block), "block", block_rows, "block long, query_ids binary, queries binary, least binary"), "query-blocks")
+    shards = stored(packed(data, None, shard_rows, "shard long, ids binary, points binary").withColumn("kind", F.lit(0)), "shards")
+    found = _search(by_shard(shards, blocks, shards), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search_block(data: DataFrame, rows: list, k: int, shard_rows: int) -> DataFrame:
-    width = max((len(r["v"]) for r in rows), default=0)
-    ids = np.array([r["vec_id"] for r in rows], np.int64)
-    points = np.array([list(r["v"]) + [0] * (width - len(r["v"])) for r in rows], np.int64).reshape(len(rows), width)
-    least = np.array([-np.inf if r["least"] is None else r["least"] for r in rows], np.float64)
-    sent = data.sparkSession.sparkContext.broadcast((ids, points, least))
+class Block:
+    """A block of queries in a task: their trees by width and their best scores so far."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, least: np.ndarray, k: int):
+        self.ids, self.points, self.k = ids, points.reshape(len(ids), -1), k
+        self.tops = np.full((len(ids), k), -np.inf)
+        self.least = least.copy()
+        self.tree = lru_cache(2)(lambda width: Tree(_padded(self.points, width)))
+
+    def seen(self, query: np.ndarray, score: np.ndarray) -> None:
+        """Takes in a shard's results, in order of query, best first."""
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        new = np.full_like(self.tops, -np.inf)
+        new[query, rank] = np.where(np.abs(score) < 2**53, score, np.nextafter(score, -np.inf))  # never above the exact one
+        self.tops = -np.partition(-np.concatenate([self.tops, new], axis=1), self.k - 1, axis=1)[:, : self.k]
+        self.least = np.maximum(self.least, self.tops.min(axis=1))
+
+
+def _search(rows: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): of each shard, each query's best."""
     names = ["query_id", "vec_id", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, points, least = sent.value
-        tree = lru_cache(2)(lambda width: Tree(_padded(points, width)))
-
-        def shard(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            width = max(points.shape[1], *(v.shape[1] for _, v in parts))
-            own = np.concatenate([i for i, _ in parts])
-            order = np.argsort(own, kind="stable")
-            own, v = own[order], np.concatenate([_padded(v, width) for _, v in parts])[order]
-            q, r, s = search(tree(width), least, ids, Tree(v), own, k)
-            return pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(own[r]), pa.array(s, pa.int64())], names=names)
-
-        held, count = [], 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, shard_rows):
-                part = batch.slice(a, shard_rows)
-                held.append((part.column("vec_id").to_numpy(), matrix(part.column("v"))))
-                count += part.num_rows
-                if count >= shard_rows:
-                    yield shard(held)
-                    held, count = [], 0
-        if held:
-            yield shard(held)
-
-    return data.mapInArrow(run, "query_id long, vec_id long, score long")
+        shard, tree, ids, points = None, None, None, None
+        blocks: OrderedDict[int, Block] = OrderedDict()
+        for row in rows_of(batches):
+            if row["kind"].as_py() == 0:
+                ids, tree, shard = array_of(row["ids"], np.int64), None, row["shard"].as_py()
+                points = array_of(row["points"], np.int64).reshape(len(ids), -1)
+                continue
+            if row["shard"].as_py() != shard:
+                continue  # no shard has this number
+            name = row["block"].as_py()
+            if name not in blocks:
+                blocks[name] = Block(array_of(row["query_ids"], np.int64), array_of(row["queries"], np.int64), array_of(row["least"], np.float64), k)
+                if len(blocks) > BLOCKS_KEPT:
+                    blocks.popitem(last=False)
+            blocks.move_to_end(name)
+            own = blocks[name]
+            width = max(own.points.shape[1], points.shape[1])
+            if tree is None or tree.points.shape[1] != width:
+                tree = Tree(_padded(points, width))
+            q, r, s = search(own.tree(width), own.least, own.ids, tree, ids, k)
+            own.seen(q, s.astype(np.float64))
+            yield pa.RecordBatch.from_arrays([pa.array(own.ids[q]), pa.array(ids[r]), pa.array(s, pa.int64())], names=names)
+
+    return rows.mapInArrow(run, "query_id long, vec_id long, score long")

@@ -35,12 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refnet.llm.common import pieces, stored, utf8
+from refnet.llm.common import SHARDS_PER_TASK, array_of, by_shard, pieces, rows_of, stored, utf8
 from refnet.llm.words import ALNUM, word_hashes
 
 TOP = 50
 SHARD_DOCS, SHARD_BYTES = 1 << 14, 16 << 20
-PER_TASK = 1 << 20  # shard numbers that a task may give
 BLOCK = 256  # queries of a block, about
 QUERY_TERMS = 1 << 16  # terms of one row of queries; a longer text is cut into rows that share its number
 
@@ -60,7 +59,7 @@ def postings(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() * PER_TASK
+        first = TaskContext.get().partitionId() * SHARDS_PER_TASK
         number = 0
 
         def shard(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -156,14 +155,6 @@ def query_blocks(terms: DataFrame, weighed: DataFrame) -> DataFrame:
     return whole.select(block, query.alias("query")).groupBy("block").agg(F.collect_list("query").alias("queries"))
 
 
-def by_shard(rows: DataFrame, blocks: DataFrame, shards: DataFrame) -> DataFrame:
-    """``rows`` (shard, kind, ...) and, after each shard's, the blocks of queries, in one task a shard."""
-    last = shards.agg(F.max(F.expr(f"shard div {PER_TASK}")).alias("task"), F.max(F.col("shard") % PER_TASK).alias("n")).first()
-    names = f"flatten(transform(sequence(0L, {last['task'] or 0}L), t -> transform(sequence(0L, {last['n'] or 0}L), n -> t * {PER_TASK} + n)))"
-    asked = blocks.select(F.explode(F.expr(names)).alias("shard"), F.lit(9).alias("kind"), "queries")
-    return rows.unionByName(asked, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "kind")
-
-
 def term_pairs(terms: list[int], weights: list[int]) -> set[tuple[int, int]]:
     """Neighbours in the query's text and in its order of weights, the smaller term first."""
     order = [t for _, t in sorted(zip(weights, terms, strict=True), reverse=True)]
@@ -171,17 +162,6 @@ def term_pairs(terms: list[int], weights: list[int]) -> set[tuple[int, int]]:
     return {(min(x), max(x)) for x in both}
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        names = batch.schema.names
-        for i in range(batch.num_rows):
-            yield {c: batch.column(j)[i] for j, c in enumerate(names)}
-
-
-def array_of(value: pa.Scalar, kind: type) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), kind)
-
-
 def impact_index(found: DataFrame, weighed: DataFrame, blocks: DataFrame, n: int, length: int, k: int) -> DataFrame:
     """The lists of the weighed terms (kind 1) and of the pairs of terms that queries of ``blocks`` hold (kind 2), each with
     its largest score and its ``k``-th best (0: it has fewer)."""

@@ -101,8 +101,9 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def parts(radius: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of the radius + 2 parts of a fingerprint."""
-    cuts = [64 * i // (radius + 2) for i in range(radius + 3)]
+    """(first bit, bits) of the radius + 2 parts of a fingerprint, three at least."""
+    n = max(radius, 1) + 2
+    cuts = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 

@@ -18,7 +18,7 @@ from refnet.llm import chat, covertree, decontam, language, lengths, licenses, n
 from refnet.llm.common import ship, workspace
 from refnet.llm.components import components
 from refnet.llm.tokens import Encoder, tokenizer_path
-from refnet.llm.words import ALNUM, word_hashes
+from refnet.llm.words import ALNUM, mix, word_hashes
 
 BASE = "the quick brown fox jumps over the lazy dog while many small words follow one after another until a longer text has come to be"
 TEXTS = [
@@ -523,3 +523,68 @@ def test_long_records_have_files_of_their_own(spark):
 def test_texts_are_encoded_once(docs):
     hist = lengths.histogram(docs)
     assert "MapInArrow" not in lengths.suffix_sums(hist)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_k_over_many_shards_and_blocks(spark):
+    """Scores carried from shard to shard prune, and change nothing; nothing of the queries is in the plan's driver side."""
+    rng = np.random.default_rng(9)
+    vectors = rng.integers(-40, 40, (600, 6))
+    vectors[100:160] = vectors[7]  # ties
+    ids = np.arange(600)
+    frame = spark.createDataFrame([(int(i), [float(x) / 64 for x in v]) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    data = covertree.quantized(frame)
+    got = covertree.top_k(data, F.col("vec_id") % 5 == 0, 4, block_rows=30, shard_rows=50, sample_rows=40).collect()
+    expect = []
+    for q in range(0, 600, 5):
+        scores = sorted(((-int(vectors[q] @ vectors[d]), d) for d in range(600) if d != q))[:4]
+        expect += [(q, n + 1, d, -s) for n, (s, d) in enumerate(scores)]
+    assert ordered((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == ordered(expect)
+
+
+def test_languages_against_a_plain_version(spark):
+    """Predictions and scores of hypervectors built letter by letter, with Python's own loops."""
+    d = 64
+    texts = [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("Der Hund läuft über die Straße", "de"), ("le chat est sur la table", "fr"), ("the dog and the cat", None), ("die Katze", None), ("la souris", None), ("x", None), ("  ", None), (None, "en"), ("42", "de"), ("ÀÉ été-là", None), ("the the the", "en")])]
+
+    def letter(c):
+        seed = mix(np.array([ord(c) if c else 0], np.uint64) + np.uint64(0x51))[0]
+        with np.errstate(over="ignore"):
+            return [1 if int(mix(np.array([seed + np.uint64(j) * np.uint64(0x9E3779B97F4A7C15)], np.uint64))[0]) >> 63 else -1 for j in range(d)]
+
+    def bundle(text):
+        letters, gap = [], True
+        for c in text or "":
+            if c.isalpha():
+                low = c.lower()
+                letters.append(low if len(low) == 1 else c)
+                gap = False
+            elif not gap:
+                letters.append("")
+                gap = True
+        if not any(letters):
+            return None
+        letters = ["", *letters, ""]
+        total = [0] * d
+        for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
+            x, y, z = letter(a), letter(b), letter(c)
+            for j in range(d):
+                total[j] += x[j - 2] * y[j - 1] * z[j]
+        return np.array(total, float)
+
+    protos = {}
+    for i, t, lang in texts:
+        if lang and zlib.crc32(str(i).encode()) % 3 != 1 and (v := bundle(t)) is not None:
+            protos[lang] = protos.get(lang, 0) + v
+    expect = []
+    for i, t, _ in texts:
+        v = bundle(t)
+        if v is None:
+            expect.append((i, "und", 0.0))
+            continue
+        near = sorted((-(v @ p) / np.linalg.norm(v) / np.linalg.norm(p), name) for name, p in protos.items())
+        expect.append((i, near[0][1], max(0.0, -near[0][0])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    got = {r["doc_id"]: r for r in language.identify(frame, ["doc_id"], dimensions=d).collect()}
+    assert len(protos) >= 2
+    for i, name, score in expect:
+        assert got[i]["lang_pred"] == name and abs(got[i]["score"] - score) < 1e-5, (i, name, score, got[i])

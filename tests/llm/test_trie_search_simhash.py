@@ -297,7 +297,7 @@ def test_simhash_of_odd_documents(spark):
     expect = near(docs)
     assert near_of(frame) == expect and len({c for *_, c in expect}) < len(docs) - 30
     assert near_of(frame, shares=10_000) == expect  # every block is dealt over cells
-    assert near_of(frame, radius=7) == near(docs, 7)
+    assert near_of(frame, radius=7) == near(docs, 7) and near_of(frame, radius=0) == near(docs, 0)
     assert near_of(frame.limit(0)) == []
 
 
