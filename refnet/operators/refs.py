@@ -35,27 +35,31 @@ def focal_refs_from(tenure: DataFrame, pulls: DataFrame, hot: DataFrame | None =
     return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id")).distinct()
 
 
-def tenure_matches(tenure: DataFrame, spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """(focal_repo_id, repo_id, actor_id): each core tenure and other repository in which its actor opened a pull request within
-    the tenure; from a core tenure table and ``activity.pull_spans``.
-
-    An actor's tenures meet the sorted times of each repository, not the single events. A tenure finds the one span that
-    holds the first time from its start on (after the span before, and up to its own last), searches it there, and matches
-    if that time is within it too. So one row for a tenure and repository leaves the join, however many events there are.
+def tenure_spans(tenure: DataFrame, spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(focal_repo_id, repo_id, actor_id, first, times, min_d, max_d): each core tenure with the one span of each other
+    repository in which its actor's first pull request from the tenure's start on may lie; from a core tenure table and
+    ``activity.pull_spans``.
+
+    An actor's tenures meet the sorted times of each repository, not the single events, and the span is known by its bounds
+    (the start is after the span before, and up to its own last). So one row at most for a tenure and repository leaves the
+    join, however many events there are, and the join compares four times alone, in generated code.
     """
 
-    def within():
-        here = (F.col("min_d") <= F.col("last")) & (F.col("before").isNull() | (F.col("before") < F.col("min_d"))) & (F.col("first") <= F.col("max_d"))
-        at = F.when(F.col("first") >= F.col("min_d"), F.col("first")).otherwise(first_from(F.col("times"), F.col("min_d")))
-        return (F.col("focal_repo_id") != F.col("pr_repo_id")) & here & (at <= F.col("max_d"))
+    def here():
+        after = F.col("before").isNull() | (F.col("before") < F.col("min_d"))
+        return (F.col("focal_repo_id") != F.col("pr_repo_id")) & (F.col("min_d") <= F.col("last")) & after & (F.col("first") <= F.col("max_d"))
 
-    joined = balanced_join(spans, tenure, ["actor_id"], condition=within, left_salt=["pr_repo_id", "first"], right_salt=["focal_repo_id"], hot=hot)
-    return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id"), "actor_id")
+    joined = balanced_join(spans, tenure, ["actor_id"], condition=here, left_salt=["pr_repo_id", "first"], right_salt=["focal_repo_id"], hot=hot)
+    return joined.select("focal_repo_id", F.col("pr_repo_id").alias("repo_id"), "actor_id", "first", "times", "min_d", "max_d")
 
 
 def focal_refs_by_times(tenure: DataFrame, spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """(focal_repo_id, repo_id): the focal-reference set, of :func:`tenure_matches`."""
-    return tenure_matches(tenure, spans, hot).select("focal_repo_id", "repo_id").distinct()
+    """(focal_repo_id, repo_id): the focal-reference set. In the span of :func:`tenure_spans` the first time from the tenure's
+    start on is searched, and the pair counts if that is within the tenure. The search is part of the aggregate that makes
+    the pairs a set, so it stays out of the join."""
+    start = F.when(F.col("first") >= F.col("min_d"), F.col("first")).otherwise(first_from(F.col("times"), F.col("min_d")))
+    pairs = tenure_spans(tenure, spans, hot).groupBy("focal_repo_id", "repo_id").agg(F.bool_or(start <= F.col("max_d")).alias("within"))
+    return pairs.filter("within").select("focal_repo_id", "repo_id")
 
 
 def focal_refs(log: DataFrame, pull_log: DataFrame | None = None) -> DataFrame:

@@ -104,8 +104,8 @@ def test_a_bot_with_many_events_leaves_one_row_for_a_tenure_and_repository(spark
     push = spark.range(80).select((100 + F.expr("id div 2")).alias("repo_id"), F.lit("r").alias("repo_name"), F.lit(5).cast("long").alias("actor_id"), F.lit("PushEvent").alias("Type"), at(F.when(F.col("id") % 2 == 0, 0).otherwise(20_000_000) + F.col("id")).alias("created_at"))
     net = ReferenceNetwork(pulls.unionAll(push))
     assert net.pull_spans.count() > 9
-    matches = refs.tenure_matches(net.core_tenure, net.pull_spans, net.hot_actors)
-    assert matches.count() == 120 == net.focal_refs.count()
+    met = refs.tenure_spans(net.core_tenure, net.pull_spans, net.hot_actors)
+    assert met.count() == 120 == net.focal_refs.count()
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 64, 100])
