@@ -380,12 +380,29 @@ def test_chat(spark):
     got = chat.conversation_digest(frame)
     assert ordered(tuple(r)[:5] for r in got.collect()) == ordered(expected)
     assert chat.conversation_digest(frame.limit(0)).count() == 0
-    examples = chat.materialize(chat.expand(chat.format_conversations(frame.filter("conv_id = 1")))).orderBy("turn_no", "target").collect()
+    examples = chat.materialize(chat.format_conversations(frame.filter("conv_id = 1"))).orderBy("turn_no", "target").collect()
     assert len(examples) == 3 and examples[0]["context"] == "<|user|>\nhi<|end|>\n<|system|>\n<|end|>\n<|assistant|>\n" and "<" not in examples[0]["target"]
+    spread = chat.expand(chat.format_conversations(frame))
+    assert spread.columns == ["conv_id", "turn_no", "context_chars", "target"] and spread.count() == sum(t[2] == "assistant" for t in turns)
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_chat_of_very_many_turns(spark):
+    """The time for four times the turns of one conversation is a few times, not sixteen times, as long."""
+
+    def seconds(n):
+        turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é said "), F.col("id").cast("string"), F.lit(" <" * 20)).alias("text"))
+        began = time.perf_counter()
+        row = chat.conversation_digest(turns).collect()[0]
+        loss = "".join(f"é said {i}" + " <" * 20 for i in range(1, n, 2))
+        assert row["n_turns"] == n and row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(64_000) < 10 * max(0.5, seconds(16_000))
+
+
 def test_chat_escape_round_trip(spark):
     rng = random.Random(4)
     texts = ["".join(rng.choices("\\<l|b>p\n", k=rng.randint(0, 12))) for _ in range(300)]
