@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from refnet.session import work_dir
+
 #: Bytes of text that one step inside a task works on at a time (a longer single text is a step of its own).
 PIECE_BYTES = 4 << 20
 
@@ -38,19 +39,8 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``, the folder that the driver and all executors share.
-
-    Only a single-JVM ``local[...]`` session (tests) may leave the setting out; then a temp folder is taken, since
-    there one machine is the whole cluster. Anywhere else a missing setting is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="llm-work-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh path under ``spark.checkpoint.dir``, the folder that the driver and all executors share."""
+    return work_dir(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

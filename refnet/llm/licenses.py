@@ -3,7 +3,8 @@
 Every rolling word k-gram of every text is joined, as 64-bit hashes, to the places of the same k-gram in the templates. A
 match votes for its diagonal, the place in the text minus the place in the template. Votes are summed by diagonal, and
 neighbouring diagonals that follow each other in the text (words added or left out) are merged. A merged span is verified
-by the share of the template's words that its k-grams cover, and by its length. The fixed short phrases are templates of
+by the share of the template's words that its k-grams cover, and by its length. Of verified spans that overlap in a chain, as those
+of a licence and its variant with one word more do, the ones with the most words found stay. The fixed short phrases are templates of
 one k-gram, as long as the phrase, so each vote is a place where the phrase stands.
 
 The templates are a parameter of bounded size and are broadcast. Matches alone are shuffled, by text, once.
@@ -43,22 +44,57 @@ PHRASES = (
     Template("gpl", "general public license", True),
     Template("reserved", "all rights reserved", True),
 )
-# Opening sentences of public licences and the usual short notices.
+# Passages of public licences, an entry for each paragraph or clause, so that a part of a licence is found too.
 NOTICES = (
+    # MIT
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    Template("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    Template("mit", "Released under the MIT License"),
+    # ISC
+    Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    # BSD
+    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    Template("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    Template("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    Template("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    # zlib, Boost, Unlicense
+    Template("zlib", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software"),
+    Template("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    Template("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
+    Template("unlicense", "This is free and unencumbered software released into the public domain"),
+    # Apache
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     Template("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    Template("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License"),
+    Template("apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form"),
+    Template("apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work"),
+    # GNU
+    Template("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    Template("gpl", "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    Template("gpl", "The licenses for most software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program"),
+    Template("gpl", "When we speak of free software, we are referring to freedom, not price. Our General Public Licenses are designed to make sure that you have the freedom to distribute copies of free software (and charge for them if you wish), that you receive source code or can get it if you want it"),
+    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    Template("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    Template("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    Template("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    # Mozilla, Eclipse
+    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    Template("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    # Creative Commons
     Template("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    Template("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    Template("cc-by-nc-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
     Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
-    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    Template("gpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    Template("mit", "Released under the MIT License"),
-    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    Template("cc0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this work to the public domain worldwide"),
+    # Disclaimers that several licences share
     Template("no-warranty", "The software is provided as is, without warranty of any kind, express or implied"),
-    Template("unlicense", "This is free and unencumbered software released into the public domain"),
+    Template("no-warranty", "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    Template("no-warranty", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
+    Template("no-warranty", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"),
 )
 
 
@@ -145,6 +181,15 @@ def scan_licenses(
     found = F.col("template") >= 0
     phrase = found & F.col("phrase")
     verified = found & ~F.col("phrase") & (F.col("cover") >= min_cover) & (F.col("end") - F.col("first") <= 2 * F.col("size"))
+    # Verified spans that overlap, one after another, are a chain.
+    order = Window.partitionBy("_row").orderBy("first", "end", "template", "span")
+    reach = F.max(F.when(verified, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    chain = F.sum((verified & (reach.isNull() | (F.col("first") >= reach))).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    words = F.round(F.col("cover") * F.col("size"))
+    ranked = merged.withColumn("_verified", verified).withColumn("_chain", chain)
+    most = F.max(F.when(F.col("_verified"), words)).over(Window.partitionBy("_row", "_chain"))
+    merged = ranked.withColumn("_kept", F.col("_verified") & (words >= most))
+    verified = F.col("_kept")
     labels = lambda which: F.array_sort(F.collect_set(F.when(which, F.col("label"))))
     return (
         merged.groupBy("_row")

@@ -605,3 +605,64 @@ def test_languages_against_a_plain_version(spark):
     assert len(protos) >= 2
     for i, name, score in expect:
         assert got[i]["lang_pred"] == name and abs(got[i]["score"] - score) < 1e-5, (i, name, score, got[i])
+
+
+def brute_licenses(text, templates=licenses.PHRASES + licenses.NOTICES, drift=3, gap=4, min_cover=0.75):
+    """(labels, score) by looking at every diagonal of every template."""
+    words_, spans, labels, score = brute.words(text), [], set(), 0.0
+    for t in templates:
+        own = brute.words(t.text)
+        k = len(own) if t.phrase else min(licenses.GRAM, len(own))
+        votes = {}
+        for at in range(len(words_) - k + 1):
+            for place in range(len(own) - k + 1):
+                if words_[at : at + k] == own[place : place + k]:
+                    votes.setdefault(at - place, []).append((at, place))
+        lines = sorted((min(a for a, _ in v), d, max(a for a, _ in v) + k, {p + i for _, p in v for i in range(k)}) for d, v in votes.items())
+        groups, before, reach = [], None, None
+        for first, d, end, cover in lines:
+            if before is None or t.phrase or abs(d - before) > drift or first - reach > gap:
+                groups.append([first, end, set(cover)])
+            else:
+                groups[-1][1] = max(groups[-1][1], end)
+                groups[-1][2] |= cover
+            before, reach = d, end if reach is None else max(reach, end)
+        for first, end, cover in groups:
+            score = max(score, min(1.0, len(cover) / len(own)))
+            if t.phrase:
+                labels.add(t.label)
+            elif len(cover) >= min_cover * len(own) and end - first <= 2 * len(own):
+                spans.append((first, end, len(cover), t.label))
+    spans.sort()
+    chain, reach = [], None
+    for s in [*spans, (float("inf"), 0, 0, "")]:
+        if reach is not None and s[0] >= reach:
+            labels |= {x[3] for x in chain if x[2] == max(y[2] for y in chain)}
+            chain, reach = [], None
+        chain.append(s)
+        reach = s[1] if reach is None else max(reach, s[1])
+    return sorted(labels), score
+
+
+def test_license_labels_and_scores_against_brute_force(spark):
+    """Whole licences, parts, variants, words added, left out and changed."""
+    rng = random.Random(12)
+    texts = [None, "", *TEXTS[:8], *(t.text for t in licenses.NOTICES)]
+    for t in licenses.NOTICES:
+        own = t.text.split()
+        texts.append(" ".join([*rng.choices("some other words around it".split(), k=5), *own, *rng.choices("and more".split(), k=3)]))
+        changed = list(own)
+        changed[rng.randrange(len(own))] = "changed"
+        texts.append(" ".join(changed))
+        texts.append(" ".join(w for i, w in enumerate(own) if i != len(own) // 2))
+        texts.append(" ".join([*own[: len(own) // 2], "one", "two", *own[len(own) // 2 :]]))
+    texts.append(" ".join(t.text for t in licenses.NOTICES if t.label == "bsd"))
+    texts.append("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation")
+    texts.append(texts[-1].replace("Lesser", "Affero") + " all rights reserved")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame, ["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        labels, score = brute_licenses(t)
+        assert got[i]["labels"] == labels and abs(got[i]["score"] - score) < 1e-12, (i, t, got[i], labels, score)
+    # The phrase has the label gpl, too; the notice of the other licence, of one word less, has not.
+    assert got[len(texts) - 2]["labels"] == ["gpl", "lgpl"] and got[len(texts) - 1]["labels"] == ["agpl", "gpl", "reserved"]
