@@ -15,6 +15,7 @@ from refnet.operators import activity, cites, core, disrupt, normalize, refs
 from refnet.plans import reduce
 from refnet.plans.handoff import Store
 from refnet.plans.network import STAGES, ReferenceNetwork, run_network, stage_counts
+from refnet.plans.views import register_functions, sql_repo_profile
 from refnet.session import work_dir
 from refnet.sources.fixture import raw_log
 
@@ -282,3 +283,21 @@ def test_no_python_worker(spark):
     net = ReferenceNetwork(golden_raw(spark))
     for name in STAGES:
         assert "Python" not in getattr(net, name)._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_stages_as_table_functions(spark, written_log):
+    """With and without a repository, and in the body of another function."""
+    net = ReferenceNetwork(written_log)
+    names = register_functions(spark, {n: getattr(net, n) for n in ("focal_refs", "citation_edges", "actual_i_edges")}, "t_")
+    assert names == ["t_focal_refs", "t_citation_edges", "t_actual_i_edges"]
+    assert rows(spark.sql("SELECT * FROM t_focal_refs()")) == rows(net.focal_refs)
+    one = net.focal_refs.agg(F.min("focal_repo_id")).first()[0]
+    assert rows(spark.sql(f"SELECT repo_id FROM t_focal_refs({one})")) == rows(net.focal_refs.filter(F.col("focal_repo_id") == one).select("repo_id"))
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION t_both(r BIGINT) RETURNS TABLE (n BIGINT) RETURN SELECT count(*) FROM t_focal_refs() f JOIN t_citation_edges() c ON c.focal_repo_id = f.repo_id WHERE f.focal_repo_id = r")
+    cited = {}
+    for r in net.citation_edges.collect():
+        cited[r["focal_repo_id"]] = cited.get(r["focal_repo_id"], 0) + 1
+    expect = sum(cited.get(r["repo_id"], 0) for r in net.focal_refs.collect() if r["focal_repo_id"] == one)
+    assert spark.sql(f"SELECT n FROM t_both({one})").first()[0] == expect
+    profile = {r["focal_repo_id"]: r for r in sql_repo_profile(spark, "t_").collect()}
+    assert len(profile) == net.focal_counts.count() and all(p["citing_sources"] >= p["outside"] for p in profile.values())
