@@ -59,7 +59,7 @@ def joined_words(texts: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.nda
     after = np.zeros(len(data), bool)
     after[1:] = inside[:-1] & ~inside[1:]
     keep = inside | after
-    place = np.cumsum(keep) - 1
+    place = np.cumsum(keep, dtype=np.int32 if len(data) < 1 << 31 else np.int64) - 1
     joined = np.where(inside, _LOWER[data], np.uint8(32))[keep]
     starts = np.flatnonzero(first)
     return joined.tobytes(), place[starts], place[np.flatnonzero(last)] + 1, np.searchsorted(starts, at)
