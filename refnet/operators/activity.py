@@ -5,8 +5,10 @@ feed sets alone, only the repository, the actor and the second stand, so that co
 column moves. What is left is added up by repository and actor:
 
 * kind 1, pushes: how many, the first and the last;
-* kind 2, pull requests: the sorted distinct times, a row for each span of ``SPAN_DAYS`` days, so an array has at most one time
-  for each second of a span (4.3 million), whatever an actor does. A time that doesn't parse has no span and no entry.
+* kind 2, pull requests: a row for each second (null for a time that doesn't parse).
+
+The pull requests that a stage needs are then put into sorted arrays, one for each repository, actor and span of ``SPAN_DAYS``
+days, so an array has at most one time for each second of a span (4.3 million), whatever an actor does.
 
 With ``every`` all event types are de-duplicated as whole rows and the rest is counted too, as kind 0; then the sum of ``n``
 is the size of the normalised log.
@@ -47,18 +49,17 @@ def _narrow(raw: DataFrame) -> DataFrame:
 
 
 def activity(raw: DataFrame, dedup_keys: Sequence[str] | None = None, every: bool = False) -> DataFrame:
-    """(repo_id, actor_id, n, first, last, times, kind) from the raw log; nulls are kept."""
+    """(repo_id, actor_id, n, first, last, kind) from the raw log; nulls are kept. A pull request's time is its first and last."""
     rows = dedup_raw(raw, dedup_keys) if every or dedup_keys else dedup_raw(_narrow(raw))
     kinds = rows.select(_kind().alias("kind"), "repo_id", "actor_id", parse_created_at("created_at").alias("at"))
-    kinds = kinds if every else kinds.filter(F.col("kind") != OTHER)
     if every:
         known = F.col("kind") != OTHER
-        kinds = kinds.select("kind", F.when(known, F.col("repo_id")).alias("repo_id"), F.when(known, F.col("actor_id")).alias("actor_id"), F.when(known, F.col("at")).alias("at"))
-    pull = F.col("kind") == PULLS
-    span = F.when(pull, F.floor(F.datediff(F.col("at").cast("date"), F.lit("1970-01-01").cast("date")) / SPAN_DAYS)).cast("int")
-    groups = kinds.groupBy("kind", "repo_id", "actor_id", span.alias("span"))
-    found = groups.agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"), F.array_sort(F.collect_set(F.when(pull, F.col("at")))).alias("times"))
-    return found.select("repo_id", "actor_id", "n", "first", "last", "times", "kind")
+        kinds = kinds.select("kind", *(F.when(known, F.col(c)).alias(c) for c in ("repo_id", "actor_id", "at")))
+    else:
+        kinds = kinds.filter(F.col("kind") != OTHER)
+    second = F.when(F.col("kind") == PULLS, F.col("at")).alias("second")
+    found = kinds.groupBy("kind", "repo_id", "actor_id", second).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+    return found.select("repo_id", "actor_id", "n", "first", "last", "kind")
 
 
 def pushes(table: DataFrame) -> DataFrame:
@@ -73,16 +74,17 @@ def pull_pairs(table: DataFrame) -> DataFrame:
 
 
 def pull_rows(table: DataFrame) -> DataFrame:
-    """(repo_id, actor_id, first, last, times): the spans of pull-request times that can match a tenure."""
-    own = table.filter((F.col("kind") == PULLS) & F.col("first").isNotNull()).dropna(subset=["repo_id", "actor_id"])
-    return own.select("repo_id", "actor_id", "first", "last", "times")
+    """(repo_id, actor_id, at): the distinct pull requests that can match a tenure (no null part)."""
+    return table.filter(F.col("kind") == PULLS).select("repo_id", "actor_id", F.col("first").alias("at")).dropna()
 
 
 def pull_spans(rows: DataFrame) -> DataFrame:
-    """(pr_repo_id, actor_id, first, last, times, before) from :func:`pull_rows`: ``before`` is the last time of the span
-    before, null in the first."""
+    """(pr_repo_id, actor_id, first, last, times, before) from :func:`pull_rows`: the sorted times of a span, and the last time
+    of the span before, null in the first."""
+    span = F.floor(F.datediff(F.col("at").cast("date"), F.lit("1970-01-01").cast("date")) / SPAN_DAYS).cast("int")
+    spans = rows.groupBy("repo_id", "actor_id", span.alias("span")).agg(F.min("at").alias("first"), F.max("at").alias("last"), F.array_sort(F.collect_list("at")).alias("times"))
     order = Window.partitionBy("actor_id", "repo_id").orderBy("first")
-    return rows.select(F.col("repo_id").alias("pr_repo_id"), "actor_id", "first", "last", "times", F.lag("last").over(order).alias("before"))
+    return spans.select(F.col("repo_id").alias("pr_repo_id"), "actor_id", "first", "last", "times", F.lag("last").over(order).alias("before"))
 
 
 def first_from(times: Column, at: Column) -> Column:

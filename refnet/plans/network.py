@@ -162,7 +162,7 @@ class ReferenceNetwork:
     @cached_property
     def pull_spans(self) -> DataFrame:
         own = activity.pull_rows(self.activity)
-        return activity.pull_spans(self._of_core(own, ["repo_id", "first"]))
+        return activity.pull_spans(self._of_core(own, ["repo_id", "at"]))
 
     @cached_property
     def _focal_refs(self) -> DataFrame:

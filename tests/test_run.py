@@ -61,8 +61,9 @@ def test_activity_agrees_with_the_stages_by_definition(spark, written_log):
     table = activity.activity(written_log).cache()
     assert rows(activity.pushes(table)) == rows(core.push_activity(log))
     assert rows(activity.pull_pairs(table)) == rows(cites.distinct_pull_pairs(log))
-    times = activity.pull_rows(table).select(F.col("repo_id").alias("pr_repo_id"), "actor_id", F.explode("times").alias("pr_at"))
-    assert rows(times) == rows(refs.pull_times(log))
+    assert rows(activity.pull_rows(table)) == rows(refs.pull_times(log).select("pr_repo_id", "actor_id", "pr_at"))
+    spans = activity.pull_spans(activity.pull_rows(table))
+    assert rows(spans.select("pr_repo_id", "actor_id", F.explode("times").alias("pr_at"))) == rows(refs.pull_times(log)) and spans.filter("last <= before or first <= before").count() == 0
     every = activity.activity(written_log, every=True).cache()
     assert every.agg(F.sum("n")).first()[0] == log.count()
     assert rows(activity.pushes(every)) == rows(activity.pushes(table)) and rows(activity.pull_pairs(every)) == rows(activity.pull_pairs(table))
