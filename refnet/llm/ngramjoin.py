@@ -6,11 +6,12 @@ the sum, over the groups, of the smaller count. An R-tree over points keeps the
 smallest and largest set size below each node, so the same sum over two nodes bounds the overlap of all pairs below them.
 
 Blocks keep the trees small and dealt out (a large one by pairs of its parts): sets of similarity t or more share one of their first ``n - ceil(t n) + 1``
-hashes in any common order. The order puts frequent hashes last (counted over all documents in a table of fixed size) and
-goes by the hash elsewhere, so a passage that many documents share makes no block. The components are found in rounds:
+hashes in any common order. The order puts frequent hashes last (counted over all documents in a table that grows with their
+number) and goes by the hash elsewhere, so a passage that many documents share makes no block. The components are found in
+rounds:
 
-1. Each class and the first class of its blocks, if many blocks say so, are verified against the texts' sets.
-   Large groups of near copies become components by it, from a few pairs for each member.
+1. Each class and the first class of its blocks, if many blocks say so and the bound of their points allows it, are verified
+   against the texts' sets. Large groups of near copies become components by it, from a few pairs for each member.
 2. In a part of the blocks, by hash, whose members are still in different components, R-trees are joined with themselves,
    and each class's partner of the largest bound in another component is verified, a pair at most for each member of a
    block; then in another part. This only leaves less to round 3.
@@ -18,9 +19,13 @@ goes by the hash elsewhere, so a passage that many documents share makes no bloc
    within one are never listed.
 
 A class without a class of similar size in a block leaves it. Sets are computed anew from a text of each class in question
-(a Bloom filter of fixed size picks the texts, the join decides), and compared hash by hash. Tables between the steps
+(a Bloom filter sized by their number picks the texts, the join decides), and compared hash by hash. Tables between the steps
 are written to the shared folder.
 
+A block that holds at least a ``shares``-th of all rows (so ``shares`` blocks at most, twice the number of shuffle partitions)
+never meets in one task: its sizes, labels and chunks come from aggregates by (block, size) and (block, label), and its members
+are dealt to chunks by hash. Other blocks are ranked by windows.
+
 Defined results: null text and text without words have size 0 and are their own component; a text of fewer than ``k``
 words has the whole sequence as its one n-gram, which differs from every longer n-gram; null ids are never a component's
 name while it has another; rows that repeat an id are documents each; other columns are ignored.
@@ -39,18 +44,25 @@ from pyspark.sql import functions as F
 from refnet.llm.common import pieces, stored, utf8
 from refnet.llm.components import components
 from refnet.llm.words import NON_SPACE, mix, ngram_hashes, word_hashes
+from refnet.plans.skew import balanced_join, hot_keys
 
 K, PERCENT = 4, 85
-BUCKETS = 1 << 22  # of the count table
+BUCKETS = (1 << 22, 1 << 24)  # of the count table, 16 a document within these
 OFTEN, LEAST_OFTEN = 8, 32  # a bucket is frequent with so many times the mean, and so many at least
-FILTER_BITS = 1 << 26
+FILTER_BITS = (1 << 20, 1 << 28)  # of the filter, 16 a text within these; beyond, it lets more texts through
 LEAF = 16
 MOST_GROUPS = 1024
 BEST_ROUNDS, PARTS = 3, 8
 CHUNK = 1024  # members of a block that one side of a cell holds
+LEAST_CHUNK = 64  # of a block that holds much of the rows of a small table
 BUFFER = 1 << 16  # pairs that a task holds before they leave
 
 
+def power_of_two(n: int, bounds: tuple[int, int]) -> int:
+    """The least power of two from ``n`` on, within ``bounds``."""
+    return min(max(1 << max(0, n - 1).bit_length(), bounds[0]), bounds[1])
+
+
 def sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """The sorted set of each row, a slice of rows at a time."""
     for part in pieces(batches, "_utf8", 1 << 20):
@@ -93,25 +105,26 @@ def frequent_buckets(docs: DataFrame, k: int) -> np.ndarray:
 
     A task reports its buckets of half the frequency; what it leaves out of a bucket is less than the other half.
     """
+    buckets = power_of_two(16 * docs.count(), BUCKETS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(buckets, np.int64)
         for part in pieces(batches, "_utf8"):
             words, at = word_hashes(part.column("_utf8"), NON_SPACE)
             inside = np.ones(max(0, len(words) - k + 1), bool)
             for i in range(1, k):  # an n-gram that starts in the last words of a text reaches over its end
                 ends = at[1:] - i
                 inside[ends[(ends >= 0) & (ends < len(inside))]] = False
-            total += np.bincount((ngram_hashes(words, k)[inside] & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        mean = total.sum() / BUCKETS
+            total += np.bincount((ngram_hashes(words, k)[inside] & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+        mean = total.sum() / buckets
         often = np.flatnonzero(total >= max(2, OFTEN / 2 * mean))
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, often]), pa.array(np.r_[total.sum(), total[often]])], names=["bucket", "n"])
 
     counts = stored(docs.select(utf8("text").alias("_utf8")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "buckets")
     total = (counts.filter("bucket = -1").first() or {"n": 0})["n"]
-    least = max(LEAST_OFTEN, OFTEN / 2 * total / BUCKETS)  # so at most BUCKETS * 2 / OFTEN rows follow
-    found = np.zeros(BUCKETS, bool)
-    found[[r["bucket"] for r in counts.filter((F.col("bucket") >= 0) & (F.col("n") >= least)).select("bucket").collect()]] = True
+    least = max(LEAST_OFTEN, OFTEN / 2 * total / buckets)  # so at most buckets * 2 / OFTEN rows follow
+    found = np.zeros(buckets, bool)
+    found[counts.filter((F.col("bucket") >= 0) & (F.col("n") >= least)).select("bucket").toArrow().column(0).to_numpy()] = True
     return found
 
 
@@ -128,7 +141,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 if not len(own):
                     classes.append(None), prefixes.append(None), points.append(None)
                     continue
-                last = frequent[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
+                last = frequent[(own & np.uint64(len(frequent) - 1)).astype(np.int64)]
                 first = np.r_[own[~last], own[last]][: prefix_size(len(own), percent)]
                 classes.append(class_of(own)), prefixes.append(first.view(np.int64)), points.append(zlib.compress(point(own).tobytes(), 1))
             yield pa.RecordBatch.from_arrays(
@@ -140,30 +153,62 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return kept.mapInArrow(sign, f"doc_id {kind}, text_hash long, n long, class long, prefix array<long>, point binary")
 
 
-def bloom_positions(values: np.ndarray) -> list[np.ndarray]:
+def bloom_positions(values: np.ndarray, bits: int) -> list[np.ndarray]:
     h = mix(values.view(np.uint64))
-    return [((h >> np.uint64(s)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for s in (0, 26, 13)]
+    return [((h >> np.uint64(s)) & np.uint64(bits - 1)).astype(np.int64) for s in (0, 18, 36)]
 
 
-def bloom(values: DataFrame) -> np.ndarray:
-    """A filter of FILTER_BITS bits that lets every value of the column through, and few others while they are few."""
+def bloom(values: DataFrame, n: int) -> np.ndarray:
+    """The words of a filter that lets each of the column's ``n`` values through, and few others while its bits are eight a
+    value."""
+    size = power_of_two(16 * n, FILTER_BITS)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            at = np.concatenate(bloom_positions(part.column(0).to_numpy()))
+            at = np.concatenate(bloom_positions(part.column(0).to_numpy(), size))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
 
-    words = values.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect()  # FILTER_BITS / 64 at most
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[[r["word"] for r in words]] = [r["bits"] for r in words]
+    words = values.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # FILTER_BITS / 64 at most
+    out = np.zeros(size // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
-def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+class Pairs:
+    """Pairs (a, b) of classes, a stored table, and what belongs to both: a class of very many pairs is dealt over tasks."""
+
+    def __init__(self, pairs: DataFrame):
+        self.pairs = pairs
+        self.hot = {side: hot_keys(pairs, None, [side]) for side in ("a", "b")}
+
+    def with_both(self, of: DataFrame) -> DataFrame:
+        """The pairs with the other columns of ``of`` (by ``class``, unique) for a and b, as ``a_`` and ``b_`` before the names."""
+        found = self.pairs
+        for side, other in (("a", "b"), ("b", "a")):
+            own = of.select(F.col("class").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in of.columns if c != "class"))
+            found = balanced_join(found, own, [side], "left", left_salt=[other], hot=self.hot[side])
+        return found
+
+
+def bounded(pairs: Pairs, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their points (class, n, point) allow."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            two = lambda c: [x for both in zip(batch.column(f"a_{c}").to_pylist(), batch.column(f"b_{c}").to_pylist(), strict=True) for x in both]  # noqa: B023, E731
+            m = batch.num_rows
+            first = small_pairs(np.repeat(np.arange(m), 2), np.arange(2 * m), np.array(two("n"), np.int64), [zlib.decompress(p) for p in two("point")], percent)[0] if m else []
+            yield batch.select(["a", "b"]).take(pa.array(np.unique(np.asarray(first, np.int64) // 2)))
+
+    return pairs.with_both(points).mapInArrow(bound, "a long, b long")
+
+
+def verified(docs: DataFrame, signed: DataFrame, pairs: Pairs, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their whole sets."""
-    wanted = pairs.select(F.col("a").alias("_class")).union(pairs.select("b")).distinct()
+    wanted = pairs.pairs.select(F.col("a").alias("_class")).union(pairs.pairs.select("b")).distinct()
     texts = signed.groupBy("class").agg(F.min("text_hash").alias("text_hash")).join(wanted, F.col("class") == F.col("_class"), "left_semi")
-    filter_ = docs.sparkSession.sparkContext.broadcast(bloom(texts.select("text_hash")))
+    texts = stored(texts, "texts")
+    filter_ = docs.sparkSession.sparkContext.broadcast(bloom(texts.select("text_hash"), texts.count()))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = filter_.value
@@ -171,7 +216,7 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, k: int, perce
         def some() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hit = np.ones(batch.num_rows, bool)
-                for at in bloom_positions(batch.column("text_hash").to_numpy()):
+                for at in bloom_positions(batch.column("text_hash").to_numpy(), 64 * len(words)):
                     hit &= (words[at >> 6] >> (at & 63)) & 1 == 1
                 for a in range(0, batch.num_rows, 1000):
                     yield batch.slice(a, 1000).filter(pa.array(hit[a : a + 1000]))
@@ -180,12 +225,11 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, k: int, perce
             own = {class_of(s): s for s in found if len(s)}
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64()), pa.array([s.view(np.int64) for s in own.values()], pa.list_(pa.int64()))], names=["class", "hashes"])
 
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), utf8("text").alias("_utf8"))
-    own = stored(texts.mapInArrow(pick, "class long, hashes array<long>").dropDuplicates(["class"]), "sets")
-    left = own.select(F.col("class").alias("a"), F.col("hashes").alias("_left"))
-    right = own.select(F.col("class").alias("b"), F.col("hashes").alias("_right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("_both", F.size(F.array_intersect("_left", "_right")).cast("long"))
-    return both.filter(100 * F.col("_both") >= percent * (F.size("_left") + F.size("_right") - F.col("_both"))).select("a", "b")
+    every = docs.select(F.xxhash64("text").alias("text_hash"), utf8("text").alias("_utf8"))
+    own = every.mapInArrow(pick, "class long, hashes array<long>").dropDuplicates(["class"])
+    own = stored(own.join(texts.select("class"), "class", "left_semi"), "sets")
+    both = pairs.with_both(own).withColumn("_both", F.size(F.array_intersect("a_hashes", "b_hashes")).cast("long"))
+    return both.filter(100 * F.col("_both") >= percent * (F.size("a_hashes") + F.size("b_hashes") - F.col("_both"))).select("a", "b")
 
 
 class RTree:
@@ -322,16 +366,19 @@ def in_parts(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], best: b
         yield best_of(*whole) if best else whole
 
 
-def dealt(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The rows of blocks (with ``_rank``, ``_from``, ``_same`` and ``_count`` of apart) by cell (token, i, j): members of a
-    block stand in chunks by rank, and a cell has the members of two chunks, or of one (i = j). So every pair of members
-    is in one cell, but for pairs of chunks that hold one known component alone, which are left out."""
+def chunked(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The rows of blocks (of apart) with their chunk by rank, their block's last chunk, and the chunks from ``_low`` to before
+    ``_high`` that hold the row's component alone."""
     of = lambda rank: F.floor(rank / F.lit(chunk)).cast("int")
     last = of(F.col("_count") - 1)
-    # The chunks from _low to before _high hold the row's component alone.
-    rows = blocks.withColumns(
-        {"_chunk": of(F.col("_rank")), "_last": last, "_low": of(F.col("_from") + chunk - 1), "_high": F.when(F.col("_from") + F.col("_same") == F.col("_count"), last + 1).otherwise(of(F.col("_from") + F.col("_same")))}
-    )
+    to = F.col("_from") + F.col("_same")
+    places = {"_chunk": of(F.col("_rank")), "_last": last, "_low": of(F.col("_from") + chunk - 1), "_high": F.when(to == F.col("_count"), last + 1).otherwise(of(to))}
+    return blocks.withColumns(places).drop("_rank", "_from", "_same", "_count")
+
+
+def in_cells(rows: DataFrame) -> DataFrame:
+    """The rows of blocks (of chunked) by cell (token, i, j): a cell has the members of two chunks, or of one (i = j). So every
+    pair of members is in one cell, but for pairs of chunks that hold one known component alone, which are left out."""
     inside = (F.col("_chunk") >= F.col("_low")) & (F.col("_chunk") < F.col("_high"))
     others = F.filter(F.sequence(F.lit(0), F.col("_last")), lambda c: ~(inside & (c >= F.col("_low")) & (c < F.col("_high"))))
     cells = rows.withColumn("_other", F.explode(F.when(F.col("_last") == 0, F.array(F.lit(0))).otherwise(others)))
@@ -340,10 +387,19 @@ def dealt(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
     )
 
 
+def dealt(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The rows of blocks (of apart, with their points) by cell."""
+    return in_cells(chunked(blocks, chunk))
+
+
 def candidate_pairs(blocks: DataFrame, percent: int, best: bool, chunk: int = CHUNK) -> DataFrame:
-    """(a, b) over all blocks (those of apart with their points), each cell of ``dealt`` in one task, one after another;
-    only each member's best partner in the cell if ``best``."""
-    spread = dealt(blocks, chunk).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    """:func:`pairs_of_cells` over all blocks (those of apart with their points)."""
+    return pairs_of_cells(dealt(blocks, chunk), percent, best)
+
+
+def pairs_of_cells(cells: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b) over all cells, each in one task, one after another; only each member's best partner in the cell if ``best``."""
+    spread = cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -421,11 +477,67 @@ def close_in_size(percent: int) -> Column:
     return F.coalesce(100 * before >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * after, F.lit(False))
 
 
+def hot_tokens(tokens: DataFrame, shares: int | None = None) -> DataFrame:
+    """(token): all with at least ``1 / shares`` of the rows, perhaps some others, ``shares`` at most. Buckets of tokens are
+    counted first, so that hardly anything is shuffled."""
+    shares = shares or 2 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = tokens.select("token", F.pmod(F.xxhash64("token"), F.lit(16 * shares)).alias("_bucket"))
+    buckets = hot_keys(bucketed, None, ["_bucket"], shares).select("_bucket")
+    if buckets.isEmpty():
+        return tokens.sparkSession.createDataFrame([], "token long")
+    return hot_keys(bucketed.join(F.broadcast(buckets), "_bucket", "left_semi"), None, ["token"], shares).select("token")
+
+
+def near_blocks(tokens: DataFrame, percent: int) -> DataFrame:
+    """(token, class, n, first, first_n): the rows with a class of similar size in their block, and its first such class."""
+    near = tokens.withColumn("_near", close_in_size(percent)).filter("_near")
+    first = F.min(F.struct("class", "n")).over(Window.partitionBy("token"))
+    return near.withColumn("_first", first).select("token", "class", "n", F.col("_first.class").alias("first"), F.col("_first.n").alias("first_n"))
+
+
+def near_in_hot_blocks(tokens: DataFrame, percent: int) -> DataFrame:
+    """As near_blocks for hot tokens, from each block's distinct sizes."""
+    sizes = tokens.groupBy("token", "n").agg(F.count(F.lit(1)).alias("_members"), F.min("class").alias("_least"))
+    order = Window.partitionBy("token").orderBy("n")
+    before, after = F.lag("n").over(order), F.lead("n").over(order)
+    close = (F.col("_members") > 1) | F.coalesce(100 * before >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * after, F.lit(False))
+    near = sizes.withColumn("_near", close).filter("_near")
+    first = near.groupBy("token").agg(F.min(F.struct(F.col("_least").alias("class"), "n")).alias("_first"))  # a row for a hot token
+    sized = near.join(F.broadcast(first), "token").select("token", "n", F.col("_first.class").alias("first"), F.col("_first.n").alias("first_n"))
+    found = balanced_join(tokens, sized, ["token", "n"], "left", left_salt=["class"])
+    return found.filter(F.col("first").isNotNull()).select("token", "class", "n", "first", "first_n")
+
+
+def labelled(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (token, class, n, label) of blocks; a class without a label is its own."""
+    return blocks.join(labels.withColumnRenamed("node", "_node"), F.col("class") == F.col("_node"), "left").select("token", "class", "n", F.coalesce("label", "class").alias("label"))
+
+
+def hot_apart(blocks: DataFrame, labels: DataFrame, chunk: int) -> DataFrame:
+    """As chunked(apart) for hot tokens: a label with over a quarter of ``chunk`` rows has chunks of its own, its rows dealt by
+    their hash; others are dealt whole, by the label's hash, to as many chunks as their rows ask for."""
+    named = stored(labelled(blocks, labels), "hot-blocks")
+    each = stored(named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_same")), "hot-labels")
+    chunks = lambda n: F.ceil(n / F.lit(chunk)).cast("int")
+    large = F.col("_same") > chunk // 4
+    # A row for a hot token: few by proof.
+    totals = each.groupBy("token").agg(F.count(F.lit(1)).alias("_labels"), chunks(F.sum(F.when(large, 0).otherwise(F.col("_same")))).alias("_mixed"), F.sum(F.when(large, chunks(F.col("_same")))).alias("_owned"))
+    totals = totals.filter("_labels > 1").select("token", "_mixed", (F.col("_mixed") + F.coalesce("_owned", F.lit(0)) - 1).cast("int").alias("_last"))
+    before = F.coalesce(F.sum("_own").over(Window.partitionBy("token").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = each.filter(large).join(F.broadcast(totals), "token").withColumn("_own", chunks(F.col("_same")))
+    own = own.select("token", "label", "_own", (F.col("_mixed") + before).cast("int").alias("_start"))
+    rows = balanced_join(named, own, ["token", "label"], "left", left_salt=["class"]).join(F.broadcast(totals), "token")
+    place = lambda column, n: F.pmod(F.xxhash64(column), n).cast("int")
+    at = F.when(F.col("_start").isNotNull(), F.col("_start") + place("class", F.col("_own"))).otherwise(place("label", F.greatest(F.col("_mixed"), F.lit(1))))
+    low = F.coalesce("_start", F.lit(0))
+    return rows.select("token", "class", "n", "label", at.alias("_chunk"), "_last", low.alias("_low"), (low + F.coalesce("_own", F.lit(0))).alias("_high"))
+
+
 def apart(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """The rows (token, class, n, label) of blocks with more than one component, with their rank by label in the block, the
     first rank of their label, and how many rows their label and the block have."""
     block, alike, order = Window.partitionBy("token"), Window.partitionBy("token", "label"), Window.partitionBy("token").orderBy("label", "class")
-    named = blocks.join(labels.withColumnRenamed("node", "_node"), F.col("class") == F.col("_node"), "left").select("token", "class", "n", F.coalesce("label", "class").alias("label"))
+    named = labelled(blocks, labels)
     counted = named.withColumn("_rank", F.row_number().over(order) - 1).withColumn("_same", F.count("*").over(alike)).withColumn("_count", F.count("*").over(block))
     first = F.rank().over(Window.partitionBy("token").orderBy("label")) - 1
     return counted.withColumn("_from", first).filter("_same < _count")
@@ -447,19 +559,25 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     one id apart, label components whose ids don't (null for an empty set)."""
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, k, percent), "signatures")
-    classes = signed.filter("class is not null").dropDuplicates(["class"])
+    classes = stored(signed.filter("class is not null").dropDuplicates(["class"]).select("class", "n", "prefix", "point"), "classes")
 
     tokens = classes.select("class", "n", F.explode("prefix").alias("token"))
-    near = tokens.withColumn("_near", close_in_size(percent)).filter("_near")
-    first = F.min(F.struct("class", "n")).over(Window.partitionBy("token"))
-    shared = near.withColumn("_first", first)
-    blocks = stored(shared.select("token", "class", "n", F.col("_first.class").alias("first"), F.col("_first.n").alias("first_n")), "blocks")
+    hot = hot_tokens(tokens)
+    some_hot = not hot.isEmpty()
+    of_hot = lambda rows, how: rows.join(F.broadcast(hot), "token", how) if some_hot else rows
+    near = near_blocks(of_hot(tokens, "left_anti"), percent)
+    if some_hot:
+        near = near.union(near_in_hot_blocks(of_hot(tokens, "left_semi"), percent))
+    blocks = stored(near, "blocks")
+    shares = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = min(CHUNK, max(LEAST_CHUNK, blocks.count() // shares))  # of a hot block
 
     # Round 1: a class and the first of its blocks, where a quarter of its prefix says so.
     alike = (F.col("class") != F.col("first")) & (100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n"))
     votes = blocks.filter(alike).groupBy("class", "first").agg(F.count("*").alias("votes"), F.max("n").alias("n"))
     likely = votes.filter(400 * F.col("votes") >= (100 - percent) * F.col("n"))
-    pairs = stored(likely.select(F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b")).distinct(), "pairs")
+    pairs = Pairs(stored(likely.select(F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b")).distinct(), "pairs"))
+    pairs = Pairs(stored(bounded(pairs, classes.select("class", "n", "point"), percent), "pairs"))
     links = stored(verified(docs, signed, pairs, k, percent), "links")
     labels = components(links, "components")
 
@@ -468,17 +586,22 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     for part in (*range(BEST_ROUNDS), None):
         best = part is not None
         some = blocks.filter(F.pmod(F.xxhash64("token"), F.lit(PARTS)) == part) if best else blocks
-        rest = apart(some, labels, percent).join(points, F.col("class") == F.col("_class"))
-        pairs = stored(candidate_pairs(rest, percent, best), "pairs")
-        if pairs.isEmpty():
+        rest = chunked(apart(of_hot(some, "left_anti"), labels, percent))
+        if some_hot:
+            rest = rest.unionByName(hot_apart(of_hot(some, "left_semi"), labels, chunk))
+        rest = rest.join(points, F.col("class") == F.col("_class"))
+        found = stored(pairs_of_cells(in_cells(rest), percent, best), "pairs")
+        if found.isEmpty():
             continue
-        more = stored(verified(docs, signed, pairs, k, percent), "links")
+        more = stored(verified(docs, signed, Pairs(found), k, percent), "links")
         labels = labels if more.isEmpty() else merged(labels, more)
 
     # The smallest id of every component.
     ids = signed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("id"))
     ids = ids.join(labels, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("label", "class").alias("label"))
     least = ids.groupBy("label").agg(F.min("id").alias("component_id"))
-    of = stored(ids.join(least, "label").select(F.col("class").alias("_class"), "component_id", "label"), "classes")
-    found = signed.select("doc_id", "text_hash", "n", "class").join(of, F.col("class") == F.col("_class"), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "label")
+    of = stored(ids.join(least, "label").select("class", "component_id", "label"), "components-of")
+    rows = signed.select("doc_id", "text_hash", "n", "class")
+    joined = balanced_join(rows.filter("class is not null"), of, ["class"], "left", left_salt=["doc_id", "text_hash"])
+    empty = rows.filter("class is null").select("class", "doc_id", "text_hash", "n", F.lit(None).cast(of.schema["component_id"].dataType).alias("component_id"), F.lit(None).cast("long").alias("label"))
+    return joined.select(*empty.columns).union(empty).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "label")

@@ -246,6 +246,91 @@ def test_large_blocks_are_dealt_in_cells(spark):
         assert best <= expected and {x for p in best for x in p} == {x for p in expected for x in p}
 
 
+def hot_block_rows(spark):
+    rng = random.Random(8)
+    rows = [(t, c, rng.choice([20, 21, 30, 60, 200 + 40 * (c % 50)])) for t, n in ((1, 400), (2, 90), (3, 1), (4, 40)) for c in rng.sample(range(1000), n)]
+    return spark.createDataFrame(rows, "token long, class long, n long")
+
+
+def test_hot_blocks_from_sizes_as_by_windows(spark):
+    rows = hot_block_rows(spark)
+    one, two = (ordered([tuple(r) for r in f(rows, 85).collect()]) for f in (ngramjoin.near_blocks, ngramjoin.near_in_hot_blocks))
+    assert one and one == two
+
+
+def test_hot_tokens_are_found(spark):
+    rows = spark.range(20_000).selectExpr("id as class", "if(id % 4 = 0, -5, id * 7919) as token").unionAll(spark.range(3_000).selectExpr("id as class", "77L as token"))
+    found = [r["token"] for r in ngramjoin.hot_tokens(rows, 16).collect()]
+    assert {-5, 77} <= {*found} and len(found) <= 16
+    assert ngramjoin.hot_tokens(rows.filter("token > 100"), 16).count() == 0
+    assert ngramjoin.hot_tokens(rows.limit(0)).count() == 0
+
+
+def test_hot_blocks_are_dealt_without_ranks(spark):
+    """Every pair of different labels is met in one cell, whatever the sizes of labels; no cell has much more than two chunks."""
+    rows = hot_block_rows(spark)
+    members = [tuple(r) for r in rows.collect()]
+    named = {c: 1000 + (0 if c < 300 else 1 if c < 330 else c // 8) for c in range(800)}  # one large component, some small ones
+    labels = spark.createDataFrame(list(named.items()), "node long, label long")
+    label = {c: named.get(c, c) for _, c, _ in members}
+    rest = ngramjoin.hot_apart(rows, labels, 16).withColumn("point", F.lit(b""))
+    cells = {}
+    for r in ngramjoin.in_cells(rest).collect():
+        assert 0 <= r["i"] <= r["j"] and r["label"] == label[r["class"]]
+        cells.setdefault((r["token"], r["i"], r["j"]), [[], []])[r["second"]].append(r["class"])
+    met = [(t, min(x, y), max(x, y)) for (t, i, j), (a, b) in cells.items() for x in a for y in (b if i < j else [z for z in a if z > x])]
+    apart = {(t, min(x, y), max(x, y)) for t, x, _ in members for u, y, _ in members if t == u and label[x] != label[y]}
+    assert len(met) == len(set(met)) and apart <= set(met) and (3, 0, 0) not in cells
+    assert max(len(a) + len(b) for a, b in cells.values()) <= 5 * 16
+    large = [c for t, c, _ in members if t == 1 and c < 300]
+    assert sum(t == 1 and x < 300 and y < 300 for t, x, y in met) < len(large) ** 2 / 8  # chunks of it meet themselves alone
+
+
+def test_near_duplicates_of_hot_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(150):  # near copies around the threshold that share most of their n-grams
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(60)] = f"x{rng.randrange(400)}"
+        texts.append(copy + [f"z{j}" for j in range(rng.randint(0, 12))])
+    texts += [[f"u{rng.randrange(900)}" for _ in range(40)] for _ in range(40)] + texts[:20]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, ""), (None, "a b")]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    expected = ordered(brute.near_components(data))
+    monkeypatch.setattr(ngramjoin, "LEAST_CHUNK", 4)
+    seen = []
+    for every in (False, True):
+        if every:
+            monkeypatch.setattr(ngramjoin, "hot_tokens", lambda tokens, shares=None: tokens.select("token").distinct())
+        else:
+            monkeypatch.setattr(ngramjoin, "hot_tokens", lambda tokens, shares=None, found=ngramjoin.hot_tokens: seen.append(found(tokens, 600)) or seen[-1])
+        assert ordered([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngramjoin.join_components(frame).collect()]) == expected
+    assert seen[0].count()  # some blocks are hot by their rows
+
+
+def test_a_pair_is_bounded_by_its_points(spark):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (40, 40, 300, 300)]
+    sets += [np.unique(np.r_[s[2:], rng.integers(0, 2**63, 2).astype(np.uint64)]) for s in sets]
+    points = spark.createDataFrame([(i, len(s), zlib.compress(ngramjoin.point(s).tobytes())) for i, s in enumerate(sets)], "class long, n long, point binary")
+    pairs = spark.createDataFrame([(a, b) for b in range(8) for a in range(b)], "a long, b long")
+    found = {tuple(r) for r in ngramjoin.bounded(ngramjoin.Pairs(pairs), points, 85).collect()}
+    assert {(i, i + 4) for i in range(4)} <= found and len(found) < 10
+
+
+def test_filter_grows_with_its_values(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "FILTER_BITS", (1 << 10, 1 << 15))
+    for n, most in ((50, 0.02), (1500, 0.02), (60_000, 1.0)):
+        values = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, n)
+        words = ngramjoin.bloom(spark.range(n).mapInArrow(lambda batches, v=values: (pa.RecordBatch.from_arrays([pa.array(v[b.column(0).to_numpy()])], names=["v"]) for b in batches), "v long"), n)
+        assert 1 << 10 <= 64 * len(words) <= 1 << 15
+        asked = np.r_[values, np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 4000)]
+        hit = np.logical_and.reduce([(words[at >> 6] >> (at & 63)) & 1 == 1 for at in ngramjoin.bloom_positions(asked, 64 * len(words))])
+        assert hit[:n].all() and hit[n:].mean() <= most
+
+
 def test_pairs_leave_in_parts(monkeypatch):
     monkeypatch.setattr(ngramjoin, "BUFFER", 10)
     found = lambda: ((np.arange(4) + i, np.arange(4) + 100, np.full(4, i / 10.0)) for i in range(9))
