@@ -473,6 +473,30 @@ def test_chat(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_chat_examples_hold_contexts(spark, monkeypatch):
+    """Rows of examples hold all text of contexts and targets, and the digest reads from them alone."""
+    turns = [(1, 0, "user", "a < b"), (1, 1, "assistant", "yes"), (1, 2, "assistant", ""), (1, 3, "user", "\\"), (1, 4, "assistant", "é<"), (1, 5, "user", "end"), (2, 0, "assistant", "x"), (3, 0, "user", "alone"), (None, 1, "assistant", None)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    formatted = chat.format_conversations(frame)
+    texts = {r["conv_id"]: r["formatted"] for r in formatted.collect()}
+    whole = {(r["conv_id"], r["turn_no"]): (r["context"], r["target"]) for r in chat.materialize(formatted).collect()}
+    so_far = dict.fromkeys(texts, "")
+    for r in sorted(chat.examples(formatted).collect(), key=lambda r: r["no"]):
+        context = so_far[r["conv_id"]] + r["since"]
+        if r["target"] is not None:
+            assert whole.pop((r["conv_id"], r["turn_no"])) == (context, r["target"]) and len(context) == r["context_chars"]
+            context += r["target"] + chat.END
+        so_far[r["conv_id"]] = context
+    assert so_far == texts and not whole
+
+    before = {r["conv_id"]: r for r in chat.conversation_digest(frame).collect()}
+    own = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda f: own(f).withColumn("since", F.replace("since", F.lit("yes"), F.lit("no"))).withColumn("since", F.replace("since", F.lit("alone"), F.lit("other"))).withColumn("target", F.replace("target", F.lit("x"), F.lit("y"))))
+    after = {r["conv_id"]: r for r in chat.conversation_digest(frame).collect()}
+    assert {c for c in before if before[c] != after[c]} == {2, 3}
+    assert after[2]["loss_sha256"] == hashlib.sha256(b"y").hexdigest() and after[3]["turns_sha256"] == hashlib.sha256(b"user\nother\n").hexdigest()
+
+
 def test_chat_of_very_many_turns(spark):
     """The time for four times the turns of one conversation is a few times, not sixteen times, as long."""
 
