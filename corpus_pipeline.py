@@ -39,6 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship(spark)
     docs = docs.select(*COLUMNS)
     found = ngramjoin.join_components(docs, k=NEAR_K, percent=NEAR_PERCENT)
+    found = stored(found.select("doc_id", "text_hash", "label"), "labelled")  # read twice below
     least = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
     linked = found.filter("label is not null").groupBy("label").agg(least.alias("_least")).select("_least._id", "_least._hash")
     stay = linked.union(found.filter("label is null").select("doc_id", "text_hash"))

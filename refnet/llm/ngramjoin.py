@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from refnet.llm.common import pieces, stored, utf8
 from refnet.llm.components import components
 from refnet.llm.words import NON_SPACE, mix, ngram_hashes, word_hashes
-from refnet.plans.skew import balanced_join, hot_keys
+from refnet.plans.skew import hot_keys, salted_join
 
 K, PERCENT = 4, 85
 BUCKETS = (1 << 22, 1 << 24)  # of the count table, 16 a document within these
@@ -186,7 +186,7 @@ class Pairs:
         found = self.pairs
         for side, other in (("a", "b"), ("b", "a")):
             own = of.select(F.col("class").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in of.columns if c != "class"))
-            found = balanced_join(found, own, [side], "left", left_salt=[other], hot=self.hot[side])
+            found = salted_join(found, own, [side], [other], self.hot[side])
         return found
 
 
@@ -504,7 +504,7 @@ def near_in_hot_blocks(tokens: DataFrame, percent: int) -> DataFrame:
     near = sizes.withColumn("_near", close).filter("_near")
     first = near.groupBy("token").agg(F.min(F.struct(F.col("_least").alias("class"), "n")).alias("_first"))  # a row for a hot token
     sized = near.join(F.broadcast(first), "token").select("token", "n", F.col("_first.class").alias("first"), F.col("_first.n").alias("first_n"))
-    found = balanced_join(tokens, sized, ["token", "n"], "left", left_salt=["class"])
+    found = salted_join(tokens, sized, ["token", "n"], ["class"])
     return found.filter(F.col("first").isNotNull()).select("token", "class", "n", "first", "first_n")
 
 
@@ -526,7 +526,7 @@ def hot_apart(blocks: DataFrame, labels: DataFrame, chunk: int) -> DataFrame:
     before = F.coalesce(F.sum("_own").over(Window.partitionBy("token").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     own = each.filter(large).join(F.broadcast(totals), "token").withColumn("_own", chunks(F.col("_same")))
     own = own.select("token", "label", "_own", (F.col("_mixed") + before).cast("int").alias("_start"))
-    rows = balanced_join(named, own, ["token", "label"], "left", left_salt=["class"]).join(F.broadcast(totals), "token")
+    rows = salted_join(named, own, ["token", "label"], ["class"]).join(F.broadcast(totals), "token")
     place = lambda column, n: F.pmod(F.xxhash64(column), n).cast("int")
     at = F.when(F.col("_start").isNotNull(), F.col("_start") + place("class", F.col("_own"))).otherwise(place("label", F.greatest(F.col("_mixed"), F.lit(1))))
     low = F.coalesce("_start", F.lit(0))
@@ -602,6 +602,6 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     least = ids.groupBy("label").agg(F.min("id").alias("component_id"))
     of = stored(ids.join(least, "label").select("class", "component_id", "label"), "components-of")
     rows = signed.select("doc_id", "text_hash", "n", "class")
-    joined = balanced_join(rows.filter("class is not null"), of, ["class"], "left", left_salt=["doc_id", "text_hash"])
+    joined = salted_join(rows.filter("class is not null"), of, ["class"], ["doc_id", "text_hash"])
     empty = rows.filter("class is null").select("class", "doc_id", "text_hash", "n", F.lit(None).cast(of.schema["component_id"].dataType).alias("component_id"), F.lit(None).cast("long").alias("label"))
     return joined.select(*empty.columns).union(empty).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "label")

@@ -117,6 +117,25 @@ def balanced_join(
     return cold.select(*names).union(grid.select(*names))
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_salt: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` ON keys, which ``right`` has once each and neither side as null; the key columns first.
+
+    A single join on the keys and a cell: a left row's cell is the hash of its ``left_salt``, a right row is copied to all cells
+    of its key, and keys that aren't hot have one. Unlike :func:`balanced_join` it reads each side once, so ``left`` may be a
+    long plan and such joins may follow each other; but it doesn't keep the bucketing of its sides.
+    """
+    keys = list(keys)
+    hot = hot_keys(left, None, keys) if hot is None else hot
+    if hot.isEmpty():
+        return left.join(right, keys, "left").select(*_names(left, right, keys, "left"))
+    cells = F.broadcast(hot.select(*keys, (F.col("_rows") * F.col("_cols")).alias("_cells")))
+    most = F.coalesce("_cells", F.lit(1)).cast("int")
+    place = F.pmod(F.xxhash64(*(F.col(c) for c in left_salt)), most).cast("int")
+    dealt = left.join(cells, keys, "left").withColumn("_cell", place).drop("_cells")
+    copied = right.join(cells, keys, "left").withColumn("_cell", F.explode(F.sequence(F.lit(0), most - 1))).drop("_cells")
+    return dealt.join(copied, [*keys, "_cell"], "left").select(*_names(left, right, keys, "left"))
+
+
 def _names(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> list[str]:
     """The keys and the left and, unless only left rows are asked for, the right columns."""
     own = [*keys, *(c for c in left.columns if c not in keys)]

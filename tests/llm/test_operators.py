@@ -473,6 +473,20 @@ def test_chat(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_pairs_with_hubs_on_both_sides(spark):
+    """Both sides' columns come to pairs whose classes have very many pairs, in a plan with one join a side beside the lists."""
+    links = [(1, i) for i in range(100, 1100)] + [(i, 5000) for i in range(100, 1100)] + [(2, 3)]
+    pairs = ngramjoin.Pairs(spark.createDataFrame(links, "a long, b long"))
+    assert all(not pairs.hot[side].isEmpty() for side in ("a", "b"))
+    of = spark.createDataFrame([(i, -i) for i in range(1, 5001) if i != 150], "class long, x long")
+    found = pairs.with_both(of)
+    value = lambda c: None if c == 150 else -c
+    assert sorted((r["a"], r["b"], r["a_x"], r["b_x"]) for r in found.collect() if 150 not in (r["a"], r["b"])) == sorted((a, b, -a, -b) for a, b in links if 150 not in (a, b))
+    assert {(r["a"], r["b"], r["a_x"], r["b_x"]) for r in found.collect() if 150 in (r["a"], r["b"])} == {(a, b, value(a), value(b)) for a, b in links if 150 in (a, b)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 6 and "Union" not in plan
+
+
 def test_chat_examples_hold_contexts(spark, monkeypatch):
     """Rows of examples hold all text of contexts and targets, and the digest reads from them alone."""
     turns = [(1, 0, "user", "a < b"), (1, 1, "assistant", "yes"), (1, 2, "assistant", ""), (1, 3, "user", "\\"), (1, 4, "assistant", "é<"), (1, 5, "user", "end"), (2, 0, "assistant", "x"), (3, 0, "user", "alone"), (None, 1, "assistant", None)]
