@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refnet.llm.common import PIECE_BYTES, extended, pieces, utf8
+from refnet.llm.common import extended, pieces, utf8
 from refnet.llm.words import mix
 
 UND = "und"
 DIMENSIONS = 1024
+#: What a task works on at once: bytes and rows of a piece, runs whose vectors and counts by text are laid out, different
+#: runs and all runs that wait for their bundle.
+STEP_BYTES, STEP_ROWS, STEP_RUNS, WAITING, WAITING_ALL = 256 << 10, 1024, 2048, 1 << 17, 1 << 22
 
 
 @lru_cache(1)
@@ -43,8 +46,11 @@ def _letters() -> np.ndarray:
 
 def _vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:
     """The +1/-1 vectors of letters (code points; 0: the blank), as a rule of the letter and the dimension."""
-    seeds = mix(letters.astype(np.uint64) + np.uint64(0x51))[:, None] + np.arange(dimensions, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-    return np.where(mix(seeds) >> np.uint64(63), 1, -1).astype(np.int8)
+    out = np.empty((len(letters), dimensions), np.int8)
+    for k in range(0, len(letters), 256):
+        seeds = mix(letters[k : k + 256].astype(np.uint64) + np.uint64(0x51))[:, None] + np.arange(dimensions, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+        out[k : k + 256] = np.where(mix(seeds) >> np.uint64(63), np.int8(1), np.int8(-1))
+    return out
 
 
 class Profiler:
@@ -82,19 +88,44 @@ class Profiler:
         return np.roll(base, 2, axis=1)[a] * np.roll(base, 1, axis=1)[b] * base[c]
 
 
+class Bundles:
+    """The bundles of labels' runs. Runs wait with their counts, so that one met in many pieces needs its vector once."""
+
+    def __init__(self, profiler: Profiler):
+        self.profiler, self.total, self.waiting, self.all = profiler, {}, {}, 0
+
+    def add(self, label: str, runs: np.ndarray) -> None:
+        own, counts = np.unique(runs, return_counts=True)
+        if label in self.waiting:
+            seen, n = self.waiting[label]
+            own, which = np.unique(np.r_[seen, own], return_inverse=True)
+            counts = np.bincount(which, np.r_[n, counts], len(own))
+        self.waiting[label], self.all = (own, counts), self.all + len(runs)
+        if self.all >= WAITING_ALL or sum(len(x) for x, _ in self.waiting.values()) >= WAITING:
+            self.sums()
+
+    def sums(self) -> dict[str, np.ndarray]:
+        """The bundles of all that was added."""
+        for label, (own, counts) in self.waiting.items():
+            total = self.total.setdefault(label, np.zeros(self.profiler.dimensions))
+            for k in range(0, len(own), STEP_RUNS):
+                total += counts[k : k + STEP_RUNS].astype(np.float32) @ self.profiler.vectors(own[k : k + STEP_RUNS]).astype(np.float32)
+        self.waiting, self.all = {}, 0
+        return self.total
+
+
 def profile_sums(docs: DataFrame, label: Column, dimensions: int = DIMENSIONS) -> DataFrame:
     """(label, sums): the bundles of all texts of each non-null label, one row for each label and task."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiler, total = Profiler(dimensions), {}
-        for part in pieces(batches, "text", PIECE_BYTES // 2):
+        profiler = Profiler(dimensions)
+        bundles = Bundles(profiler)
+        for part in pieces(batches, "text", STEP_BYTES):
             labels, of = np.unique(np.array(part.column("label").to_pylist(), dtype=object), return_inverse=True)
             text, run = profiler.runs(part.column("text").to_pylist())
             for i, name in enumerate(labels):
-                own, counts = np.unique(run[of[text] == i], return_counts=True)
-                total.setdefault(name, np.zeros(dimensions))
-                for k in range(0, len(own), 4096):
-                    total[name] += counts[k : k + 4096].astype(np.float32) @ profiler.vectors(own[k : k + 4096]).astype(np.float32)
+                bundles.add(name, run[of[text] == i])
+        total = bundles.sums()
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["label", "sums"]
         )
@@ -120,26 +151,26 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, keep: lis
     dimensions = prototypes.shape[1]
     protos = docs.sparkSession.sparkContext.broadcast((names, prototypes.astype(np.float32)))
     schema = extended(docs, keep, "lang_pred string, score double")
+    # A kept text goes to the tasks once.
+    sent, read = (docs.select(*keep), "text") if "text" in keep and dict(docs.dtypes)["text"] == "string" else (docs.select(*keep, utf8("text").alias("_utf8")), "_utf8")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, (labels, matrix) = Profiler(dimensions), protos.value
         labels = np.array([*labels, UND], dtype=object)
-        for part in pieces(batches, "_utf8", 256 << 10):
+        for part in pieces(batches, read, STEP_BYTES, STEP_ROWS):
             n = part.num_rows
             best, cosine = np.full(n, len(labels) - 1), np.zeros(n)
-            text, run = profiler.runs(part.column("_utf8").to_pylist())
+            text, run = profiler.runs([t or b"" for t in part.column(read).cast(pa.large_binary()).to_pylist()])
             if len(run) and len(matrix):
                 own, which = np.unique(run, return_inverse=True)
-                counts = np.bincount(text * len(own) + which, minlength=n * len(own)).reshape(n, len(own)).astype(np.float32) if n * len(own) < 1 << 24 else None
+                order = np.argsort(which, kind="stable")
+                text_of, which = text[order], which[order]
                 bundle = np.zeros((n, dimensions), np.float32)
-                for k in range(0, len(own), 8192):
-                    block = profiler.vectors(own[k : k + 8192]).astype(np.float32)
-                    if counts is not None:
-                        bundle += counts[:, k : k + 8192] @ block
-                    else:  # many texts of many different runs: a run at a time would be slow, a row of counts each is not
-                        inside = (which >= k) & (which < k + 8192)
-                        cells = np.bincount(text[inside] * 8192 + which[inside] - k, minlength=n * 8192).reshape(n, 8192)[:, : len(block)]
-                        bundle += cells.astype(np.float32) @ block
+                for k in range(0, len(own), STEP_RUNS):
+                    block = profiler.vectors(own[k : k + STEP_RUNS]).astype(np.float32)
+                    a, b = np.searchsorted(which, [k, k + len(block)])
+                    cells = np.bincount(text_of[a:b] * len(block) + which[a:b] - k, minlength=n * len(block)).reshape(n, len(block))
+                    bundle += cells.astype(np.float32) @ block
                 norm = np.linalg.norm(bundle, axis=1)
                 near = bundle @ matrix.T / np.where(norm > 0, norm, 1)[:, None]
                 has = norm > 0
@@ -149,7 +180,7 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, keep: lis
             arrays = [part.column(c) for c in keep] + [pa.array(labels[best], pa.string()), pa.array(cosine.astype(np.float64))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, utf8("text").alias("_utf8")).mapInArrow(score, schema)
+    return sent.mapInArrow(score, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

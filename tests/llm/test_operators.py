@@ -681,6 +681,30 @@ def test_top_k_over_many_shards_and_blocks(spark):
     assert ordered((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == ordered(expect)
 
 
+def test_language_tasks_hold_little(spark, monkeypatch):
+    """A task sends a kept text once, and works on short texts of many different runs in little memory."""
+    frame = spark.createDataFrame([(1, "the cat", "en")], "doc_id long, text string, lang string")
+    tasks, names = [], []
+    with monkeypatch.context() as m:
+        m.setattr(type(frame), "mapInArrow", lambda self, task, schema: (tasks.append(task), names.append(self.columns), frame)[2])
+        language.predict(frame, ["aa", "bb"], np.random.default_rng(5).normal(size=(2, language.DIMENSIONS)), ["doc_id", "text"])
+        language.profile_sums(frame, frame["lang"])
+    assert names == [["doc_id", "text"], ["text", "label"]]
+    letters = np.random.default_rng(6).choice(list(b"abcdefghijklmnopqrstuvwxyz    "), (20000, 100)).astype(np.uint8)
+    texts = [row.tobytes() for row in letters]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.decode() for t in texts])], names=["doc_id", "text"])
+    labelled = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(["aa", "bb"] * 10000)], names=["text", "label"])
+    list(tasks[0](iter([whole.slice(0, 1)])))  # the table of letters
+    for task, batch in zip(tasks, (whole, labelled), strict=True):
+        tracemalloc.start()
+        try:
+            n = sum(out.num_rows for out in task(iter([batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert n == (20000 if batch is whole else 2) and peak < 80e6, (n, peak)
+
+
 def test_languages_against_a_plain_version(spark):
     """Predictions and scores of hypervectors built letter by letter, with Python's own loops."""
     d = 64
